@@ -136,3 +136,20 @@ def rounds_needed(n: int, rows_per_task: int = DEFAULT_ROWS_PER_TASK, fanout: in
     if n <= rows_per_task:
         return 0
     return int(math.ceil(math.log(n / rows_per_task) / math.log(fanout)))
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact", **kw) -> dict[str, list]:
+    """Quantiles of many columns in one computation: the columns are stacked into
+    (column, value) and the column name becomes the group key. Returns {column: [q...]}
+    (a profile bounded by the number of columns)."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val"))
+                                            for c in cols])).alias("_s")).select("_s._col", "_s._val")
+    names = [f"_p{i}" for i in range(len(probs))]
+    rows = group_quantiles(stacked, "_val", probs, ["_col"], names=names, method=method, **kw).collect()
+    out = {c: [None] * len(probs) for c in cols}
+    for r in rows:
+        out[r["_col"]] = [r[n] for n in names]
+    return out

@@ -42,14 +42,15 @@ def finalize(df: DataFrame, spec) -> DataFrame:
 def wrap_sql(inner: str, spec, ctes: str = "") -> str:
     cols = []
     for name, kind in spec:
+        q = '"' + name.replace('"', '""') + '"'
         if kind == "s":
-            cols.append(f"CAST({name} AS VARCHAR) AS {name}")
+            cols.append(f"CAST({q} AS VARCHAR) AS {q}")
         elif kind == "i":
-            cols.append(f"CAST({name} AS BIGINT) AS {name}")
+            cols.append(f"CAST({q} AS BIGINT) AS {q}")
         elif kind == "date":
-            cols.append(f"strftime({name}, '%Y-%m-%d') AS {name}")
+            cols.append(f"strftime({q}, '%Y-%m-%d') AS {q}")
         else:
             n = int(kind[1:])
-            cols.append(f"ROUND(ROUND(CAST({name} AS DOUBLE), {n + 3}), {n}) + 0.0 AS {name}")
+            cols.append(f"ROUND(ROUND(CAST({q} AS DOUBLE), {n + 3}), {n}) + 0.0 AS {q}")
     head = f"WITH {ctes} " if ctes else ""
     return f"{head}SELECT {', '.join(cols)} FROM ({inner}) AS q"
