@@ -101,7 +101,8 @@ def q_residual_stats(spark, sf_dir):
     return metrics.residual_stats(_preds(spark, sf_dir), group_cols=["model"])
 
 
-OUT_PREDS_SQL = f"SELECT {RID_SQL}, profit AS y, avg(profit) OVER (PARTITION BY category) AS pred FROM sf"
+OUT_PREDS_SQL = (f"SELECT {RID_SQL}, exp(quantity / 10.0) AS y, avg(exp(quantity / 10.0)) OVER (PARTITION BY category) AS pred "
+                 f"FROM sf")
 
 
 @reg("residual_outliers", ROW_ID + [("std_residual", "d6")],
@@ -110,8 +111,8 @@ OUT_PREDS_SQL = f"SELECT {RID_SQL}, profit AS y, avg(profit) OVER (PARTITION BY
      f"FROM (SELECT (e - avg(e) OVER ()) / stddev_pop(e) OVER () AS z FROM (SELECT y - pred AS e FROM ({OUT_PREDS_SQL})))) b "
      f"WHERE z < b.q1 - 1.5 * (b.q3 - b.q1) OR z > b.q3 + 1.5 * (b.q3 - b.q1)")
 def q_residual_outliers(spark, sf_dir):
-    d = _sf(spark, sf_dir)
-    p = d.join(d.groupBy("category").agg(F.avg("profit").alias("pred")), "category").select(*RID, F.col("profit").alias("y"), "pred")
+    d = _sf(spark, sf_dir).withColumn("y", F.exp(F.col("quantity") / 10.0))   # a right-skewed target
+    p = d.join(d.groupBy("category").agg(F.avg("y").alias("pred")), "category").select(*RID, "y", "pred")
     _, rows = metrics.residual_outliers(p, row_key=RID)
     return rows
 
