@@ -38,7 +38,7 @@ TARGETS = ("quantity", "profit")
 
 def register(name: str, spec, sql_inner: str | None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: finalize(fn(spark, sf_dir), spec)
+        QUERIES[name] = (lambda spark, sf_dir: finalize(fn(spark, sf_dir), spec)) if spec else fn
         if sql_inner is not None:
             SQL[name] = wrap_sql(sql_inner, spec, CTES)
         return fn

@@ -18,6 +18,7 @@ def get_spark(master: str | None = None, app: str = "ledgerlens", shuffle_partit
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
