@@ -35,8 +35,8 @@ def basic_metrics(df: DataFrame, y: str = "y", pred: str = "pred", group_cols: S
         F.count(F.lit(1)).alias("_n"), F.sum(e * e).alias("_sse"), F.var_pop(yc).alias("_vy"),
         F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"), F.var_pop(e).alias("_ve"),
         F.sum((yc == 0).cast("int")).alias("_zeros"),
-        F.avg(F.abs(e) / F.abs(yc)).alias("_mape_frac"),
-        F.avg(F.when(yc != 0, F.abs(e / yc))).alias("_mape_nz"))
+        F.avg(F.try_divide(F.abs(e), F.abs(yc))).alias("_mape_frac"),
+        F.avg(F.when(yc != 0, F.abs(F.try_divide(e, yc)))).alias("_mape_nz"))
     sst = F.col("_vy") * F.col("_n")
     r2 = (F.when(sst == 0, F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(1 - F.col("_sse") / sst))
@@ -119,7 +119,7 @@ def anderson_darling(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFra
     st = e.agg(F.count("_e").alias("n"), F.avg("_e").alias("m"), F.stddev_samp("_e").alias("s")).first()
     n, mu, sd = st["n"], st["m"], st["s"]
     ranked = ordered_positions(e, ["_e"], out="_i")
-    z = (F.col("_e") - F.lit(mu)) / F.lit(sd)
+    z = F.try_divide(F.col("_e") - F.lit(mu), F.lit(sd))
     terms = ranked.select(_ad_term(z, (F.col("_i") + 1).cast("double"), F.lit(float(n))).alias("_t"))
     a2 = terms.agg((F.lit(-float(n)) - F.sum("_t") / F.lit(float(n))).alias("statistic"))
     corr = 1.0 + 4.0 / n - 25.0 / (n * n)

@@ -72,7 +72,9 @@ def carry_forward(df: DataFrame, pos: str, cols: Sequence[str], block: int = 1_0
     if not cols:
         return df
     blk = F.floor(F.col(pos) / block).cast("long")
-    d = df.withColumn("_fblk", blk)
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    # NaN counts as missing, as NULL does (pandas ffill)
+    d = df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols if c in floating}).withColumn("_fblk", blk)
     w_in = Window.partitionBy("_fblk").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     lasts = d.groupBy("_fblk").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"_l_{c}") for c in cols])
     w_b = Window.orderBy("_fblk").rowsBetween(Window.unboundedPreceding, -1)

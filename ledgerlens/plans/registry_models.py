@@ -116,3 +116,57 @@ def q_batch_score(spark, sf_dir):
                                            "quantity", "profit", "is_test")
     fitted = models.train_compact(d.where(F.col("is_test") == 0))
     return models.score(fitted, d.where(F.col("is_test") == 1).select("date", "region", "product"))
+
+
+@register("shapiro", [("region", "s"), ("category", "s"), ("year", "i"), ("n", "i"), ("statistic", "d6"), ("p_value", "d6"),
+                      ("is_normal", "i")], None)
+def q_shapiro(spark, sf_dir):
+    """MET15 per segment (region, category, year) of the least-squares line's residuals."""
+    from ledgerlens.modeling.normality import shapiro_by_group
+    from ledgerlens.plans.registry_eval import line_fit
+
+    d = _sf(spark, sf_dir)
+    a, b = line_fit(d)
+    p = d.withColumn("pred", F.lit(a) + F.lit(b) * F.col("quantity"))
+    return shapiro_by_group(p, "sales", "pred", ["region", "category", "year"])
+
+
+@register("voting_classifier", [("model", "s"), ("accuracy", "d6")], None)
+def q_voting_classifier(spark, sf_dir):
+    """MDL2/MDL3/MDL8 + MET21: classifiers of the line status, soft and hard weighted votes."""
+    from ledgerlens.modeling import metrics as mt
+    from pyspark.ml.feature import StringIndexer
+
+    d = _split(_sf(spark, sf_dir))
+    d = StringIndexer(inputCol="line_status", outputCol="label", stringOrderType="alphabetAsc").fit(d).transform(d)
+    d = models.assemble(d, MODEL_FEATURES)
+    train, test = d.where(F.col("is_test") == 0), d.where(F.col("is_test") == 1)
+    members = {}
+    for fam, name in (("rf", "random_forest"), ("xgb", "xgboost")):
+        m = models.make_model(fam, "classification", None, "features", "label", f"p_{name}")
+        m.setProbabilityCol(f"prob_{name}").setRawPredictionCol(f"raw_{name}")
+        members[name] = m.fit(train)
+    scored = models.predict_members(members, test)
+    w = ensemble.diversity_weights(list(members))
+    scored = scored.withColumn("p_soft", ensemble.soft_vote({m: f"prob_{m}" for m in members}, w)) \
+                   .withColumn("p_hard", ensemble.hard_vote({m: f"p_{m}" for m in members}, w))
+    st = scored.select("label", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).alias("pred")) for n, c in
+                                                    (("random_forest", "p_random_forest"), ("xgboost", "p_xgboost"),
+                                                     ("soft_vote", "p_soft"), ("hard_vote", "p_hard"))])).alias("s"))
+    return mt.accuracy(st.select("label", "s.*"), "label", "pred", ["model"])
+
+
+@register("metrics_csv", TABLE_SPEC, None)
+def q_metrics_csv(spark, sf_dir):
+    """SNK1: the model table written as header CSV to the shared folder and read back."""
+    from ledgerlens.session import ensure_checkpoint_dir
+
+    from ledgerlens.plans.registry_eval import line_fit
+
+    d = _split(_sf(spark, sf_dir))
+    a, b = line_fit(d.where(F.col("is_test") == 0))
+    test = d.where(F.col("is_test") == 1).withColumn("p_line", F.lit(a) + F.lit(b) * F.col("quantity"))
+    table = ensemble.model_table(test, "sales", {"line": "p_line"})
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens-metrics-{abs(hash(sf_dir))}"
+    ensemble.save_evaluation_results(table, path)
+    return spark.read.option("header", True).schema("model string, mse double, rmse double, r2 double").csv(path)

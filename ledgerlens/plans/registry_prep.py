@@ -344,3 +344,40 @@ def q_fold_sizes(spark, sf_dir):
     indexed = ordered_positions(d, ORDER_COLS, out="_pos")
     n = d.count()
     return split.with_contiguous_folds(indexed, "_pos", n, 5).groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@reg("csv_roundtrip", [("order_date", "date"), ("region", "s"), ("product_id", "i"), ("quantity", "d6"), ("profit", "d6"),
+                       ("l_orderkey", "i"), ("l_linenumber", "i")],
+     "SELECT * FROM sf")
+def q_csv_roundtrip(spark, sf_dir):
+    """SRC1/SRC2: the fact rows written as a latin-1 header CSV to the shared folder, read back
+    with an explicit schema, and the date text parsed with NULL on failure."""
+    from ledgerlens.session import ensure_checkpoint_dir
+    from ledgerlens.sources.csv import read_sales_csv
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens-csv-{abs(hash(sf_dir))}"
+    src = _sf(spark, sf_dir).select(F.date_format("order_date", "yyyy-MM-dd").alias("Order Date"), "region", "product_id",
+                                    "quantity", "profit", "l_orderkey", "l_linenumber")
+    src.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    schema = "`Order Date` string, region string, product_id bigint, quantity double, profit double, l_orderkey bigint, l_linenumber int"
+    back = read_sales_csv(spark, path, schema=schema, date_col="Order Date", date_format="yyyy-MM-dd")
+    return back.withColumnRenamed("Order Date", "order_date")
+
+
+@reg("binary_encode", ROW_ID + [("line_status_binary", "i")],
+     "SELECT *, dense_rank() OVER (ORDER BY coalesce(line_status, 'nan')) - 1 AS line_status_binary FROM sf")
+def q_binary(spark, sf_dir):
+    """ENC1 via the dispatcher: a 2-valued column gets a ``_binary`` code."""
+    d = _sf(spark, sf_dir).select(*RID, "line_status")
+    out, plan = encode.encode_categoricals(d.select(*RID, "line_status"))
+    return out
+
+
+@reg("margin_guarded", ROW_ID + [("profit_margin", "d6")],
+     "SELECT *, CASE WHEN sales_zero = 0 THEN 0.0 ELSE profit / sales_zero * 100 END AS profit_margin FROM d")
+def q_margin_guarded(spark, sf_dir):
+    """MTH9 + MTH14: margin over the zero-sales variant (±Infinity) with infinities replaced by 0."""
+    from ledgerlens.functions import mathx
+
+    d = _dirty(spark, sf_dir).select(*RID, "profit", "sales_zero")
+    return d.select(*RID, mathx.inf_to(mathx.profit_margin("profit", "sales_zero"), 0.0).alias("profit_margin"))

@@ -16,7 +16,7 @@ def read_sales_csv(spark: SparkSession, path: str, schema: StructType | str | No
     Without a schema every column is read as a string (no inference pass over the data);
     ``date_col`` is parsed with ``try_to_timestamp`` so bad dates become NULL.
     """
-    if "://" not in path and not os.path.exists(path):
+    if ":" not in path.split("/")[0] and not os.path.exists(path):
         raise FileNotFoundError(f"CSV not found: {path}")
     reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("mode", "PERMISSIVE")
     if schema is not None:
