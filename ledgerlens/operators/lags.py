@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.mathx import ieee_divide
 from ledgerlens.operators.quantile import quantiles
-from ledgerlens.operators.sequence import carry_forward, halo_window, ordered_positions
+from ledgerlens.operators.sequence import carry_forward, halo_window, ordered_positions, positions_within
 from ledgerlens.sources.tables import ORDER_COLS
 
 TARGETS = ("quantity", "profit")
@@ -27,9 +27,9 @@ def with_global_index(df: DataFrame, order: Sequence[str] = ORDER_COLS, out: str
     return ordered_positions(df, order, out=out)
 
 
-def with_key_index(df: DataFrame, key: str, pos: str = GIDX, out: str | None = None) -> DataFrame:
-    """Position of each row inside its ``key`` (by the global position)."""
-    return ordered_positions(df, [pos], group=[key], out=out or f"_kpos_{key}")
+def with_key_index(df: DataFrame, key: str, pos: str = GIDX, out: str | None = None, block: int = 1_000_000) -> DataFrame:
+    """Position of each row inside its ``key`` (by the dense global position)."""
+    return positions_within(df, [key], pos, out or f"_kpos_{key}", block)
 
 
 def product_lags(df: DataFrame, key: str = "product_id", targets: Sequence[str] = TARGETS,
@@ -37,7 +37,7 @@ def product_lags(df: DataFrame, key: str = "product_id", targets: Sequence[str]
     """WIN1-WIN3: lag 1/3/7, rolling mean and sample std over 3 and 7 rows, per key."""
     present = [t for t in targets if t in df.columns]
     kpos = f"_kpos_{key}"
-    d = with_key_index(df.where(F.col(key).isNotNull()), key, pos, kpos)
+    d = with_key_index(df.where(F.col(key).isNotNull()), key, pos, kpos, block)
 
     def cols(w):
         out = {}
@@ -66,7 +66,7 @@ def rolling_by(df: DataFrame, key: str, targets: Sequence[str] = TARGETS, window
     present = [t for t in targets if t in df.columns]
     label = name or key
     kpos = f"_kpos_{key}"
-    d = with_key_index(df.where(F.col(key).isNotNull()), key, pos, kpos)
+    d = with_key_index(df.where(F.col(key).isNotNull()), key, pos, kpos, block)
     res = halo_window(d, kpos, window - 1,
                       lambda w: {f"{t}_{label}_rolling_mean_{window}": F.avg(t).over(w.rowsBetween(-(window - 1), 0))
                                  for t in present},
@@ -76,15 +76,24 @@ def rolling_by(df: DataFrame, key: str, targets: Sequence[str] = TARGETS, window
     return res
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint between chained window steps: each step reads its input twice
+    (counts and rows), so without a cut the upstream plan would be evaluated repeatedly."""
+    from ledgerlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def lag_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = GIDX, block: int = 1_000_000,
                  fill: str = "ffill") -> DataFrame:
     """PIP1 step 4: product lags/rolling, category and region rolling means, then the fill
     of WIN6: global forward fill in date order then 0 (``fill='zero'`` skips the carry)."""
-    d = product_lags(df, "product_id", targets, pos, block)
+    d = _cut(product_lags(df, "product_id", targets, pos, block))
     if "category" in df.columns:
-        d = rolling_by(d, "category", targets, 7, pos, block)
+        d = _cut(rolling_by(d, "category", targets, 7, pos, block))
     if "region" in df.columns:
-        d = rolling_by(d, "region", targets, 7, pos, block)
+        d = _cut(rolling_by(d, "region", targets, 7, pos, block))
     new = [c for c in d.columns if c not in df.columns and ("lag" in c or "rolling" in c)]
     return _fill(d, new, pos, block, fill)
 
@@ -118,6 +127,8 @@ def trend_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = G
 
     d = halo_window(df, pos, 30, cols, block=block)
     new = [c for c in d.columns if c not in df.columns]
+    if fill == "ffill":
+        d = _cut(d)
     return _fill(d, new, pos, block, fill)
 
 

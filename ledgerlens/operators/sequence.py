@@ -82,3 +82,20 @@ def carry_forward(df: DataFrame, pos: str, cols: Sequence[str], block: int = 1_0
     d = d.join(carry, "_fblk", "left")
     filled = {c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(w_in), F.col(f"_c_{c}"), F.lit(fill)) for c in cols}
     return d.withColumns(filled).drop("_fblk", *[f"_c_{c}" for c in cols])
+
+
+def positions_within(df: DataFrame, key: Sequence[str], pos: str, out: str, block: int = 1_000_000) -> DataFrame:
+    """Dense 0-based position of each row inside its ``key`` group, ordered by an existing dense
+    global position ``pos``. Rows are cut into global blocks of ``block`` positions; counts per
+    (block, key) accumulate into per-key offsets (one row per block and key), and a row number
+    inside each (block, key) piece completes the position. No window spans more than a block."""
+    key = list(key)
+    blk = F.floor(F.col(pos) / block).cast("long")
+    d = df.withColumn("_pblk", blk)
+    counts = d.groupBy("_pblk", *key).agg(F.count(F.lit(1)).alias("_c"))
+    wo = Window.partitionBy(*key).orderBy("_pblk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pblk", *key, F.coalesce(F.sum("_c").over(wo), F.lit(0)).cast("long").alias("_off"))
+    wi = Window.partitionBy("_pblk", *key).orderBy(pos)
+    return (d.join(offsets, ["_pblk", *key])
+            .withColumn(out, F.col("_off") + F.row_number().over(wi) - 1)
+            .drop("_pblk", "_off"))

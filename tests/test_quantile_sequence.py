@@ -57,3 +57,13 @@ def test_carry_forward_matches_ffill(spark):
     got = carry_forward(spark.createDataFrame(pdf), "pos", ["x"], block=3).toPandas().sort_values("pos")
     exp = pdf.x.ffill().fillna(0)
     assert list(got.x) == list(exp)
+
+
+def test_positions_within_matches_row_number(spark):
+    from ledgerlens.operators.sequence import positions_within
+
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"pos": np.arange(300), "key": rng.choice(["a", "b", "c"], 300, p=[0.7, 0.2, 0.1])})
+    got = positions_within(spark.createDataFrame(pdf), ["key"], "pos", "kp", block=17).toPandas().sort_values("pos")
+    exp = pdf.groupby("key").cumcount()
+    assert (got.kp.values == exp.values).all()
