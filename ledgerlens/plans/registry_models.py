@@ -58,8 +58,23 @@ def q_importance(spark, sf_dir):
     return rep.withColumn("combined_score", (F.col("rf_importance") + F.col("mi_importance")) / 2).orderBy(F.desc("combined_score"))
 
 
-@register("mi_binned", [("feature", "s"), ("mi_importance", "d6")], None)
+def _mi_sql(features, target, bins=10):
+    probs = "[" + ", ".join(repr(i / bins) for i in range(1, bins)) + "]"
+    stacked = " UNION ALL ".join(f"SELECT '{c}' AS col, coalesce(CAST({c} AS DOUBLE), 0.0) AS v, "
+                                 f"coalesce(CAST({target} AS DOUBLE), 0.0) AS yv FROM sf" for c in features)
+    return (f"WITH st AS ({stacked}), cuts AS (SELECT col, quantile_cont(v, {probs}) AS c FROM st GROUP BY col), "
+            f"tc AS (SELECT quantile_cont(coalesce(CAST({target} AS DOUBLE), 0.0), {probs}) AS c FROM sf), "
+            f"b AS (SELECT st.col, len(list_filter(cuts.c, lambda x: x < st.v)) AS bx, len(list_filter(tc.c, lambda x: x < st.yv)) AS byy "
+            f"FROM st JOIN cuts ON st.col = cuts.col, tc), "
+            f"j AS (SELECT col, bx, byy, count(*) AS nxy FROM b GROUP BY col, bx, byy), "
+            f"m AS (SELECT *, sum(nxy) OVER (PARTITION BY col, bx) AS nx, sum(nxy) OVER (PARTITION BY col, byy) AS ny, "
+            f"sum(nxy) OVER (PARTITION BY col) AS n FROM j) "
+            f"SELECT col AS feature, sum(nxy / n * ln(nxy * n / (nx * ny))) AS mi_importance FROM m GROUP BY col")
+
+
+@register("mi_binned", [("feature", "s"), ("mi_importance", "d6")], _mi_sql(MODEL_FEATURES, "quantity"))
 def q_mi(spark, sf_dir):
+    """IMPT4 (binned estimator), oracle-checked."""
     return validation.binned_mutual_information(_sf(spark, sf_dir), MODEL_FEATURES, "quantity")
 
 

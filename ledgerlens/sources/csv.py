@@ -33,3 +33,14 @@ def parse_timestamp(col, fmt: str | None = None):
     if fmt:
         return F.try_to_timestamp(text, F.lit(fmt))
     return F.try_to_timestamp(text)
+
+
+# The static renames of the compact pipeline (source header → standard name).
+STANDARD_RENAMES = {"Order Date": "date", "Region": "region", "Product Name": "product", "Quantity": "quantity",
+                    "Profit": "profit"}
+
+
+def rename_standard(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """PRJ4: rename known headers to the standard vocabulary; absent headers are ignored."""
+    mapping = mapping or STANDARD_RENAMES
+    return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})

@@ -70,3 +70,10 @@ def test_stream_scoring(spark, tmp_path):
     q.stop()
     got = spark.sql("SELECT * FROM scored").collect()
     assert len(got) == 2 and {"quantity_pred", "profit_pred"} <= set(got[0].asDict())
+
+
+def test_rename_standard_ignores_missing(spark):
+    from ledgerlens.sources.csv import rename_standard
+
+    df = spark.createDataFrame([(1, 2.0)], "Region int, Quantity double")
+    assert rename_standard(df).columns == ["region", "quantity"]
