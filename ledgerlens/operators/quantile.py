@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import ensure_checkpoint_dir
+
 DEFAULT_ROWS_PER_TASK = 4_000_000
 
 
@@ -93,6 +95,10 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         keep = targets.select(*by, "_t", "_b")
         cand = _join_small(bucketed, keep, by + (["_t", "_b"] if per_target else ["_b"])).select(*by, "_t", "_v")
         targets = targets.select(*by, "_t", "_r", "_below")
+        # each round keeps ~1/fanout of the candidates: materialise them (and the small target
+        # table) so the next round does not re-derive them from the source
+        ensure_checkpoint_dir(cand.sparkSession)
+        cand, targets = cand.checkpoint(eager=True), targets.checkpoint(eager=True)
         per_target = True
 
     grp = by + (["_t"] if per_target else [])
