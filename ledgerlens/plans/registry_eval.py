@@ -3,7 +3,6 @@ deterministic predictors (group means and a least-squares line) so both engines
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.modeling import ensemble, metrics

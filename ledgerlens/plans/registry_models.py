@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.fuzzy import normalize_columns, vocabulary_mapping
 from ledgerlens.modeling import ensemble, models, validation
 from ledgerlens.plans import features as feat
 from ledgerlens.plans import pipeline
@@ -88,13 +87,20 @@ def q_perm(spark, sf_dir):
                                  "feature string, importance_mean double, importance_std double")
 
 
-@register("normalize_headers", [("term", "s"), ("value", "s"), ("score", "d4")], None)
+CANONICAL_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("normalize_values", [("l_orderkey", "i"), ("l_linenumber", "i"), ("product_id", "i"), ("l_suppkey", "i"),
+                               ("category_std", "s")], None)
 def q_normalize(spark, sf_dir):
-    """PRJ5 on the sales view's header row, with a synonym table as fallback."""
-    d = _sales(spark, sf_dir)
-    headers = spark.createDataFrame([(c,) for c in d.columns], "h string")
-    syn = spark.createDataFrame([("date", "order date"), ("product", "product name")], "term string, synonym string")
-    return vocabulary_mapping(headers, "h", threshold=80.0, synonyms=syn)
+    """PRJ5 on data: the distinct values of the dirty category column (padded text, 'nan')
+    are matched to the canonical category vocabulary by token-sort ratio (threshold 80), and the
+    mapping is joined back to every row ('nan' matches no term and stays NULL)."""
+    from ledgerlens.functions.fuzzy import normalize_values
+    from ledgerlens.plans.registry_prep import _dirty
+
+    d = _dirty(spark, sf_dir).select("l_orderkey", "l_linenumber", "product_id", "l_suppkey", "cat_dirty")
+    return normalize_values(d, "cat_dirty", "category_std", CANONICAL_CATEGORIES, threshold=80.0)
 
 
 @register("feature_table", None, None)

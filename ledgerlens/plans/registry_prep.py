@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import clean, encode, impute, outliers, profile, scale, select, split, transform
+from ledgerlens.operators import clean, encode, impute, outliers, profile, scale, split, transform
 from ledgerlens.operators.knn import impute_knn
 from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.plans.registry import ORDER_SQL, ROW_ID, _sf, register

@@ -77,3 +77,13 @@ def test_rename_standard_ignores_missing(spark):
 
     df = spark.createDataFrame([(1, 2.0)], "Region int, Quantity double")
     assert rename_standard(df).columns == ["region", "quantity"]
+
+
+def test_normalize_columns_and_values(spark):
+    from ledgerlens.functions.fuzzy import normalize_columns, normalize_values
+
+    df = spark.createDataFrame([("x", 1.0, "  LARGE ")], "Region string, quantity double, cat string")
+    syn = spark.createDataFrame([("region", "region")], "term string, synonym string")
+    assert normalize_columns(df, synonyms=syn).columns[:2] == ["region", "quantity"]
+    out = normalize_values(df, "cat", "std", ["LARGE", "SMALL"]).first()
+    assert out["std"] == "LARGE"
