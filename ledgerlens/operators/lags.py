@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.mathx import ieee_divide
-from ledgerlens.operators.quantile import quantiles
+from ledgerlens.operators.quantile import column_quantiles
 from ledgerlens.operators.sequence import carry_forward, halo_window, ordered_positions, positions_within
 from ledgerlens.sources.tables import ORDER_COLS
 
@@ -155,8 +155,9 @@ def statistical_features(df: DataFrame, targets: Sequence[str] = TARGETS, quanti
     prof = df.agg(*[F.avg(t).alias(f"m_{t}") for t in present], *[F.stddev_samp(t).alias(f"s_{t}") for t in present]).first()
     out = df
     cols = []
+    quart = column_quantiles(df, present, [0.25, 0.75], method=quantile_method)   # all targets in one computation
     for t in present:
-        q1, q3 = quantiles(df, t, [0.25, 0.75], method=quantile_method)
+        q1, q3 = quart[t]
         iqr = (q3 - q1) if q1 is not None else None
         c = F.col(t)
         cols.append(ieee_divide(c - F.lit(prof[f"m_{t}"]), F.lit(prof[f"s_{t}"])).alias(f"{t}_zscore"))
