@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import clean, encode, impute, outliers, profile, scale, split, transform
+from ledgerlens.operators import clean, encode, impute, outliers, profile, scale, select, split, transform
 from ledgerlens.operators.knn import impute_knn
 from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.plans.registry import ORDER_SQL, ROW_ID, _sf, register
@@ -381,3 +381,16 @@ def q_margin_guarded(spark, sf_dir):
 
     d = _dirty(spark, sf_dir).select(*RID, "profit", "sales_zero")
     return d.select(*RID, mathx.inf_to(mathx.profit_margin("profit", "sales_zero"), 0.0).alias("profit_margin"))
+
+
+@reg("validate_features", None, None)
+def q_validate_features(spark, sf_dir):
+    """SEL5 on the dirty frame: columns over 50 % missing dropped, numeric gaps → 0, text gaps →
+    'Unknown', zero-variance columns dropped, ±Infinity → 0 (margin over the zero-sales variant)."""
+    from ledgerlens.functions import mathx
+
+    d = _dirty(spark, sf_dir).select(*RID, "q_missing", "p_missing", "sparse60", "sparse95", "cat_missing",
+                                     mathx.profit_margin("profit", "sales_zero").alias("margin_zero"),
+                                     (F.col("quantity") * 0).alias("q_const"))
+    out, _ = select.clean_and_validate(d)
+    return out

@@ -67,3 +67,13 @@ def test_positions_within_matches_row_number(spark):
     got = positions_within(spark.createDataFrame(pdf), ["key"], "pos", "kp", block=17).toPandas().sort_values("pos")
     exp = pdf.groupby("key").cumcount()
     assert (got.kp.values == exp.values).all()
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=5000)
+    df = spark.createDataFrame(pd.DataFrame({"v": v}))
+    got = group_quantiles(df, "v", [0.1, 0.5, 0.9], method="approx", accuracy=1000).first()
+    for p, name in ((0.1, "q0_1"), (0.5, "q0_5"), (0.9, "q0_9")):
+        rank = (v < got[name]).mean()
+        assert abs(rank - p) <= 1.0 / 1000 + 1.0 / 5000
