@@ -103,3 +103,10 @@ def test_days_from_start_uses_fitted_range(spark):
     df = spark.createDataFrame([(dt.date(2020, 1, 1),), (dt.date(2020, 1, 11),)], "order_date date")
     out = temporal_features(df).orderBy("order_date").collect()
     assert [r["days_from_start"] for r in out] == [0, 10] and [r["days_from_end"] for r in out] == [10, 0]
+
+
+def test_impute_missing_many_incomplete_columns_uses_medians(spark):
+    pdf = pd.DataFrame({"a": [1.0, None, 3.0, 4.0, 5.0], "b": [None, 2.0, 3.0, 4.0, 5.0], "c": [1.0, 2.0, None, 4.0, 6.0],
+                        "k": [1, 2, 3, 4, 5]})
+    out = impute.impute_missing(spark.createDataFrame(pdf), knn_threshold=0.3).orderBy("k").toPandas()
+    assert out.a[1] == pdf.a.median() and out.b[0] == pdf.b.median() and out.c[2] == pdf.c.median()
