@@ -34,7 +34,7 @@ from ledgerlens.llm.common import pinned
 CAPACITY = 1024
 END_ID = 2
 #: words that a Python worker remembers; beyond, it starts anew
-REMEMBERED = 600_000
+REMEMBERED = 1_500_000
 DOCS_AT_ONCE = 400
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 
@@ -55,23 +55,35 @@ class WordEncoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def learn(self, first: set[str], rest: set[str]) -> None:
+        """Remember new words: ``first`` as they stand, ``rest`` with the blank before them. Words
+        made of lines, or of letters and marks after them, are put together from their parts, which
+        the tokenizer never joins."""
         if len(self.first) + len(self.rest) > REMEMBERED:
             self.first.clear()
             self.rest.clear()
-        lines = {w: parts for w in rest if "\n" in w and all(parts := w.split("\n")) and not any(map(_loose, parts))}
-        first = {*first, *(p for parts in lines.values() for p in parts[1:]), "\n"} - self.first.keys()
-        rest = {*(w for w in rest if w not in lines), *(parts[0] for parts in lines.values())} - self.rest.keys()
-        for words, memory, lead in ((first, self.first, ""), (rest, self.rest, " ")):
-            known = [w for w in words if not _loose(w) or w == "\n"]
+        whole: tuple[set[str], set[str]] = (set(), set())
+        made: list[tuple[str, list[str]]] = []  # word of rest, its parts: the first after a blank
+        for word in rest:
+            if word.isalpha():
+                whole[1].add(word)
+            elif len(parts := _parts_of(word)) > 1:
+                made.append((word, parts))
+                whole[1].add(parts[0])
+                whole[0].update(parts[1:])
+            else:
+                whole[1].add(word)
+        whole[0].update(first)
+        for memory, words, lead in ((self.first, whole[0], ""), (self.rest, whole[1], " ")):
+            words = words.difference(memory)
+            known = [w for w in words if w == "\n" or not _loose(w)]
             memory.update(zip(known, self.ids([lead + w for w in known]), strict=True))
-            memory.update((w, None) for w in words if _loose(w) and w != "\n")
-        end = self.first["\n"]
-        for w, parts in lines.items():
-            self.rest[w] = end.join([self.rest[parts[0]], *(self.first[p] for p in parts[1:])])
+            memory.update((w, None) for w in words if w != "\n" and _loose(w))
+        for word, parts in made:
+            self.rest[word] = b"".join([self.rest[parts[0]], *(self.first[p] for p in parts[1:])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
-        self.learn({x[0] for x in split} - self.first.keys(), set().union(*(x[1:] for x in split)) - self.rest.keys())
+        self.learn({x[0] for x in split}.difference(self.first), set().union(*(set(x[1:]).difference(self.rest) for x in split)))
         out = []
         for text, words in zip(texts, split, strict=True):
             try:
@@ -86,6 +98,23 @@ def _loose(word: str) -> bool:
     return not word or word[0].isspace() or word[-1].isspace()
 
 
+MARKS = ".,;:!?#*$%&|<>()-"
+
+
+def _parts_of(word: str) -> list[str]:
+    """Lines with the breaks between them, letters and the marks after them; one part if unsure."""
+    if "\n" in word:
+        lines = word.split("\n")
+        if any(map(_loose, lines)):
+            return [word]
+        out = _parts_of(lines[0])
+        for line in lines[1:]:
+            out += ["\n", *_parts_of(line)]
+        return out
+    stem = word.rstrip(MARKS)
+    return [stem, word[len(stem):]] if len(stem) < len(word) and stem.isalpha() else [word]
+
+
 def encoder(path: str) -> WordEncoder:
     """One per worker process, kept over tasks."""
     kept = sys.modules.setdefault("_word_encoders", types.ModuleType("_word_encoders"))
