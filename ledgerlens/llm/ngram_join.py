@@ -39,7 +39,7 @@ WIDTH = 5
 NUM, DEN = 75, 100  # similarity of two linked sets: shared * DEN >= union * NUM
 LONGEST = 32  # largest l that the cost estimate considers
 PART_BYTES = 1 << 21
-FLUSH_TOKENS = 1 << 23
+FLUSH_TOKENS = 1 << 21
 BUCKET_BYTES = 24 << 20  # text bytes that one bucket of tokens stands for
 HUB_ROUNDS = 4
 TOKEN_BYTES = 6
