@@ -119,7 +119,7 @@ def set_class(tokens: np.ndarray) -> int:
 def _token_blobs(docs: DataFrame, buckets: int, width: int) -> DataFrame:
     """(bucket, docs, tokens): per task and bucket the classes with their tokens in that bucket.
     ``info`` rows (doc_id, key, n, class) ride along in the bucket of their batch."""
-    schema = "bucket int, classes binary, counts binary, tokens binary, ids binary, no_id binary, keys binary, sizes binary, own binary"
+    schema = "bucket int, classes binary, lengths binary, counts binary, tokens binary, ids binary, no_id binary, keys binary, sizes binary, own binary"
 
     def flush(ident, keys, sets, turn) -> Iterator[pa.RecordBatch]:
         n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -142,7 +142,7 @@ def _token_blobs(docs: DataFrame, buckets: int, width: int) -> DataFrame:
             lo, hi = edges[b], edges[b + 1]
             if hi > lo or b == home:
                 here, counts = np.unique(which[lo:hi], return_counts=True)
-                rows.append((b, own[at[here]].tobytes(), counts.astype(np.uint32).tobytes(), low[lo:hi].tobytes(), *(info if b == home else [none] * 5)))
+                rows.append((b, own[at[here]].tobytes(), n[at[here]].astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), low[lo:hi].tobytes(), *(info if b == home else [none] * 5)))
         columns = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
                                          names=[x.split()[0] for x in schema.split(", ")])
@@ -170,56 +170,67 @@ def _token_blobs(docs: DataFrame, buckets: int, width: int) -> DataFrame:
     return docs.mapInArrow(emit, schema)
 
 
-_POSTINGS = "kind int, class long, n long, tokens binary, dfs binary, doc_id long, key long"
-
-
-def _bucket_postings(blobs: pa.Table) -> pa.Table:
-    """One bucket: tokens that two classes or more share, per class, with their document frequency;
-    and the info rows that came along."""
-    prefix = int(blobs.column("bucket")[0].as_py()) & 0x7FFF
-    seen: list[np.ndarray] = []
-    tokens: list[np.ndarray] = []
-    info: list[tuple[np.ndarray, ...]] = []
-    for row in range(blobs.num_rows):
-        classes = np.frombuffer(blobs.column("classes")[row].as_buffer(), dtype=np.int64)
-        counts = np.frombuffer(blobs.column("counts")[row].as_buffer(), dtype=np.uint32)
-        packed = np.frombuffer(blobs.column("tokens")[row].as_buffer(), dtype=np.uint8).reshape(-1, TOKEN_BYTES)
-        wide = np.zeros((len(packed), 8), dtype=np.uint8)
-        wide[:, :TOKEN_BYTES] = packed
-        tokens.append(wide.view(np.int64).ravel())
-        seen.append(np.repeat(classes, counts))
-        if len(raw := blobs.column("sizes")[row].as_py()):
-            info.append((np.frombuffer(blobs.column("ids")[row].as_py(), dtype=np.int64),
-                         np.frombuffer(blobs.column("no_id")[row].as_py(), dtype=np.uint8).astype(bool),
-                         np.frombuffer(blobs.column("keys")[row].as_py(), dtype=np.int64), np.frombuffer(raw, dtype=np.int64),
-                         np.frombuffer(blobs.column("own")[row].as_py(), dtype=np.int64)))
-    token, owner = np.concatenate(tokens), np.concatenate(seen)
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
-    fresh = np.ones(len(token), dtype=bool)  # a class from several batches counts once
-    fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-    token, owner = token[fresh], owner[fresh]
-    first = np.ones(len(token), dtype=bool)
-    first[1:] = token[1:] != token[:-1]
-    df = np.diff(np.append(np.flatnonzero(first), len(token)))
-    df = np.repeat(df, df)
-    token, owner, df = token[df > 1] | np.int64(prefix << 48), owner[df > 1], df[df > 1]
-    order = np.argsort(owner, kind="stable")
-    token, owner, df = token[order], owner[order], df[order].astype(np.int64)
-    classes, at = np.unique(owner, return_index=True)
-    ends = np.append(at[1:], len(owner))
-    n_info = sum(len(x[0]) for x in info)
-    none = [None] * n_info
-    cat = [np.concatenate([x[i] for x in info]) if info else np.zeros(0, dtype=np.int64) for i in range(5)]
-    return pa.table({
-        "kind": pa.array(np.concatenate((np.ones(len(classes), dtype=np.int32), np.zeros(n_info, dtype=np.int32)))),
-        "class": pa.array(np.concatenate((classes, cat[4]))),
-        "n": pa.array([*([None] * len(classes)), *cat[3].tolist()], pa.int64()),
-        "tokens": pa.array([*(token[a:b].tobytes() for a, b in zip(at, ends, strict=True)), *none], pa.binary()),
-        "dfs": pa.array([*(df[a:b].tobytes() for a, b in zip(at, ends, strict=True)), *none], pa.binary()),
-        "doc_id": pa.array([*([None] * len(classes)), *(None if gone else i for i, gone in zip(cat[0].tolist(), cat[1].tolist(), strict=True))], pa.int64()),
-        "key": pa.array([*([None] * len(classes)), *cat[2].tolist()], pa.int64()),
-    })
+_POSTINGS = ("home int, classes binary, lengths binary, counts binary, tokens binary, dfs binary, "
+             "doc_id long, key long, n long, class long")
+
+
+def _raw(column: pa.ChunkedArray, row: int, kind: str) -> np.ndarray:
+    return np.frombuffer(column[row].as_py(), dtype=kind)
+
+
+def _bucket_postings(buckets: int):
+    def postings(blobs: pa.Table) -> pa.Table:
+        """One bucket: tokens that two classes or more share, with their document frequency, packed
+        by the home of their class (home >= 0); and the info rows that came along (home -1)."""
+        prefix = int(blobs.column("bucket")[0].as_py()) & 0x7FFF
+        parts: list[tuple[np.ndarray, ...]] = []
+        info: list[tuple[np.ndarray, ...]] = []
+        for row in range(blobs.num_rows):
+            counts = _raw(blobs.column("counts"), row, "u4")
+            packed = _raw(blobs.column("tokens"), row, "u1").reshape(-1, TOKEN_BYTES)
+            wide = np.zeros((len(packed), 8), dtype=np.uint8)
+            wide[:, :TOKEN_BYTES] = packed
+            parts.append((wide.view(np.int64).ravel(), np.repeat(_raw(blobs.column("classes"), row, "i8"), counts),
+                          np.repeat(_raw(blobs.column("lengths"), row, "u4"), counts)))
+            if blobs.column("sizes")[row].as_py():
+                info.append((_raw(blobs.column("ids"), row, "i8"), _raw(blobs.column("no_id"), row, "u1"), _raw(blobs.column("keys"), row, "i8"),
+                             _raw(blobs.column("sizes"), row, "i8"), _raw(blobs.column("own"), row, "i8")))
+        token, owner, length = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        order = np.lexsort((owner, token))
+        token, owner, length = token[order], owner[order], length[order]
+        first = np.ones(len(token), dtype=bool)
+        first[1:] = token[1:] != token[:-1]
+        fresh = first.copy()  # a class from several batches counts once
+        fresh[1:] |= owner[1:] != owner[:-1]
+        token, owner, length, first = token[fresh], owner[fresh], length[fresh], first[fresh]
+        df = np.diff(np.append(np.flatnonzero(first), len(token)))
+        df = np.repeat(df, df)
+        shared = df > 1
+        token, owner, length, df = token[shared] | np.int64(prefix << 48), owner[shared], length[shared], df[shared].astype(np.uint32)
+        home = (_mix(owner.view(np.uint64)) % _U(buckets)).astype(np.int32)
+        order = np.lexsort((owner, home))
+        token, owner, length, df, home = token[order], owner[order], length[order], df[order], home[order]
+        new = np.ones(len(owner), dtype=bool)
+        new[1:] = owner[1:] != owner[:-1]
+        at = np.flatnonzero(new)
+        counts = np.diff(np.append(at, len(owner))).astype(np.uint32)
+        homes, from_row = np.unique(home, return_index=True)
+        to_row = np.append(from_row[1:], len(home))
+        blob = []
+        for lo, hi in zip(from_row, to_row, strict=True):
+            x, y = np.searchsorted(at, (lo, hi))
+            blob.append((owner[at[x:y]].tobytes(), length[at[x:y]].tobytes(), counts[x:y].tobytes(), token[lo:hi].tobytes(), df[lo:hi].tobytes()))
+        cat = [np.concatenate([x[i] for x in info]) if info else np.zeros(0, dtype=np.int64) for i in range(5)]
+        k, none = len(cat[0]), [None] * len(homes)
+        packed_columns = list(zip(*blob, strict=True)) or [()] * 5
+        names = [x.split()[0] for x in _POSTINGS.split(", ")]
+        return pa.table([
+            pa.array([*homes.tolist(), *[-1] * k], pa.int32()), *(pa.array([*c, *[None] * k], pa.binary()) for c in packed_columns),
+            pa.array([*none, *(None if gone else i for i, gone in zip(cat[0].tolist(), cat[1].tolist(), strict=True))], pa.int64()),
+            *(pa.array([*none, *c.tolist()], pa.int64()) for c in cat[2:])], names=names)
+
+    return postings
 
 
 def needed(n: int) -> int:
@@ -244,25 +255,28 @@ def choose_prefix(n: int, dfs: np.ndarray) -> tuple[int, int]:
     return best + 1, start + best
 
 
-def _class_rows(batches) -> Iterator[pa.RecordBatch]:
-    """Per class: all shared tokens ascending, and the chosen prefix."""
-    for batch in batches:
-        out: list[tuple] = []
-        for i in range(batch.num_rows):
-            parts = batch.column("parts")[i].values
-            tokens = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in parts.field("tokens")])
-            dfs = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in parts.field("dfs")])
-            n = batch.column("n")[i].as_py()
-            order = np.lexsort((tokens, dfs))
-            l, length = choose_prefix(n, dfs[order])
-            if l:
-                out.append((batch.column("class")[i].as_py(), n, l, tokens[order[:length]].tolist(), np.sort(tokens).tobytes()))
-        if out:
-            columns = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()),
-                 pa.array(columns[3], pa.list_(pa.int64())), pa.array(columns[4], pa.binary())],
-                names=["class", "n", "l", "prefix", "tokens"])
+_CLASSES = "class long, n long, m long, l int, prefix array<long>, tokens binary"
+
+
+def _class_rows(blobs: pa.Table) -> pa.Table:
+    """Classes of one home: their shared tokens (m of them) ascending, and the chosen prefix."""
+    token = np.concatenate([_raw(blobs.column("tokens"), r, "i8") for r in range(blobs.num_rows)])
+    df = np.concatenate([_raw(blobs.column("dfs"), r, "u4") for r in range(blobs.num_rows)]).astype(np.int64)
+    counts = np.concatenate([_raw(blobs.column("counts"), r, "u4") for r in range(blobs.num_rows)])
+    owner = np.repeat(np.concatenate([_raw(blobs.column("classes"), r, "i8") for r in range(blobs.num_rows)]), counts)
+    length = np.repeat(np.concatenate([_raw(blobs.column("lengths"), r, "u4") for r in range(blobs.num_rows)]), counts)
+    order = np.lexsort((token, df, owner))
+    token, df, owner, length = token[order], df[order], owner[order], length[order]
+    classes, at = np.unique(owner, return_index=True)
+    out: list[tuple] = []
+    for name, lo, hi in zip(classes.tolist(), at, np.append(at[1:], len(owner)), strict=True):
+        n = int(length[lo])
+        l, size = choose_prefix(n, df[lo:hi])
+        if l:
+            out.append((name, n, int(hi - lo), l, token[lo:lo + size], np.sort(token[lo:hi]).tobytes()))
+    columns = list(zip(*out, strict=True)) or [()] * 6
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _CLASSES.split(", ")])
 
 
 def _verify(batches) -> Iterator[pa.RecordBatch]:
@@ -312,8 +326,35 @@ def _open(postings: DataFrame) -> DataFrame:
     return postings.join(mixed.select("t"), F.col("token") == F.col("t"), "left_semi")
 
 
-def _fits(na: Column, nb: Column) -> Column:
-    return (F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM)
+def _fits(na: Column, ma: Column, nb: Column, mb: Column) -> Column:
+    """Lengths, and the numbers of tokens that any other class has, allow the similarity."""
+    return ((F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM) & (F.least(ma, mb) * (NUM + DEN) >= (na + nb) * NUM))
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(1.07)).cast("int")
+
+
+def candidate_pairs(postings: DataFrame) -> DataFrame:
+    """Pairs (a, b, ca, cb) of classes of different components whose prefixes share at least the
+    smaller l. The larger set probes the bands of lengths that its partners can have: from t n up
+    to (1 + 1/t) m - n, as at most m of its n tokens occur elsewhere. Sets that cannot be the smaller
+    one of a pair aren't probed. A shared token at places p and q of the shared tokens leaves an
+    overlap of at most min(p, q) + min(m - p, m' - q)."""
+    top = F.least("n", F.floor(F.col("m") * (NUM + DEN) / NUM).cast("long") - F.col("n"))
+    low = F.ceil(F.col("n") * NUM / DEN).cast("long")
+    left = (postings.withColumns({"top": top, "low": low}).where("top >= low")
+            .select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("l").alias("la"), F.col("comp").alias("ca"),
+                    F.col("place").alias("pa"), "token", F.explode(F.sequence(_band(F.col("low")), _band(F.col("top")))).alias("band")))
+    right = (postings.where(F.col("m") * (NUM + DEN) >= 2 * NUM * F.col("n"))
+             .select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("l").alias("lb"), F.col("comp").alias("cb"),
+                     F.col("place").alias("pb"), "token", _band(F.col("n")).alias("band")))
+    smaller = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
+    reach = F.least("pa", "pb") + F.least(F.col("ma") - F.col("pa"), F.col("mb") - F.col("pb"))
+    possible = _fits(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb")) & (reach * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM)
+    return (left.join(right, ["token", "band"]).where(smaller & (F.col("ca") != F.col("cb")) & possible)
+            .groupBy("a", "b", "ca", "cb", "la", "lb").agg(F.count(F.lit(1)).alias("shared"))
+            .where(F.col("shared") >= F.least("la", "lb")).select("a", "b", "ca", "cb"))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -324,14 +365,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("key"), body.alias("text"))
     volume = docs.agg(F.sum(F.octet_length(body)).alias("s")).first()["s"] or 0
     buckets = int(max(shuffle_partitions(spark) // 2, 1, min(math.ceil(volume / BUCKET_BYTES), 1 << 15)))
-    postings = pinned(_token_blobs(narrow, buckets, width).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_bucket_postings, _POSTINGS))
-    info = postings.where("kind = 0").select("doc_id", "key", "n", "class")
-    sizes = info.where("n > 0").groupBy("class").agg(F.first("n").alias("n"))
-    gathered = (postings.where("kind = 1").groupBy("class").agg(F.collect_list(F.struct("tokens", "dfs")).alias("parts"))
-                .join(sizes, "class").select("class", "n", "parts"))
-    chosen = pinned(gathered.mapInArrow(_class_rows, "class long, n long, l int, prefix array<long>, tokens binary"))
+    postings = pinned(_token_blobs(narrow, buckets, width).repartition(buckets, "bucket").groupBy("bucket")
+                      .applyInArrow(_bucket_postings(buckets), _POSTINGS))
+    info = postings.where("home = -1").select("doc_id", "key", "n", "class")
+    chosen = pinned(postings.where("home >= 0").select("home", "classes", "lengths", "counts", "tokens", "dfs")
+                    .groupBy("home").applyInArrow(_class_rows, _CLASSES))
     sets = chosen.select("class", "n", "tokens")
-    open_ = pinned(_open(chosen.select("class", "n", "l", F.col("class").alias("comp"), F.explode("prefix").alias("token"))))
+    open_ = pinned(_open(chosen.select("class", "n", "m", "l", F.col("class").alias("comp"), F.posexplode("prefix").alias("place", "token"))))
     merges: list[DataFrame] = []
 
     def merge(pairs: DataFrame) -> int:
@@ -350,20 +390,15 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     for turn in range(HUB_ROUNDS):
         # the hub of a posting list: the class that this round's hash puts first
         rank = F.xxhash64("comp", F.lit(turn))
-        hubs = open_.groupBy(F.col("token").alias("t")).agg(F.min_by(F.struct("class", "n", "comp"), F.struct(rank.alias("r"), F.col("class").alias("c"))).alias("hub"))
-        named = (open_.join(hubs, F.col("token") == F.col("t")).where((F.col("hub.comp") != F.col("comp")) & _fits(F.col("n"), F.col("hub.n")))
+        hubs = open_.groupBy(F.col("token").alias("t")).agg(F.min_by(F.struct("class", "n", "m", "comp"), F.struct(rank.alias("r"), F.col("class").alias("c"))).alias("hub"))
+        named = (open_.join(hubs, F.col("token") == F.col("t")).where((F.col("hub.comp") != F.col("comp")) & _fits(F.col("n"), F.col("m"), F.col("hub.n"), F.col("hub.m")))
                  .groupBy("class", "comp", "hub").agg(F.count(F.lit(1)).alias("shared")))
         best = named.groupBy(F.col("class").alias("a"), F.col("comp").alias("ca")).agg(F.max_by("hub", F.struct("shared", F.col("hub.class").alias("h"))).alias("hub"))
         pairs = pinned(best.select("a", "ca", F.col("hub.class").alias("b"), F.col("hub.comp").alias("cb")))
         before = pairs.count()
         if not before or merge(pairs) < before / 50:
             break
-    left = open_.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("comp").alias("ca"), "token")
-    right = open_.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("comp").alias("cb"), "token")
-    candidates = (left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("na"), F.col("nb")))
-                  .groupBy("a", "b", "ca", "cb", "la", "lb").agg(F.count(F.lit(1)).alias("shared"))
-                  .where(F.col("shared") >= F.least("la", "lb")).select("a", "b", "ca", "cb"))
-    merge(pinned(candidates))
+    merge(pinned(candidate_pairs(open_)))
     comps = info.where("n > 0").select("class").distinct().withColumn("comp", F.col("class"))
     for roots in merges:
         comps = (comps.join(roots, F.col("comp") == F.col("node"), "left")
