@@ -42,3 +42,15 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """64-bit hash of a row's id and text, never null."""
+    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("\x00")), F.coalesce(text, F.lit("\x00")))
+
+
+def keep_keys(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows of ``docs`` whose ``row_key`` is in the one column of ``keys``: one exchange of the rows."""
+    keys = keys.toDF("wanted").distinct()
+    rows = docs.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(text)).alias("own"))
+    return rows.join(keys, F.col("own") == F.col("wanted"), "left_semi").select("row.*")

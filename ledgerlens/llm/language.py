@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import BLANKS, pinned
+from ledgerlens.llm.common import keep_keys, pinned, row_key
 from ledgerlens.llm.url_rules import url_host
 
 LANGUAGES = ("en", "de", "fr", "es")
@@ -218,20 +218,14 @@ def identify_pages(pages: DataFrame, model: np.ndarray, page_id: str = "page_id"
 def identify_documents(docs: DataFrame, model: np.ndarray, doc_id: str = "doc_id", text: str = "text", declared: str = "lang",
                        host: str = "source") -> DataFrame:
     """Like ``identify_pages`` for plain texts; ``key`` is a hash of id and text."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(docs, doc_id, text).alias("key"), F.col(host).alias("host"),
+    rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(host).alias("host"),
                        primary_tag(F.col(declared)).alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col(text).alias("text"))
     return fuse(score(rows, "text", model)).drop("_known")
 
 
-def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("\x00")), F.coalesce(F.col(text), F.lit("\x00")))
-
-
 def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", declared: str = "lang", host: str = "source") -> DataFrame:
     """The rows whose language is identified, with all their columns; rows without text go."""
     model = train(docs, text, declared)
-    decided = identify_documents(docs, model, doc_id, text, declared, host).where("accepted and text_language is not null")
-    keys = decided.select("key").distinct()
-    rows = docs.where(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANKS)) != "")
-    rows = rows.select(F.struct("*").alias("row"), row_key(rows, doc_id, text).alias("k"))
-    return rows.join(keys, F.col("k") == F.col("key"), "left_semi").select("row.*")
+    # pinned, else the filter would be pushed into, and multiply, the nested expressions of the beliefs
+    decided = pinned(identify_documents(docs, model, doc_id, text, declared, host)).where("accepted and text_language is not null")
+    return keep_keys(docs, decided.select("key"), doc_id, text)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import BLANKS, pinned, shuffle_partitions
+from ledgerlens.llm.common import BLANKS, pinned, row_key, shuffle_partitions
 
 WIDTH = 5
 NUM, DEN = 75, 100  # similarity of two linked sets: shared * DEN >= union * NUM
@@ -408,10 +408,6 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
             .select("doc_id", "key", "n", "class", F.when(F.col("n") > 0, F.coalesce("moved", "class")).alias("comp")))
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("\x00")), F.coalesce(text, F.lit("\x00")))
-
-
 def component_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id per row."""
     rows = pinned(join(docs, doc_id, text))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import BLANKS, pinned, words
+from ledgerlens.llm.common import BLANKS, keep_keys, pinned, row_key, words
 
 SYMBOLS = "#*$%&|<>"
 FEATURES = ["n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "mark_share", "distinct_share"]
@@ -192,8 +192,9 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the base rules and the learned list keep, with all their columns.
-    The texts stay in place: the list is learned from narrow statistics, then applied to the rows."""
-    stats = with_stats(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t")), "_t")
+    Statistics are computed once, without the texts; the rows follow by their key."""
+    stats = pinned(with_stats(docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("key"),
+                                          F.col(text).alias("_t")), "_t"))
     rules = learn(labelled_stats(stats, labels))
-    rows = with_stats(docs.select(F.struct("*").alias("row"), F.col(text).alias("_t")), "_t")
-    return rows.where(~base_failed() & rule_number(rules).isNull()).select("row.*")
+    kept = stats.where(~base_failed() & rule_number(rules).isNull())
+    return keep_keys(docs, kept.select("key"), doc_id, text)
