@@ -75,6 +75,15 @@ def normalize_columns(df: DataFrame, vocabulary: Sequence[str] = STANDARD_COLUMN
 
 def normalize_values(df: DataFrame, col: str, out: str, vocabulary: Sequence[str], threshold: float = 80.0,
                      synonyms: DataFrame | None = None) -> DataFrame:
-    """Map the values of a string column to vocabulary terms (NULL when unmapped)."""
-    m = vocabulary_mapping(df, col, vocabulary, threshold, synonyms).select(F.col("value").alias("_v"), F.col("term").alias(out))
+    """Map each value of a string column to its best vocabulary term (ties: the smaller term), or by
+    its synonym where no term reaches the threshold; NULL when unmapped. One row per input row."""
+    vals = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
+    pairs = vals.select("value", F.explode(F.array(*[F.lit(t) for t in vocabulary])).alias("term"))
+    scored = pairs.withColumn("score", token_sort_ratio_udf(F.col("term"), F.col("value")))
+    m = (scored.groupBy("value").agg(F.min_by(F.struct("term", "score"), F.struct(-F.col("score"), F.col("term"))).alias("b"))
+         .select(F.col("value").alias("_v"), F.when(F.col("b.score") >= threshold, F.col("b.term")).alias(out)))
+    if synonyms is not None:
+        syn = (synonyms.where(F.col("term").isin(list(vocabulary))).groupBy(F.lower("synonym").alias("_syn")).agg(F.min("term").alias("_st")))
+        m = (m.join(syn, F.lower(F.regexp_replace("_v", "_", " ")) == F.col("_syn"), "left")
+             .select("_v", F.coalesce(F.col(out), F.col("_st")).alias(out)))
     return df.join(m, df[col].cast("string") == m["_v"], "left").drop("_v")

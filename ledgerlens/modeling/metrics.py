@@ -58,7 +58,7 @@ def advanced_metrics(df: DataFrame, y: str = "y", pred: str = "pred", group_cols
     mom = d.groupBy(*g).agg(
         F.max(F.abs("_e")).alias("max_error"), F.avg("_e").alias("mean_residual"), F.stddev_pop("_e").alias("std_residual"),
         F.skewness("_e").alias("residual_skewness"), F.kurtosis("_e").alias("residual_kurtosis"),
-        F.corr("_p", "_e").alias("_corr"), F.countDistinct("_p").alias("_np"),
+        F.corr("_p", "_e").alias("_corr"), F.when(F.min("_p") < F.max("_p"), 2).otherwise(1).alias("_np"),
         F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("_rmse"), F.stddev_pop("_y").alias("_sy"), F.avg("_y").alias("_my"))
     qs = group_quantiles(d.withColumn("_ae", F.abs("_e")), "_ae", [0.5, 0.25, 0.75, 0.9, 0.95], by=g,
                          names=["median_ae", "mae_p25", "mae_p75", "mae_p90", "mae_p95"], method=quantile_method)

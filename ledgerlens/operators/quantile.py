@@ -61,8 +61,13 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    stats = base.groupBy(*by).agg(F.count("_v").alias("_n"))
-    n_max = stats.agg(F.max("_n")).first()[0] or 0
+    # the only read of the input: (group, value, count); everything below works on distinct values,
+    # so a frequent value is one row and buckets always shrink
+    ensure_checkpoint_dir(df.sparkSession)
+    counted = base.groupBy(*by, "_v").agg(F.count("_v").alias("_c")).checkpoint(eager=True)
+    stats = counted.groupBy(*by).agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("_n"))
+    counted = counted.where(F.col("_v").isNotNull())
+    n_max = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
 
     # wanted ranks: target 2i = floor(p(n-1)), 2i+1 = ceil(p(n-1))
     rank_structs = []
@@ -73,7 +78,7 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     targets = (stats.select(*by, F.explode(F.array(*rank_structs)).alias("_tr"))
                .select(*by, F.col("_tr.t").alias("_t"), F.col("_tr.r").alias("_r"), F.lit(0).cast("long").alias("_below")))
 
-    cand = base          # (by, _v) — not yet split per target
+    cand = counted       # (by, _v, _c) — not yet split per target
     per_target = False
     size = n_max
     cut_fracs = [i / fanout for i in range(1, fanout)]
@@ -82,7 +87,7 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         sketch = cand.groupBy(*grp).agg(F.percentile_approx("_v", cut_fracs, accuracy).alias("_cuts"))
         bucketed = _join_small(cand, sketch, grp)
         bucketed = bucketed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
-        bstats = bucketed.groupBy(*grp, "_b").agg(F.count("_v").alias("_cnt"))
+        bstats = bucketed.groupBy(*grp, "_b").agg(F.sum("_c").cast("long").alias("_cnt"), F.count(F.lit(1)).alias("_d"))
         w = Window.partitionBy(*grp).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) if grp \
             else Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         bstats = bstats.withColumn("_start", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
@@ -90,10 +95,10 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         picked = _join_small(targets, bstats, on).where(
             (F.col("_below") + F.col("_start") <= F.col("_r")) &
             (F.col("_r") < F.col("_below") + F.col("_start") + F.col("_cnt")))
-        targets = picked.select(*by, "_t", "_r", (F.col("_below") + F.col("_start")).alias("_below"), "_b", "_cnt")
-        size = targets.agg(F.max("_cnt")).first()[0] or 0
+        targets = picked.select(*by, "_t", "_r", (F.col("_below") + F.col("_start")).alias("_below"), "_b", "_cnt", "_d")
+        size = targets.agg(F.max("_d")).first()[0] or 0
         keep = targets.select(*by, "_t", "_b")
-        cand = _join_small(bucketed, keep, by + (["_t", "_b"] if per_target else ["_b"])).select(*by, "_t", "_v")
+        cand = _join_small(bucketed, keep, by + (["_t", "_b"] if per_target else ["_b"])).select(*by, "_t", "_v", "_c")
         targets = targets.select(*by, "_t", "_r", "_below")
         # each round keeps ~1/fanout of the candidates: materialise them (and the small target
         # table) so the next round does not re-derive them from the source
@@ -102,7 +107,7 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         per_target = True
 
     grp = by + (["_t"] if per_target else [])
-    vc = cand.groupBy(*grp, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    vc = cand.select(*grp, "_v", "_c")
     w = (Window.partitionBy(*grp) if grp else Window.partitionBy()).orderBy("_v")
     vc = vc.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     hit = _join_small(vc, targets, grp).where(

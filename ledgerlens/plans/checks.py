@@ -18,7 +18,8 @@ def round_like_oracle(c, places: int):
     m = float(10 ** places)
     special = c.isNull() | F.isnan(c) | (c == float("inf")) | (c == float("-inf"))
     r = F.signum(c) * F.floor(F.abs(c) * m + F.lit(0.5)) / m
-    return F.when(special, c).otherwise(r) + F.lit(0.0)
+    # above 2^52 / m a double has no digit to round, and the 64-bit floor would clamp it
+    return F.when(special | (F.abs(c) * m >= float(2 ** 52)), c).otherwise(r) + F.lit(0.0)
 
 
 def finalize(df: DataFrame, spec) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,17 +11,20 @@ from pyspark.sql.types import StructType
 
 def read_sales_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
                    date_col: str | None = "Order Date", date_format: str | None = None) -> DataFrame:
-    """Read a header CSV in ISO-8859-1. Fails when a local path is absent.
+    """Read a header CSV in ISO-8859-1. Fails when the path is absent.
 
     Without a schema every column is read as a string (no inference pass over the data);
     ``date_col`` is parsed with ``try_to_timestamp`` so bad dates become NULL.
     """
-    if ":" not in path.split("/")[0] and not os.path.exists(path):
-        raise FileNotFoundError(f"CSV not found: {path}")
     reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.csv(path)
+    try:
+        df = reader.csv(path)
+    except AnalysisException as e:  # the reader knows every file system, the driver only its own
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"CSV not found: {path}") from e
+        raise
     if date_col and date_col in df.columns:
         df = df.withColumn(date_col, parse_timestamp(F.col(date_col), date_format))
     return df

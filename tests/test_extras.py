@@ -87,3 +87,12 @@ def test_normalize_columns_and_values(spark):
     assert normalize_columns(df, synonyms=syn).columns[:2] == ["region", "quantity"]
     out = normalize_values(df, "cat", "std", ["LARGE", "SMALL"]).first()
     assert out["std"] == "LARGE"
+
+
+def test_values_map_to_best_term_without_duplicates(spark):
+    from ledgerlens.functions.fuzzy import normalize_values
+
+    df = spark.createDataFrame([("ECONOMI",), ("ECONOMYY",), ("ECONOMY",), (None,), ("zzz",)], "v string")
+    got = {r["v"]: r["t"] for r in normalize_values(df, "v", "t", ["ECONOMY", "ECONOMICS"], 80.0).collect()}
+    assert got["ECONOMY"] == got["ECONOMYY"] == "ECONOMY" and got["ECONOMI"] is not None and got["zzz"] is None
+    assert normalize_values(df, "v", "t", ["ECONOMY", "ECONOMICS"], 80.0).count() == 5

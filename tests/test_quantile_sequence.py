@@ -77,3 +77,24 @@ def test_approx_quantiles_within_rank_error(spark):
     for p, name in ((0.1, "q0_1"), (0.5, "q0_5"), (0.9, "q0_9")):
         rank = (v < got[name]).mean()
         assert abs(rank - p) <= 1.0 / 1000 + 1.0 / 5000
+
+
+def test_exact_quantiles_end_on_frequent_values(spark):
+    """One value far above the limit of a task, a constant column and 0/1 flags."""
+    import numpy as np
+
+    from ledgerlens.operators.quantile import group_quantiles
+
+    rows = [(float(i % 4 if i % 10 else 3), 5.0, float(i % 2)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    for k, name in enumerate("abc"):
+        got = group_quantiles(df, name, [0.1, 0.5, 0.9], names=["x", "y", "z"], rows_per_task=2).first()
+        want = np.quantile([r[k] for r in rows], [0.1, 0.5, 0.9])
+        assert [got["x"], got["y"], got["z"]] == list(want)
+
+
+def test_rounding_leaves_large_values(spark):
+    from ledgerlens.plans.checks import finalize
+
+    got = finalize(spark.createDataFrame([(1e12,), (2.5e10,), (1.23456789,)], "x double"), [("x", "d6")]).collect()
+    assert [r["x"] for r in got] == [1e12, 2.5e10, 1.234568]
