@@ -12,10 +12,13 @@ candidates that l shared tokens let through. A pair is a candidate if its chosen
 least the smaller of both l. Tokens of one class alone come first in every order and can't match.
 
 Links: pairs within a posting list grow with its square, so they are not all made. In hub rounds
-each class is verified against one class only, the hub that most of its prefix tokens name; verified
-links merge classes into components, and posting lists within one component drop out. When a round
-merges little, the last step makes all candidate pairs between different components, so no link
-that could change a component is lost. Verification counts the shared tokens exactly.
+each class is verified against one class only, the hub that most of its prefix tokens name: the
+class of the list whose tokens are the most frequent, so the middle of a group of near copies.
+Verified links merge classes into components, and posting lists within one component drop out. When
+a round merges little, the last step makes all pairs between different components that meet in a
+posting list, each pair once, at the first token that their prefixes share. No link that could
+change a component is lost. Verification first counts the shared prefix tokens against the smaller
+l, then the shared tokens exactly.
 
 Cases: null or blank texts have no shingles and no links, one component each; texts under five
 words have one shingle, the whole sequence; equal texts and repeated rows are linked; ties in the
@@ -42,6 +45,8 @@ PART_BYTES = 1 << 21
 FLUSH_TOKENS = 1 << 21
 BUCKET_BYTES = 24 << 20  # text bytes that one bucket of tokens stands for
 HUB_ROUNDS = 4
+LITTLE = 0.1  # share of a round's pairs; with fewer links the rounds end
+BLOCK_BYTES = 32 << 20  # token bytes that one group of pairs is verified with
 TOKEN_BYTES = 6
 
 _U = np.uint64
@@ -255,7 +260,7 @@ def choose_prefix(n: int, dfs: np.ndarray) -> tuple[int, int]:
     return best + 1, start + best
 
 
-_CLASSES = "class long, n long, m long, l int, prefix array<long>, tokens binary"
+_CLASSES = "class long, n long, m long, l int, prefix array<long>, tokens binary, central double"
 
 
 def _class_rows(blobs: pa.Table) -> pa.Table:
@@ -273,31 +278,44 @@ def _class_rows(blobs: pa.Table) -> pa.Table:
         n = int(length[lo])
         l, size = choose_prefix(n, df[lo:hi])
         if l:
-            out.append((name, n, int(hi - lo), l, token[lo:lo + size], np.sort(token[lo:hi]).tobytes()))
-    columns = list(zip(*out, strict=True)) or [()] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+            out.append((name, n, int(hi - lo), l, token[lo:lo + size], np.sort(token[lo:hi]).tobytes(), float(df[lo:hi].sum() / n)))
+    columns = list(zip(*out, strict=True)) or [()] * 7
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.float64()]
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _CLASSES.split(", ")])
 
 
-def _verify(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ok = []
-        for i in range(batch.num_rows):
-            a = np.frombuffer(batch.column("ta")[i].as_buffer(), dtype=np.int64)
-            b = np.frombuffer(batch.column("tb")[i].as_buffer(), dtype=np.int64)
-            shared = len(np.intersect1d(a, b, assume_unique=True))
-            union = batch.column("na")[i].as_py() + batch.column("nb")[i].as_py() - shared
-            ok.append(shared * DEN >= union * NUM)
-        kept = batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-        if kept.num_rows:
-            yield kept
+def _verify(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """(ca, cb) of the pairs of one block whose prefixes share enough tokens and whose sets are similar."""
+    row = {c: i for i, c in enumerate(sets.column("class").to_pylist())}
+    n, l = sets.column("n").to_pylist(), sets.column("l").to_pylist()
+    prefix = [frozenset(x) for x in sets.column("prefix").to_pylist()]
+    tokens = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in sets.column("tokens")]
+    ok = []
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        i, j = row[a], row[b]
+        similar = len(prefix[i] & prefix[j]) >= min(l[i], l[j])
+        if similar:
+            shared = len(np.intersect1d(tokens[i], tokens[j], assume_unique=True))
+            similar = shared * DEN >= (n[i] + n[j] - shared) * NUM
+        ok.append(similar)
+    return pairs.select(["ca", "cb"]).filter(pa.array(ok, pa.bool_()))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes whose sets are similar. Each side's sets cross one exchange."""
-    left = sets.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_verify, "a long, b long")
+    """(ca, cb) of the similar pairs (a, b, ca, cb, na, nb). Pairs are cut into blocks by a and by b,
+    large blocks into pieces, so a set goes once to each piece that needs it and not once per pair."""
+    total = pairs.agg(F.sum(F.col("na") + F.col("nb")).alias("s")).first()["s"] or 0
+    side = math.ceil(math.sqrt(max(shuffle_partitions(pairs.sparkSession), 8 * total / BLOCK_BYTES)))
+    x, y = F.pmod(F.xxhash64("a"), F.lit(side)), F.pmod(F.xxhash64("b"), F.lit(side))
+    keyed = pairs.withColumn("block", x * side + y)
+    pieces = (keyed.groupBy(F.col("block").alias("of"))
+              .agg(F.ceil(F.sum(F.col("na") + F.col("nb")) * 8 / F.lit(BLOCK_BYTES)).alias("pieces")))
+    keyed = (keyed.join(pieces, F.col("block") == F.col("of"))
+             .select("block", F.pmod(F.xxhash64("a", "b"), F.greatest("pieces", F.lit(1))).alias("piece"), "a", "b", "ca", "cb"))
+    wanted = keyed.select(F.col("block").alias("to"), F.col("piece").alias("part"), F.explode(F.array("a", "b")).alias("class")).distinct()
+    needed_sets = wanted.join(sets.select("class", "n", "l", "prefix", "tokens"), "class")
+    return (keyed.groupBy("block", "piece").cogroup(needed_sets.groupBy("to", "part"))
+            .applyInArrow(_verify, "ca long, cb long"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -332,29 +350,37 @@ def _fits(na: Column, ma: Column, nb: Column, mb: Column) -> Column:
 
 
 def _band(n: Column) -> Column:
-    return F.floor(F.log(n.cast("double")) / math.log(1.07)).cast("int")
-
-
-def candidate_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs (a, b, ca, cb) of classes of different components whose prefixes share at least the
-    smaller l. The larger set probes the bands of lengths that its partners can have: from t n up
-    to (1 + 1/t) m - n, as at most m of its n tokens occur elsewhere. Sets that cannot be the smaller
-    one of a pair aren't probed. A shared token at places p and q of the shared tokens leaves an
-    overlap of at most min(p, q) + min(m - p, m' - q)."""
+    return F.floor(F.log(n.cast("double")) / math.log(1.15)).cast("int")
+
+
+def candidate_pairs(postings: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Pairs (a, b, ca, cb, na, nb) of classes of different components whose prefixes meet, each pair
+    once: at the first token that both prefixes hold, so what stands before it in them is disjoint.
+    The larger set probes the bands of lengths that its partners can have: from t n up to
+    (1 + 1/t) m - n, as at most m of its n tokens occur elsewhere. Sets that cannot be the smaller
+    one of a pair aren't probed. A first shared token at places p and q of the shared tokens leaves an
+    overlap of at most min(m - p, m' - q), and at most min(s - p, s' - q) shared tokens of prefixes
+    of s and s' tokens, of which the smaller l must be found."""
+    postings = postings.join(prefixes.select(F.col("class").alias("of"), "prefix"), F.col("class") == F.col("of"))
+    common = ["token", "n", "m", "l", "comp", "place", F.size("prefix").alias("s"), F.slice("prefix", F.lit(1), F.col("place")).alias("before")]
+    postings = postings.select("class", *common)
     top = F.least("n", F.floor(F.col("m") * (NUM + DEN) / NUM).cast("long") - F.col("n"))
     low = F.ceil(F.col("n") * NUM / DEN).cast("long")
+
+    def named(side: str) -> list[Column]:
+        return [F.col("class").alias(side), *(F.col(c).alias(c[0] + side) for c in ("n", "m", "l", "comp", "place", "before")), F.col("s").alias("s" + side), "token"]
+
     left = (postings.withColumns({"top": top, "low": low}).where("top >= low")
-            .select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("l").alias("la"), F.col("comp").alias("ca"),
-                    F.col("place").alias("pa"), "token", F.explode(F.sequence(_band(F.col("low")), _band(F.col("top")))).alias("band")))
+            .select(*named("a"), F.explode(F.sequence(_band(F.col("low")), _band(F.col("top")))).alias("band")))
     right = (postings.where(F.col("m") * (NUM + DEN) >= 2 * NUM * F.col("n"))
-             .select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("l").alias("lb"), F.col("comp").alias("cb"),
-                     F.col("place").alias("pb"), "token", _band(F.col("n")).alias("band")))
+             .select(*named("b"), _band(F.col("n")).alias("band")))
     smaller = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
-    reach = F.least("pa", "pb") + F.least(F.col("ma") - F.col("pa"), F.col("mb") - F.col("pb"))
-    possible = _fits(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb")) & (reach * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM)
-    return (left.join(right, ["token", "band"]).where(smaller & (F.col("ca") != F.col("cb")) & possible)
-            .groupBy("a", "b", "ca", "cb", "la", "lb").agg(F.count(F.lit(1)).alias("shared"))
-            .where(F.col("shared") >= F.least("la", "lb")).select("a", "b", "ca", "cb"))
+    overlap = F.least(F.col("ma") - F.col("pa"), F.col("mb") - F.col("pb"))
+    possible = (_fits(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb")) & (overlap * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM)
+                & (F.least(F.col("sa") - F.col("pa"), F.col("sb") - F.col("pb")) >= F.least("la", "lb")))
+    first = ~F.arrays_overlap("ba", "bb")
+    return (left.join(right, ["token", "band"]).where((F.col("ca") != F.col("cb")) & smaller & possible & first)
+            .select("a", "b", "ca", "cb", "na", "nb"))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -370,15 +396,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     info = postings.where("home = -1").select("doc_id", "key", "n", "class")
     chosen = pinned(postings.where("home >= 0").select("home", "classes", "lengths", "counts", "tokens", "dfs")
                     .groupBy("home").applyInArrow(_class_rows, _CLASSES))
-    sets = chosen.select("class", "n", "tokens")
-    open_ = pinned(_open(chosen.select("class", "n", "m", "l", F.col("class").alias("comp"), F.posexplode("prefix").alias("place", "token"))))
+    open_ = pinned(_open(chosen.select("class", "n", "m", "l", "central", F.col("class").alias("comp"), F.posexplode("prefix").alias("place", "token"))))
     merges: list[DataFrame] = []
 
     def merge(pairs: DataFrame) -> int:
-        """Verify pairs (a, b, ca, cb), merge what they link; number of links."""
+        """Verify pairs, merge what they link; number of links."""
         nonlocal open_
-        found = verified(pairs.select("a", "b"), sets)
-        links = pinned(pairs.join(found, ["a", "b"], "left_semi").select("ca", "cb").distinct())
+        links = pinned(verified(pairs, chosen).distinct())
         n = links.count()
         if n:
             merges.append(components(links, "ca", "cb"))
@@ -388,17 +412,18 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
         return n
 
     for turn in range(HUB_ROUNDS):
-        # the hub of a posting list: the class that this round's hash puts first
-        rank = F.xxhash64("comp", F.lit(turn))
-        hubs = open_.groupBy(F.col("token").alias("t")).agg(F.min_by(F.struct("class", "n", "m", "comp"), F.struct(rank.alias("r"), F.col("class").alias("c"))).alias("hub"))
+        # the hub of a posting list: its class of the most frequent tokens; later, one of a quarter drawn anew
+        drawn = F.lit(0) if not turn else F.least(F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(4)), F.lit(1))
+        rank = F.struct(drawn.alias("d"), (-F.col("central")).alias("r"), F.col("class").alias("c"))
+        hubs = open_.groupBy(F.col("token").alias("t")).agg(F.min_by(F.struct("class", "n", "m", "comp"), rank).alias("hub"))
         named = (open_.join(hubs, F.col("token") == F.col("t")).where((F.col("hub.comp") != F.col("comp")) & _fits(F.col("n"), F.col("m"), F.col("hub.n"), F.col("hub.m")))
-                 .groupBy("class", "comp", "hub").agg(F.count(F.lit(1)).alias("shared")))
-        best = named.groupBy(F.col("class").alias("a"), F.col("comp").alias("ca")).agg(F.max_by("hub", F.struct("shared", F.col("hub.class").alias("h"))).alias("hub"))
-        pairs = pinned(best.select("a", "ca", F.col("hub.class").alias("b"), F.col("hub.comp").alias("cb")))
+                 .groupBy("class", "comp", "n", "hub").agg(F.count(F.lit(1)).alias("shared")))
+        best = named.groupBy(F.col("class").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na")).agg(F.max_by("hub", F.struct("shared", F.col("hub.class").alias("h"))).alias("hub"))
+        pairs = pinned(best.select("a", "ca", "na", F.col("hub.class").alias("b"), F.col("hub.comp").alias("cb"), F.col("hub.n").alias("nb")))
         before = pairs.count()
-        if not before or merge(pairs) < before / 50:
+        if not before or merge(pairs) < before * LITTLE:
             break
-    merge(pinned(candidate_pairs(open_)))
+    merge(pinned(candidate_pairs(open_, chosen)))
     comps = info.where("n > 0").select("class").distinct().withColumn("comp", F.col("class"))
     for roots in merges:
         comps = (comps.join(roots, F.col("comp") == F.col("node"), "left")
