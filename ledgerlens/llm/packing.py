@@ -2,7 +2,7 @@
 
 Tokens: texts are cut at single blanks between words, where the byte-level tokenizer always starts
 a new piece, so each distinct word is encoded once per worker and looked up afterwards; texts with
-other white space around a blank are encoded whole. Documents longer than a sequence are cut into
+other white space around a blank, or with an added token of the tokenizer in them, are encoded whole. Documents longer than a sequence are cut into
 full pieces, the first of which may be shorter.
 
 Packing: how a bin is filled depends only on which lengths are left, not on which documents have
@@ -46,7 +46,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first: dict[str, bytes | None] = {}
         self.rest: dict[str, bytes | None] = {}
 
@@ -86,6 +86,9 @@ class WordEncoder:
         self.learn({x[0] for x in split}.difference(self.first), set().union(*(set(x[1:]).difference(self.rest) for x in split)))
         out = []
         for text, words in zip(texts, split, strict=True):
+            if any(a in text for a in self.added):
+                out.extend(self.ids([text]))
+                continue
             try:
                 out.append(b"".join([self.first[words[0]], *map(self.rest.__getitem__, words[1:])]))
             except (TypeError, KeyError):  # a blank next to other white space, or a memory that just began anew
