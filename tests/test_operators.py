@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import mathx, temporal
@@ -94,6 +95,33 @@ def test_knn_matches_brute_force(spark):
         assert math.isclose(got.loc[rid, "a"], pdf.a.mean())
 
 
+def _knn_brute_patterns(x, k):
+    """NaN-Euclidean KNN by all pairs: ties go to the earlier row."""
+    out = x.copy()
+    for i, t in zip(*np.nonzero(np.isnan(x)), strict=True):
+        both = ~np.isnan(x) & ~np.isnan(x[i])
+        d = np.where(both, x - x[i], 0.0)
+        n = both.sum(axis=1)
+        can = ~np.isnan(x[:, t]) & (n > 0)
+        near = sorted(((d[j] ** 2).sum() * (x.shape[1] / n[j]), j) for j in np.flatnonzero(can))[:k]
+        out[i, t] = np.mean([x[j, t] for _, j in near]) if near else np.nanmean(x[:, t])
+    return out
+
+
+@pytest.mark.parametrize(("columns", "leaf"), [(3, 8), (2, 4)])
+def test_knn_of_patterns_matches_brute_force(spark, columns, leaf):
+    rng = np.random.default_rng(columns)
+    n = 160
+    x = np.stack([rng.integers(0, 12, n), rng.exponential(50, n).round(1), rng.normal(size=n).round(2) * 8][:columns], axis=1).astype(float)
+    x[rng.random((n, columns)) < 0.15] = np.nan
+    x[::9] = x[0]  # repeated rows
+    names = ["a", "b", "c"][:columns]
+    pdf = pd.DataFrame(x, columns=names).assign(rid=np.arange(n), note=[None if i % 4 else "x" for i in range(n)])
+    got = impute_knn(spark.createDataFrame(pdf), names, k=5, tie=["rid"], leaf=leaf).toPandas().sort_values("rid")
+    assert len(got) == n
+    np.testing.assert_allclose(got[names].to_numpy(dtype=float), _knn_brute_patterns(x, 5), rtol=1e-9)
+
+
 def test_token_sort_ratio():
     assert round(token_sort_ratio("product", "product_id"), 2) == 82.35
     assert token_sort_ratio("region", "region") == 100.0
