@@ -3,8 +3,8 @@
 A signature is a chain: a common word (the anchor) and the two content words that follow it, other
 common words between them skipped. A document's fingerprint is the set of its chains (40-bit
 hashes), written as their sorted hexadecimal digits; likeness is the Jaccard similarity of two
-sets. Common words of four languages are fixed values; a text without any anchor has one chain,
-from its first words.
+sets. Common words of four languages are fixed values; a text without any chain (no common word
+before a content word) is fingerprinted by all pairs of neighbouring words, so that all of it counts.
 
 Neighbours in id order meet through one exchange of the texts: ids are cut at exact quantile
 elements (known ids), a row whose id is such an element is copied to the block before it, and each
@@ -65,8 +65,10 @@ def chains(rows: DataFrame, text: str, out: str) -> DataFrame:
 
     found = F.filter(F.transform(c, lambda x, i: F.when(x.contains("#"), chain(x, F.get(c, i + 1)))), lambda h: h.isNotNull())
     d = d.withColumn("_h", found)
-    first = F.when(F.size(c) > 0, F.array(chain(F.get(c, F.lit(0)), F.get(c, F.lit(1))))).otherwise(F.array().cast("array<bigint>"))
-    return d.withColumn(out, F.array_sort(F.array_distinct(F.when(F.size("_h") > 0, F.col("_h")).otherwise(first)))).drop("_c", "_h")
+    d = d.withColumn("_w", F.when(F.size("_h") == 0, F.filter(F.split(plain, " "), lambda x: x != "")).otherwise(F.array().cast("array<string>")))
+    w, n = F.col("_w"), F.size("_w")
+    pairs = F.filter(F.transform(w, lambda x, i: F.when((i + 1 < n) | (n == 1), chain(x, F.get(w, i + 1)))), lambda h: h.isNotNull())
+    return d.withColumn(out, F.array_sort(F.array_distinct(F.when(F.size("_h") > 0, F.col("_h")).otherwise(pairs)))).drop("_c", "_h", "_w")
 
 
 def digits(hashes: Column) -> Column:
