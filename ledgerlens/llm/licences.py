@@ -1,8 +1,12 @@
 """Licence scans by canonical digest: whole texts are brought to one canonical form and hash-joined
 to the digests of known licence texts. All steps are built-in functions.
 
-Canonical form: lower case; lines that state a copyright or reserve all rights go; equivalent
-spellings become one (licence/license, organisation/organization, http/https, copyright holder(s)/
+Known are ``KNOWN``, the texts in ``licence_texts`` (one file per licence, as published) and, of each,
+the text below its usual title lines, without the appendix after its terms, without the appendix's line
+to fill in, and on one line.
+
+Canonical form: lower case; statements of copyright (of holder and years, up to the end of the line or the
+first words of a licence) and of reserved rights go; equivalent spellings become one (licence/license, organisation/organization, http/https, copyright holder(s)/
 owner(s), and so on); every run of characters other than letters and digits becomes one blank. Two
 texts that differ only in these have equal digests. The digest is SHA-256.
 
@@ -14,6 +18,9 @@ tables are allowed on both sides.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,25 +59,61 @@ SPELLINGS = [
     ("https://", "http://"), ("copyright owners", "copyright holders"), ("copyright owner", "copyright holder"),
     ("©", "(c)"), ("–", "-"),
 ]
-#: a line that states a copyright, or reserves all rights; lines end at U+000A alone
+#: a line that states a copyright, or reserves all rights, as the SQL of the query has it; lines end at U+000A alone
 NOTICE_LINE = r"(?md)^[ \t\x0B\f\r#*/;\-]*(?:copyright[ \t]*(?:\(c\)|[0-9]|by\b)|\(c\)[ \t]*(?:copyright|[0-9])|all rights reserved)[^\n]*$"
+#: the first words of a licence, which end a statement of copyright on the same line
+OPENING = (r"(?:permission is hereby granted|permission to use|redistribution and use|licensed under|released under|this software is "
+           r"provided|the software is provided|this program is free|this library is free|this work is licensed|this is free and|everyone is permitted)")
+#: a copyright of marker, years and holder, at the start of a line or behind a title; on a long line without
+#: such an end only marker and years; and reserved rights
+STATEMENT = (r"(?md)(?:^[ \t\x0B\f\r#*/;\-]*|(?<=\blicense\)?[ \t]{1,4}))(?:"
+             r"(?:copyright[ \t]*(?:\(c\)|[0-9]|by\b)|\(c\)[ \t]*(?:copyright|[0-9]))"
+             rf"(?:[^\n]{{0,200}}?(?=$|\ball rights reserved\b|\b{OPENING})|[0-9 \t,\-]*)(?:all rights reserved\b\.?)?"
+             r"|all rights reserved\b\.?)")
+#: a line that states a copyright by the holder's name alone: capital words (and small ones that names hold)
+HOLDER_LINE = (r"(?md)^[ \t\x0B\f\r#*/;\-]*(?:Copyright|COPYRIGHT)(?![ \t]+(?i:holders?|owners?|notices?|laws?|licen[sc]es?)\b)"
+               r"(?:[ \t]+(?>\p{Lu}[^ \t\n]*|(?:the|and|of|its|contributors|authors|others|rights|reserved)\b[.,]?|&|<[^> \t\n]+>))++[ \t\r]*$")
+#: title lines that stand above a licence whose own text has none (fixed values)
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+                     "Modified BSD License", "BSD License", "The BSD License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+}
 GAP = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
-    out = F.lower(text)
+    out = F.lower(F.regexp_replace(text, HOLDER_LINE, ""))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
-    return F.btrim(F.regexp_replace(F.regexp_replace(out, NOTICE_LINE, ""), GAP, " "))
+    return F.btrim(F.regexp_replace(F.regexp_replace(out, STATEMENT, ""), GAP, " "))
 
 
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """(licence, body) of ``KNOWN``, of the published texts and of their usual forms."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    whole = [*KNOWN.items(), *((f.stem, f.read_text(encoding="utf-8")) for f in files)]
+    out = []
+    for name, body in whole:
+        end = re.search(r"END OF TERMS AND CONDITIONS", body)
+        forms = [body, re.sub(r"(?m)^.*Copyright \[yyyy\].*$", "", body)]
+        forms += [body[:end.start()], body[:end.end()]] if end else []
+        forms += [f"{title}\n\n{body}" for title in TITLES.get(name, [])]
+        out += [(name, form) for f in forms for form in (f, " ".join(f.split()))]
+    return list(dict.fromkeys(out))
+
+
 def known_digests(spark: SparkSession, known: dict[str, str] | None = None) -> DataFrame:
     """licence, digest; one row per distinct canonical form."""
-    rows = list((KNOWN if known is None else known).items())
+    rows = known_texts() if known is None else list(known.items())
     texts = spark.createDataFrame(rows, "licence string, body string")
     return (texts.where(canonical(F.col("body")) != "").groupBy(digest(F.col("body")).alias("digest"))
             .agg(F.min("licence").alias("licence")))
