@@ -149,8 +149,9 @@ SQL["op9_license_digest"] = _licence_sql()
 
 @query
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_folder(spark, "warc")
-    warc.write_archives(warc.mark_revisits(warc.with_digest(table(spark, sf_dir, "pages"))), folder)
+    source, folder = shared_folder(spark, "warc"), shared_folder(spark, "warc")
+    warc.write_archives(warc.mark_revisits(warc.with_digest(table(spark, sf_dir, "pages"))), source)
+    warc.rewrite(spark, source, folder)
     return warc.resolve(warc.read_archives(spark, folder, payload=False))
 
 

@@ -7,10 +7,11 @@ CR LF CR LF, so that each file is a plain sequence of WARC/1.1 records; ``per_fi
 records of a file. Reading: whole files are read by Spark and cut by their Content-Length fields, so
 payloads may hold anything. ``resolve`` joins revisit records, by digest, to the responses they
 refer to; ``rewrite`` brings archives with repeated payloads to deduplicated ones with fresh headers.
+It decides on headers; a payload is fetched for an earlier revisit only if that becomes a response.
 
 Cases: a null payload is empty; a null id is written as an empty id and read as null; rows that
 repeat the largest id with the same payload all stay responses; payloads below ``least_bytes`` stay
-responses; line breaks in URLs are percent-encoded; an empty table gives an archive without records.
+responses; a revisit whose response (id and digest) is not in the archives is rewritten as it is; line breaks in URLs are percent-encoded; an empty table gives an archive without records.
 """
 
 from __future__ import annotations
@@ -22,10 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import pinned
+
 HEADER_END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_SCHEMA = ("page_id long, url string, record_type string, refers_to long, payload_digest string, "
                  "payload_bytes long, payload string")
+#: pairs of id and digest (some 60 bytes each) that are broadcast at most
+BROADCAST_PAIRS = 100_000
 WRITTEN = "2000-01-01T00:00:00Z"
 
 
@@ -35,10 +40,12 @@ def with_digest(pages: DataFrame, doc_id: str = "page_id", url: str = "url", htm
                         F.sha1(body.cast("binary")).alias("payload_digest"), F.octet_length(body).cast("long").alias("payload_bytes"))
 
 
-def mark_revisits(records: DataFrame, least_bytes: int = 1000) -> DataFrame:
-    """Adds record_type and refers_to. Only headers are grouped; the aggregate combines on the map
-    side, and the join back is one that AQE can split where one payload is frequent."""
-    originals = (records.where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull())
+def mark_revisits(records: DataFrame, least_bytes: int = 1000, headers: DataFrame | None = None) -> DataFrame:
+    """Adds record_type and refers_to. Only headers (those of ``records`` if none are given) are
+    grouped; the aggregate combines on the map side, and the join back is one that AQE can split
+    where one payload is frequent."""
+    headers = records if headers is None else headers
+    originals = (headers.where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull())
                  .groupBy(F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes"))
                  .agg(F.max("page_id").alias("original")))
     same = (F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("bytes"))
@@ -64,7 +71,7 @@ def record_text(crlf: str = "\r\n") -> Column:
         line("WARC-Date", F.lit(WRITTEN)), line("WARC-Target-URI", clean_url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(is_revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)),
-                                    line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">")))))
+                                    line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("refers_to").cast("string"), F.lit("")), F.lit(">")))))
         .otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html")),
         line("Content-Length", F.when(is_revisit, F.lit("0")).otherwise(F.octet_length("payload").cast("string"))),
@@ -140,10 +147,27 @@ def resolve(records: DataFrame) -> DataFrame:
 def rewrite(spark: SparkSession, source: str, target: str, least_bytes: int = 1000, per_file: int = 2000) -> None:
     """Archives in, deduplicated archives out: earlier revisits get back the payload of the response
     they refer to, equal payloads are found anew, and all headers are written afresh."""
-    records = read_archives(spark, source)
-    responses = (records.where("record_type = 'response'")
-                 .select(F.col("page_id").alias("original"), F.col("payload").alias("full")))
-    full = (records.drop("payload_digest", "payload_bytes")
-            .join(responses, F.col("refers_to") == F.col("original"), "left")
-            .select("page_id", "url", F.coalesce("payload", "full").alias("html")))
-    write_archives(mark_revisits(with_digest(full), least_bytes), target, per_file)
+    responses = read_archives(spark, source).where("record_type = 'response'").drop("record_type", "refers_to")
+    sized = pinned(read_archives(spark, source, payload=False).select("page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes"))
+    held = (sized.where("record_type = 'response' and page_id is not null")
+            .groupBy(F.col("page_id").alias("held_id"), F.col("payload_digest").alias("held_digest")).agg(F.max("payload_bytes").alias("held_bytes")))
+    earlier = (sized.where("record_type = 'revisit'")
+               .join(held, (F.col("refers_to") == F.col("held_id")) & (F.col("payload_digest") == F.col("held_digest")), "left"))
+    known = pinned(earlier.where("held_bytes is not null").select(
+        "page_id", "url", "payload_digest", F.col("held_bytes").alias("payload_bytes"), F.col("refers_to").alias("earlier")))
+    lost = earlier.where("held_bytes is null").select("page_id", "url", "payload_digest", "record_type", "refers_to")
+    headers = (sized.where("record_type = 'response'").select("page_id", "payload_digest", "payload_bytes")
+               .unionByName(known.select("page_id", "payload_digest", "payload_bytes")))
+    marked = mark_revisits(known, least_bytes, headers)
+    promoted = marked.where("record_type = 'response'")
+    wanted = pinned(promoted.select(F.col("earlier").alias("page_id"), "payload_digest").distinct())
+    if wanted.count() <= BROADCAST_PAIRS:  # few texts are fetched: the others need not move
+        wanted = F.broadcast(wanted)
+    texts = (responses.join(wanted, ["page_id", "payload_digest"], "left_semi")
+             .groupBy(F.col("page_id").alias("earlier"), "payload_digest").agg(F.first("payload").alias("payload")))
+    out = ["page_id", "url", "payload", "payload_digest", "record_type", "refers_to"]
+    without = F.lit(None).cast("string").alias("payload")
+    write_archives(mark_revisits(responses, least_bytes, headers).select(*out)
+                   .unionByName(marked.where("record_type = 'revisit'").select(*out[:2], without, *out[3:]))
+                   .unionByName(promoted.join(texts, ["earlier", "payload_digest"]).select(*out))
+                   .unionByName(lost.select(*out[:2], without, *out[3:])), target, per_file)
