@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language, licences, mixing, ngram_join, packing, quality, shards, spots, url_rules, warc
+from ledgerlens.llm import (divergence, language, licences, mixing, ngram_join, packing, quality, repeats, shards, spelling, spots,
+                            url_rules, warc)
 from ledgerlens.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +162,76 @@ d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_dig
 o AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original FROM d)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN original <> page_id THEN original END AS refers_to FROM o"""
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, sum(total)::HUGEINT AS ln, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM w GROUP BY lang, source, term),
+e AS (SELECT g.lang, g.source, k.term, k.total, coalesce(c.c, 0) AS c FROM g JOIN k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT e.lang, e.source, e.term, e.c, 1 + (1000000000 * (e.c + 5)) // ((sum(e.c) OVER (PARTITION BY e.lang, e.source))::HUGEINT + 5 * l.v) AS p,
+  1 + (1000000000 * (e.total + 5)) // (l.ln + 5 * l.v) AS q FROM e JOIN l ON e.lang = l.lang),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q),
+o AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 50"""
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+SQL["op12_spelling_variants"] = r"""
+WITH RECURSIVE t(i, v, k) AS (SELECT i::UBIGINT, i::UBIGINT, 0 FROM range(256) x(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END, k + 1 FROM t WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS tab FROM t WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+own AS (SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS s, count(*) AS m FROM runs GROUP BY doc_id, run),
+hexed AS (SELECT run, m, hex(encode(s)) AS x FROM own),
+h AS (SELECT run, m, xor(list_reduce(list_concat([4294967295::UBIGINT], [('0x' || x[2 * j + 1:2 * j + 2])::UBIGINT FOR j IN range(length(x) // 2)]),
+  lambda a, b: xor(tab[(xor(a, b) & 255)::INT + 1], a >> 8)), 4294967295::UBIGINT) AS h FROM hexed, tab),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN run[1:(h % length(run))::INT] || run[(h % length(run))::INT + 2:] ELSE run END AS word, m FROM h),
+w AS (SELECT word, sum(m)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+gap AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+less AS (SELECT DISTINCT word, n, word[1:i - 1] || word[i + 1:] AS v FROM gap),
+hole AS (SELECT word, n, i, word[1:i - 1] || '*' || word[i + 1:] AS v FROM gap),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM hole a JOIN hole b ON a.v = b.v AND a.word <> b.word
+  UNION ALL SELECT w.word, l.word, l.n FROM w JOIN less l ON l.v = w.word
+  UNION ALL SELECT l.word, w.word, w.n FROM w JOIN less l ON l.v = w.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(less := -near_n, near := near)) AS b FROM near GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.less >= 2 * w.n THEN b.near END AS form, CASE WHEN -b.less >= 2 * w.n THEN (-b.less)::BIGINT END AS form_n
+  FROM w LEFT JOIN best ON best.word = w.word),
+chain(word, tip) AS (SELECT word, word FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.tip WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.tip FROM chain JOIN f ON f.word = chain.tip WHERE f.form IS NULL)
+SELECT f.word, f.form, ends.tip AS root, f.n, f.n_near, f.form_n FROM f JOIN ends ON ends.word = f.word"""
+
+
+@query
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op13_repeated_passages"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents),
+s AS (SELECT doc_id, a, unnest(range(1, len(a) - 18)) AS i FROM d WHERE len(a) >= 20),
+w AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(a[i:i + 19], ' ') ORDER BY doc_id, i) AS k FROM s),
+again AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM w WHERE k > 1),
+gone AS (SELECT doc_id, list(i) AS l, count(*) AS n FROM again GROUP BY doc_id),
+kept AS (SELECT d.doc_id, len(a) AS n_words, coalesce(gone.n, 0) AS n_removed,
+  CASE WHEN gone.n IS NULL THEN a ELSE list_filter(a, lambda x, i: NOT list_contains(l, i)) END AS b FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(array_to_string(b, ' '), '')) AS kept_sha256 FROM kept"""
