@@ -181,9 +181,9 @@ def _search(shard: pa.Table) -> pa.Table:
     words, counts, targets = (shard.column(c).to_pylist() for c in ("word", "n", "target"))
     held = sorted({(w.encode("latin-1")[::turn], n) for w, n, t in zip(words, counts, targets, strict=True) if t is None})
     asked: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
-    for w, n, t in zip(words, counts, targets, strict=True):
-        if t is not None:
-            asked.setdefault((len(w), t), []).append((w.encode("latin-1")[::turn], n))
+    # pieces of one group may meet in a shard; a query is asked once there and finds the words of both
+    for w, n, t in sorted({x for x in zip(words, counts, targets, strict=True) if x[2] is not None}):
+        asked.setdefault((len(w), t), []).append((w.encode("latin-1")[::turn], n))
     out: list[tuple[bytes, bytes, int]] = []
     if held and asked:
         index = SuffixRanks([w for w, _ in held])
