@@ -245,12 +245,13 @@ class Booster:
     params: dict
 
     def importances(self) -> dict[str, float]:
-        """Share of the total gain per feature."""
+        """Share of the total gain per feature; in a forest every tree counts alike."""
         gain = dict.fromkeys(self.features, 0.0)
         for t in self.trees:
+            whole = (sum(t["gain"]) or 1.0) if self.objective == "forest" else 1.0
             for f, g in zip(t["feature"], t["gain"], strict=True):
                 if f >= 0:
-                    gain[self.features[f]] += g
+                    gain[self.features[f]] += g / whole
         total = sum(gain.values())
         return {f: g / total if total else 0.0 for f, g in gain.items()}
 
@@ -327,36 +328,58 @@ def _score(g, h, p: dict):
     return _soft(g, p["reg_alpha"]) ** 2 / np.maximum(h + p["reg_lambda"], 1e-16)
 
 
-def best_split(g: np.ndarray, h: np.ndarray, c: np.ndarray, starts: np.ndarray, sizes: np.ndarray, p: dict) -> dict:
-    """Best split of one leaf from its sums per bin (features side by side, bin 0 of each: missing)."""
-    total_g, total_h, total_c = g[starts[0]:starts[0] + sizes[0]].sum(), h[starts[0]:starts[0] + sizes[0]].sum(), c[starts[0]:starts[0] + sizes[0]].sum()
-    own = np.repeat(np.arange(len(starts)), sizes)
-    first = np.repeat(starts, sizes)
-    at = np.arange(len(g))
+def best_splits(g: np.ndarray, h: np.ndarray, c: np.ndarray, starts: np.ndarray, sizes: np.ndarray, p: dict) -> dict[str, np.ndarray]:
+    """Best split of every leaf (row) from its sums per bin (features side by side, bin 0 of each: missing).
+    gain 0: no split; ``slot``: number of the feature among those given."""
+    one = slice(starts[0], starts[0] + sizes[0])
+    total_g, total_h, total_c = (v[:, one].sum(axis=1, keepdims=True) for v in (g, h, c))
+    own, first = np.repeat(np.arange(len(starts)), sizes), np.repeat(starts, sizes)
+    at = np.arange(g.shape[1])
     usable = (at > first) & (at < first + np.repeat(sizes, sizes) - 1)  # neither the missing bin nor the last one
 
     def left(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        running = np.cumsum(v)
-        return running - running[first], v[first]
+        running = np.cumsum(v, axis=1)
+        return running - running[:, first], v[:, first]
 
     (gl, gm), (hl, hm), (cl, cm) = left(g), left(h), left(c)
-    best: dict = {}
-    parent = float(_score(np.float64(total_g), np.float64(total_h), p))
+    parent = _score(total_g, total_h, p)
+    rows = np.arange(len(g))
+    out = {"g": total_g[:, 0], "h": total_h[:, 0], "c": total_c[:, 0], "gain": np.zeros(len(g)), "slot": np.zeros(len(g), dtype=np.int64),
+           "bin": np.zeros(len(g), dtype=np.int64), "missing_left": np.zeros(len(g), dtype=bool), "gl": np.zeros(len(g)), "hl": np.zeros(len(g))}
     for missing_left in (False, True):
+        if missing_left and not cm.any():
+            break
         a, b, n = (gl + gm, hl + hm, cl + cm) if missing_left else (gl, hl, cl)
         fits = (usable & (n > 0) & (n < total_c) & (n >= p["min_child_samples"]) & (total_c - n >= p["min_child_samples"])
-                & (b >= p["min_child_weight"]) & (total_h - b >= p["min_child_weight"]))
+                & (b >= p["min_child_weight"]) & (total_h - b >= p["min_child_weight"]) & (total_c >= p.get("min_samples_split", 0)))
         if missing_left:
             fits &= cm > 0
-        if not fits.any():
-            continue
         gain = np.where(fits, _score(a, b, p) + _score(total_g - a, total_h - b, p) - parent, -np.inf)
-        i = int(np.argmax(gain))
-        if gain[i] > max(LEAST_GAIN, best.get("gain", 0.0)):
-            best = {"gain": float(gain[i]), "feature": int(own[i]), "bin": int(i - first[i]), "missing_left": missing_left, "gl": float(a[i]), "hl": float(b[i])}
-    if best:
-        best |= {"g": float(total_g), "h": float(total_h)}
-    return {"g": float(total_g), "h": float(total_h), "split": best}
+        i = np.argmax(gain, axis=1)
+        better = np.flatnonzero(gain[rows, i] > np.maximum(LEAST_GAIN, out["gain"]))
+        i = i[better]
+        for k, v in (("gain", gain[better, i]), ("slot", own[i]), ("bin", i - first[i]), ("missing_left", missing_left), ("gl", a[better, i]), ("hl", b[better, i])):
+            out[k][better] = v
+    return out
+
+
+FOUND = "model int, node int, gain double, feature int, bin int, missing_left boolean, gl double, hl double, g double, h double"
+
+
+def found_table(model: int, nodes: np.ndarray, feature: np.ndarray, best: dict[str, np.ndarray]) -> pa.Table:
+    columns = {"model": np.full(len(nodes), model), "node": nodes, **best, "feature": feature}
+    kinds = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [f.split() for f in FOUND.split(", ")]
+    return pa.table([pa.array(columns[n]).cast(kinds[k]) for n, k in fields], names=[n for n, _ in fields])
+
+
+def take_splits(found: DataFrame, trees: dict[int, Tree]) -> None:
+    """Record the splits found in the growing trees."""
+    for r in found.toArrow().to_pylist():
+        tree, node = trees[r["model"]], r["node"]
+        tree.split[node] = r if r["gain"] > 0 else {}
+        if node == 0:
+            tree.sums[0] = (r["g"], r["h"])
 
 
 class _Model:
@@ -410,9 +433,16 @@ def _add_trees(margin: np.ndarray, x: np.ndarray, trees: list[tuple]) -> np.ndar
 
 
 def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH) -> list[Booster]:
-    """Fit all models together; a model of fewer rounds drops out when it is done."""
+    """Fit all models together; a model of fewer rounds drops out when it is done. Forests (family "rf")
+    are fitted together among themselves."""
     if not specs:
         return []
+    if any(s.family == "rf" for s in specs):
+        from ledgerlens.modeling.forest import fit_forests
+
+        forests = iter(fit_forests(table, [s for s in specs if s.family == "rf"]))
+        boosters = iter(fit_many(table, [s for s in specs if s.family != "rf"], refresh))
+        return [next(forests if s.family == "rf" else boosters) for s in specs]
     spark = table.blocks.sparkSession
     models = [_Model(s, table) for s in specs]
     nf, nt, folds = len(table.features), len(table.targets), table.folds
@@ -456,12 +486,7 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
         open_ = {k: [0] for k in live}
         while open_ and nf:
             growing = {k: (models[k].tree.arrays(), max(models[k].tree.depth), nodes, models[k].columns, models[k].trees[since:]) for k, nodes in open_.items()}
-            for k, found in _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, path is not None, margins).items():
-                tree = models[k].tree
-                for node, result in found.items():
-                    tree.split[node] = result["split"]
-                    if node == 0:
-                        tree.sums[0] = (result["g"], result["h"])
+            take_splits(_evaluate(frame, growing, static, sizes, folds, nf, nt, turn, path is not None, margins), {k: models[k].tree for k in growing})
             following = {}
             for k in open_:
                 tree, p = models[k].tree, models[k].p
@@ -488,8 +513,38 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
     return [Booster(table.features, m.base, m.spec.objective, m.kept, m.p) for m in models]
 
 
-def _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, stored, margins) -> dict[int, dict[int, dict]]:
-    """Best split of every open leaf: {model: {node: {g, h, split}}}."""
+NODES = 128  # open leaves whose sums travel together
+
+
+def histogram_rows(held: dict[int, tuple[np.ndarray, ...]], task: int) -> Iterator[pa.RecordBatch]:
+    """Rows (model, piece, task, g, c, h) of the sums that a task holds per model: [leaves x cells]."""
+    for k, sums in held.items():
+        for piece in range(0, len(sums[0]), NODES):
+            part = [np.ascontiguousarray(v[piece:piece + NODES]).tobytes() for v in sums]
+            column = [k, piece, task, *part, *([None] * (3 - len(part)))]
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], kind) for c, kind in zip(column, kinds, strict=True)], names=["model", "piece", "task", "g", "c", "h"])
+
+
+HISTOGRAM = "model int, piece int, task int, g binary, c binary, h binary"
+
+
+def merged(parts: pa.Table, width: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """Model, first leaf and the sums of all tasks, added in the order of the tasks."""
+    order = np.argsort(parts.column("task").to_numpy()).tolist()
+    sums = {}
+    for name in ("g", "c", "h"):
+        column = parts.column(name)
+        if column[0].as_py() is not None:
+            total = np.frombuffer(column[order[0]].as_py(), dtype=float).copy()
+            for i in order[1:]:
+                total += np.frombuffer(column[i].as_py(), dtype=float)
+            sums[name] = total.reshape(-1, width)
+    return parts.column("model")[0].as_py(), parts.column("piece")[0].as_py(), sums["g"], sums.get("h", sums["c"]), sums["c"]
+
+
+def _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, stored, margins) -> DataFrame:
+    """Best split of every open leaf of the growing trees."""
     offsets = {k: np.concatenate(([0], np.cumsum(sizes[g[3]])[:-1])) for k, g in growing.items()}
     width = {k: int(sizes[g[3]].sum()) for k, g in growing.items()}
 
@@ -514,37 +569,20 @@ def _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, stored, margin
                     g, h = _gradient(m, target[at], _add_trees(margin[k][at], x[:, at], trees))
                     if k not in held:
                         held[k] = tuple(np.zeros((len(nodes), width[k])) for _ in range(3 if h is not None else 2))
-                    cell = leaf[at] * width[k]
+                    cell, size = leaf[at] * width[k], len(nodes) * width[k]
                     for f, offset in zip(columns, offsets[k], strict=True):
                         key = cell + offset + x[f, at]
-                        size = len(nodes) * width[k]
-                        held[k][0].ravel()[:] += np.bincount(key, g, size)
-                        held[k][1].ravel()[:] += np.bincount(key, None, size)
-                        if h is not None:
-                            held[k][2].ravel()[:] += np.bincount(key, h, size)
-        rows = [(k, nodes[i], TaskContext.get().partitionId(), *(s[i].tobytes() for s in sums), *([None] * (3 - len(sums))))
-                for k, sums in held.items() for nodes in (growing[k][2],) for i in range(len(nodes)) if sums[1][i].any()]
-        if rows:
-            columns = list(zip(*rows, strict=True))
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["model", "node", "task", "g", "c", "h"])
+                        for total, weight in zip(held[k], (g, None, h), strict=False):
+                            total.ravel()[:] += np.bincount(key, weight, size)
+        yield from histogram_rows(held, TaskContext.get().partitionId())
 
     def search(parts: pa.Table) -> pa.Table:
-        k, node = parts.column("model")[0].as_py(), parts.column("node")[0].as_py()
-        order = np.argsort(parts.column("task").to_numpy())
-        g, c = (np.sum([np.frombuffer(parts.column(name)[int(i)].as_py(), dtype=float) for i in order], axis=0) for name in ("g", "c"))
-        h = c if parts.column("h")[0].as_py() is None else np.sum([np.frombuffer(parts.column("h")[int(i)].as_py(), dtype=float) for i in order], axis=0)
-        found = best_split(g, h, c, offsets[k], sizes[growing[k][3]], static[k]["p"])
-        if found["split"]:
-            found["split"]["feature"] = int(growing[k][3][found["split"]["feature"]])
-        return pa.table({"model": pa.array([k], pa.int32()), "node": pa.array([node], pa.int32()), "found": pa.array([json.dumps(found)])})
-
-    rows = (frame.mapInArrow(histograms, "model int, node int, task int, g binary, c binary, h binary")
-            .groupBy("model", "node").applyInArrow(search, "model int, node int, found string").collect())
-    out: dict[int, dict[int, dict]] = {k: {} for k in growing}
-    for r in rows:
-        out[r["model"]][r["node"]] = json.loads(r["found"])
-    return out
+        k = parts.column("model")[0].as_py()
+        k, piece, g, h, c = merged(parts, width[k])
+        best = best_splits(g, h, c, offsets[k], sizes[growing[k][3]], static[k]["p"])
+        return found_table(k, np.array(growing[k][2][piece:piece + len(g)]), growing[k][3][best["slot"]], best)
+
+    return frame.mapInArrow(histograms, HISTOGRAM).groupBy("model", "piece").applyInArrow(search, FOUND)
 
 
 def _finish(m: _Model, table: BinnedTable) -> None:
@@ -595,9 +633,12 @@ def staged_scores(table: BinnedTable, specs: Sequence[Spec], models: Sequence[Bo
     """model, stage, part ('train': rows it learned from, 'test': rows of its fold), n, r2, mae, rmse after
     ``stages`` rounds (all rounds without); one pass over the blocks, sums per model and stage."""
     nf, nt, folds = len(table.features), len(table.targets), table.folds
-    static = [_Model(s, table).state() for s in specs]
+    static = [{"target": table.targets.index(s.target), "fold": s.fold, "rows": s.rows, "objective": m.objective} for s, m in zip(specs, models, strict=True)]
     coded = [_coded(m, table) for m in models]
+    size = [len(m.trees) for m in models]
     bases = [m.base for m in models]
+    # sums of squares are taken about a typical prediction
+    means = [m.base if m.objective != "forest" else sum(t["value"][-1] for t in m.trees) for m in models]
     wanted = [sorted({s for s in stages if s <= len(m.trees)} if stages else {len(m.trees)}) for m in models]
 
     def sums(batches) -> Iterator[pa.RecordBatch]:
@@ -616,8 +657,10 @@ def staged_scores(table: BinnedTable, specs: Sequence[Spec], models: Sequence[Bo
                         if number not in wanted[k]:
                             continue
                         guess = 1 / (1 + np.exp(-margin)) if m["objective"] == "binary" else margin
+                        if m["objective"] == "forest":  # the mean of the first trees
+                            guess = margin * (size[k] / number)
                         for part, at in parts.items():
-                            e, d = target[at] - guess[at], target[at] - bases[k]
+                            e, d = target[at] - guess[at], target[at] - means[k]
                             add = np.array([len(at), (e * e).sum(), np.abs(e).sum(), d.sum(), (d * d).sum()])
                             total[k, number, part] = total.get((k, number, part), 0) + add
         if total:
