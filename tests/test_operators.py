@@ -133,8 +133,31 @@ def test_days_from_start_uses_fitted_range(spark):
     assert [r["days_from_start"] for r in out] == [0, 10] and [r["days_from_end"] for r in out] == [10, 0]
 
 
-def test_impute_missing_many_incomplete_columns_uses_medians(spark):
-    pdf = pd.DataFrame({"a": [1.0, None, 3.0, 4.0, 5.0], "b": [None, 2.0, 3.0, 4.0, 5.0], "c": [1.0, 2.0, None, 4.0, 6.0],
-                        "k": [1, 2, 3, 4, 5]})
-    out = impute.impute_missing(spark.createDataFrame(pdf), knn_threshold=0.3).orderBy("k").toPandas()
-    assert out.a[1] == pdf.a.median() and out.b[0] == pdf.b.median() and out.c[2] == pdf.c.median()
+def test_impute_missing_of_three_columns_matches_all_pairs(spark):
+    rng = np.random.default_rng(12)
+    x = rng.integers(0, 9, (60, 3)).astype(float)
+    for j in range(3):
+        x[rng.choice(60, 12, replace=False), j] = np.nan
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"]).assign(k=np.arange(60))
+    out = impute.impute_missing(spark.createDataFrame(pdf), knn_threshold=0.3, k=4).orderBy("k").toPandas()
+    for j, name in enumerate(["a", "b", "c"]):
+        for i in range(60):
+            if not np.isnan(x[i, j]):
+                assert out[name][i] == x[i, j]
+                continue
+            near = []
+            for d in range(60):
+                both = ~np.isnan(x[i]) & ~np.isnan(x[d])
+                if not np.isnan(x[d, j]) and both.any():
+                    near.append((((x[i] - x[d])[both] ** 2).sum() * 3 / both.sum(), d))
+            # the k nearest; any choice among equally far ones lies between the extremes
+            near.sort()
+            if not near:
+                assert out[name][i] == pytest.approx(np.nanmean(x[:, j]))
+                continue
+            edge = near[min(4, len(near)) - 1][0]
+            sure = [x[d, j] for q, d in near if q < edge - 1e-9]
+            tied = sorted(x[d, j] for q, d in near if abs(q - edge) <= 1e-9)
+            size = min(4, len(near))
+            rest = size - len(sure)
+            assert (sum(sure) + sum(tied[:rest])) / size - 1e-9 <= out[name][i] <= (sum(sure) + sum(tied[-rest:])) / size + 1e-9
