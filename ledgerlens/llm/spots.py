@@ -3,8 +3,9 @@
 A signature is a chain: a common word (the anchor) and the two content words that follow it, other
 common words between them skipped. A document's fingerprint is the set of its chains (40-bit
 hashes), written as their sorted hexadecimal digits; likeness is the Jaccard similarity of two
-sets. Common words of four languages are fixed values; a text without any chain (no common word
-before a content word) is fingerprinted by all pairs of neighbouring words, so that all of it counts.
+sets. Common words of four languages are fixed values. Content words that no chain reaches (stretches
+without common words, as in lists and tables) count as pairs of neighbours, so that every word of a
+text is in its fingerprint; a text of common words alone has the pairs of all its words.
 
 Neighbours in id order meet through one exchange of the texts: ids are cut at exact quantile
 elements (known ids), a row whose id is such an element is copied to the block before it, and each
@@ -63,8 +64,17 @@ def chains(rows: DataFrame, text: str, out: str) -> DataFrame:
         second = F.coalesce(F.substring_index(following, "#", -1), F.lit(""))
         return F.shiftrightunsigned(F.xxhash64(head, second), 64 - HASH_BITS)
 
-    found = F.filter(F.transform(c, lambda x, i: F.when(x.contains("#"), chain(x, F.get(c, i + 1)))), lambda h: h.isNotNull())
-    d = d.withColumn("_h", found)
+    # words that no chain reaches stand in pairs of neighbours; the last of a stretch alone where no pair holds it
+    def anchored(i: Column) -> Column:
+        return F.coalesce((i >= 0) & F.get(c, i).contains("#"), F.lit(False))
+
+    def signature(x: Column, i: Column) -> Column:
+        reached = anchored(i - 1)
+        held = (i > 0) & ~anchored(i - 2)
+        return F.when(x.contains("#") | (~reached & ((i + 1 < F.size(c)) | ~held)), chain(x, F.get(c, i + 1)))
+
+    d = d.withColumn("_h", F.filter(F.transform(c, signature), lambda h: h.isNotNull()))
+    # a text of common words alone has the pairs of all its words
     d = d.withColumn("_w", F.when(F.size("_h") == 0, F.filter(F.split(plain, " "), lambda x: x != "")).otherwise(F.array().cast("array<string>")))
     w, n = F.col("_w"), F.size("_w")
     pairs = F.filter(F.transform(w, lambda x, i: F.when((i + 1 < n) | (n == 1), chain(x, F.get(w, i + 1)))), lambda h: h.isNotNull())

@@ -28,9 +28,16 @@ def brute_chains(text):
     words = regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
     anchors = set(spots.ANCHORS)
     content = [(words[i - 1] if i and words[i - 1] in anchors else None, w) for i, w in enumerate(words) if w not in anchors]
-    following = [*(w for _, w in content[1:]), ""][:len(content)]
-    found = {(a, w, n) for (a, w), n in zip(content, following, strict=True) if a}
-    return found or {(None, content[0][1], following[0])} if content else set()
+    if not content:  # common words alone
+        return {(None, a, b) for a, b in zip(words, words[1:], strict=False)} or {(None, w, "") for w in words}
+    found, reached = set(), set()  # reached: words in some signature
+    for i, (anchor, w) in enumerate(content):
+        if anchor or not (i and content[i - 1][0]):
+            following = content[i + 1][1] if i + 1 < len(content) else ""
+            if anchor or following or i not in reached:
+                found.add((anchor, w, following))
+                reached |= {i, i + 1}
+    return found
 
 
 def brute_likeness(a, b):

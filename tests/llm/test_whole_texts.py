@@ -18,3 +18,12 @@ def test_texts_without_anchors_are_fingerprinted_whole(spark):
     assert len(got[3].fingerprint) == spots.DIGITS * 3  # the of, of and, and the
     assert len(got[4].fingerprint) == spots.DIGITS
     assert got[5].fingerprint == "" and got[5].near_next == 0
+
+
+def test_few_common_words_do_not_stand_for_a_whole_table(spark):
+    first = "the red fox | " + " | ".join(f"cell{i}" for i in range(500))
+    other = "the red fox | " + " | ".join(f"item{i}" for i in range(500))
+    got = {r.doc_id: r for r in spots.edited_likeness(make_docs(spark, [(1, first), (2, other)])).collect()}
+    assert got[1].fingerprint != got[2].fingerprint and got[2].near_next < 0.01 and got[2].near_edited < 0.6
+    # one chain, then 250 pairs whose first word no chain reaches
+    assert len(got[1].fingerprint) == spots.DIGITS * 500
