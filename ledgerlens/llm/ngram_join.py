@@ -42,11 +42,11 @@ WIDTH = 5
 NUM, DEN = 75, 100  # similarity of two linked sets: shared * DEN >= union * NUM
 LONGEST = 32  # largest l that the cost estimate considers
 PART_BYTES = 1 << 21
-FLUSH_TOKENS = 1 << 21
-BUCKET_BYTES = 24 << 20  # text bytes that one bucket of tokens stands for
+FLUSH_TOKENS = 1 << 20
+BUCKET_BYTES = 12 << 20  # text bytes that one bucket of tokens stands for
 HUB_ROUNDS = 4
-LITTLE = 0.1  # share of a round's pairs; with fewer links the rounds end
-BLOCK_BYTES = 32 << 20  # token bytes that one group of pairs is verified with
+LITTLE = 0.1  # a round that links a smaller share of its pairs, or closes a smaller share of the postings, is the last
+BLOCK_BYTES = 16 << 20  # token bytes that one group of pairs is verified with
 TOKEN_BYTES = 6
 
 _U = np.uint64
@@ -288,12 +288,14 @@ def _verify(pairs: pa.Table, sets: pa.Table) -> pa.Table:
     """(ca, cb) of the pairs of one block whose prefixes share enough tokens and whose sets are similar."""
     row = {c: i for i, c in enumerate(sets.column("class").to_pylist())}
     n, l = sets.column("n").to_pylist(), sets.column("l").to_pylist()
-    prefix = [frozenset(x) for x in sets.column("prefix").to_pylist()]
+    prefixes = sets.column("prefix").combine_chunks()
+    values, edges = prefixes.values.to_numpy(), prefixes.offsets.to_numpy()
+    prefix = [np.sort(values[lo:hi]) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
     tokens = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in sets.column("tokens")]
     ok = []
     for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
         i, j = row[a], row[b]
-        similar = len(prefix[i] & prefix[j]) >= min(l[i], l[j])
+        similar = len(np.intersect1d(prefix[i], prefix[j], assume_unique=True)) >= min(l[i], l[j])
         if similar:
             shared = len(np.intersect1d(tokens[i], tokens[j], assume_unique=True))
             similar = shared * DEN >= (n[i] + n[j] - shared) * NUM
@@ -338,6 +340,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def _narrow(chosen: DataFrame) -> DataFrame:
+    """Postings of the chosen prefixes in five numbers: class, token, comp, sizes (n and m) and order (how
+    little the class serves as a hub, and the token's place in the prefix)."""
+    # a positive float's bits ascend with it: 2^31 - 1 less them puts the most frequent tokens first
+    little = F.lit((1 << 31) - 1) - F.least(F.floor(F.log2(F.col("central") + 1) * (1 << 24)), F.lit((1 << 31) - 1))
+    return (chosen.select("class", F.col("class").alias("comp"), (F.shiftleft(F.col("n"), 32) + F.col("m")).alias("sizes"),
+                          little.cast("long").alias("little"), F.posexplode("prefix").alias("place", "token"))
+            .select("class", "token", "comp", "sizes", (F.shiftleft(F.col("little"), 32) + F.col("place")).alias("order")))
+
+
+def _place(order: Column) -> Column:
+    return order.bitwiseAND((1 << 32) - 1).cast("int")
+
+
+def _little(order: Column) -> Column:
+    return F.shiftright(order, 32)
+
+
+def _n(sizes: Column) -> Column:
+    return F.shiftright(sizes, 32)
+
+
+def _m(sizes: Column) -> Column:
+    return sizes.bitwiseAND((1 << 32) - 1)
+
+
 def _open(postings: DataFrame) -> DataFrame:
     """Postings of tokens that still join different components."""
     mixed = postings.groupBy(F.col("token").alias("t")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
@@ -361,7 +389,8 @@ def candidate_pairs(postings: DataFrame, prefixes: DataFrame) -> DataFrame:
     one of a pair aren't probed. A first shared token at places p and q of the shared tokens leaves an
     overlap of at most min(m - p, m' - q), and at most min(s - p, s' - q) shared tokens of prefixes
     of s and s' tokens, of which the smaller l must be found."""
-    postings = postings.join(prefixes.select(F.col("class").alias("of"), "prefix"), F.col("class") == F.col("of"))
+    postings = (postings.select("class", "token", "comp", _place(F.col("order")).alias("place"))
+                .join(prefixes.select(F.col("class").alias("of"), "n", "m", "l", "prefix"), F.col("class") == F.col("of")))
     common = ["token", "n", "m", "l", "comp", "place", F.size("prefix").alias("s"), F.slice("prefix", F.lit(1), F.col("place")).alias("before")]
     postings = postings.select("class", *common)
     top = F.least("n", F.floor(F.col("m") * (NUM + DEN) / NUM).cast("long") - F.col("n"))
@@ -396,7 +425,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     info = postings.where("home = -1").select("doc_id", "key", "n", "class")
     chosen = pinned(postings.where("home >= 0").select("home", "classes", "lengths", "counts", "tokens", "dfs")
                     .groupBy("home").applyInArrow(_class_rows, _CLASSES))
-    open_ = pinned(_open(chosen.select("class", "n", "m", "l", "central", F.col("class").alias("comp"), F.posexplode("prefix").alias("place", "token"))))
+    open_ = pinned(_open(_narrow(chosen)))
     merges: list[DataFrame] = []
 
     def merge(pairs: DataFrame) -> int:
@@ -411,18 +440,23 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
                                  .withColumn("comp", F.coalesce("merged", "comp")).drop("node", "merged")))
         return n
 
+    size = open_.count()
     for turn in range(HUB_ROUNDS):
         # the hub of a posting list: its class of the most frequent tokens; later, one of a quarter drawn anew
         drawn = F.lit(0) if not turn else F.least(F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(4)), F.lit(1))
-        rank = F.struct(drawn.alias("d"), (-F.col("central")).alias("r"), F.col("class").alias("c"))
-        hubs = open_.groupBy(F.col("token").alias("t")).agg(F.min_by(F.struct("class", "n", "m", "comp"), rank).alias("hub"))
-        named = (open_.join(hubs, F.col("token") == F.col("t")).where((F.col("hub.comp") != F.col("comp")) & _fits(F.col("n"), F.col("m"), F.col("hub.n"), F.col("hub.m")))
-                 .groupBy("class", "comp", "n", "hub").agg(F.count(F.lit(1)).alias("shared")))
-        best = named.groupBy(F.col("class").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na")).agg(F.max_by("hub", F.struct("shared", F.col("hub.class").alias("h"))).alias("hub"))
-        pairs = pinned(best.select("a", "ca", "na", F.col("hub.class").alias("b"), F.col("hub.comp").alias("cb"), F.col("hub.n").alias("nb")))
+        rank = F.struct(drawn.alias("d"), _little(F.col("order")).alias("r"), F.col("class").alias("c"))
+        hubs = open_.groupBy(F.col("token").alias("t")).agg(F.min_by(F.struct("class", "sizes", "comp"), rank).alias("hub"))
+        sizes, others = F.col("sizes"), F.col("hub.sizes")
+        named = (open_.join(hubs, F.col("token") == F.col("t")).where((F.col("hub.comp") != F.col("comp")) & _fits(_n(sizes), _m(sizes), _n(others), _m(others)))
+                 .groupBy("class", "comp", "sizes", "hub").agg(F.count(F.lit(1)).alias("shared")))
+        best = named.groupBy(F.col("class").alias("a"), F.col("comp").alias("ca"), "sizes").agg(F.max_by("hub", F.struct("shared", F.col("hub.class").alias("h"))).alias("hub"))
+        pairs = pinned(best.select("a", "ca", _n(sizes).alias("na"), F.col("hub.class").alias("b"), F.col("hub.comp").alias("cb"), _n(others).alias("nb")))
         before = pairs.count()
         if not before or merge(pairs) < before * LITTLE:
             break
+        was, size = size, open_.count()
+        if size > was * (1 - LITTLE):
+            break
     merge(pinned(candidate_pairs(open_, chosen)))
     comps = info.where("n > 0").select("class").distinct().withColumn("comp", F.col("class"))
     for roots in merges:
