@@ -19,6 +19,14 @@ soft threshold by reg_alpha; leaf value: -learning_rate T(G) / (H + reg_lambda).
 the side of larger gain. Ties go to the first feature, the lowest bin. Row and column draws depend on
 (seed, round, block) alone, and sums are merged in a fixed order, so reruns agree.
 
+Categorical columns count as one 0/1 column per value, without making them: a value's code is kept, its
+sums are sparse and merge in ranges of codes, and a split sends one value to the right. Vocabularies
+(column, value, code) are tables; a fitted model keeps the values that its trees name.
+
+Leaves of at most ``LOCAL_ROWS`` rows need no more passes: their rows (bins, gradients) go to one task
+each, which finishes the subtree by the same rules. Small tables thus take one job a tree, large ones
+one per level until leaves are small; what is sent is bounded by the number of leaves.
+
 Running margins are stored with the blocks every ``REFRESH`` rounds; the table of the rounds before is
 then removed.
 """
@@ -26,6 +34,7 @@ then removed.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -36,6 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.session import ensure_checkpoint_dir
 
 MAX_BINS = 255
@@ -43,6 +53,7 @@ REFRESH = 10
 SEED = 42
 LEAST_GAIN = 1e-9
 DEEPEST = 64
+LOCAL_ROWS = 1 << 16
 
 # Default parameters of the two booster configurations and of the stand-alone booster.
 FAMILY_DEFAULTS = {
@@ -99,13 +110,23 @@ class BinnedTable:
     targets: list[str]
     folds: dict[int, tuple[int, int]]  # fold -> (smallest position, rows)
     rows: int
+    categories: list[str] = field(default_factory=list)
+    values: list[int] = field(default_factory=list)  # number of codes of each
+    vocabulary: DataFrame | None = None  # column, value, code
+    first_code: int = 0  # 1: the first value of a column has no 0/1 column
+
+    @property
+    def columns(self) -> int:
+        """Columns with every value as a column of its own."""
+        return len(self.features) + sum(max(0, v - self.first_code) for v in self.values)
 
     @property
     def bins(self) -> np.ndarray:
         return np.array([len(c) + 2 for c in self.cuts], dtype=np.int64)
 
 
-_BLOCK = "block long, n int, x binary, y binary, fold binary, pos binary"
+_BLOCK = "block long, n int, x binary, codes binary, y binary, fold binary, pos binary"
+CODES = 1 << 16  # codes whose sums are merged together
 _NAMES = [c.split()[0] for c in _BLOCK.split(", ")]
 
 
@@ -137,31 +158,51 @@ def find_cuts(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS)
     return cuts
 
 
+def vocabularies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): codes count from 0 in the order of the values, missing values have none."""
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("s")).select("s.*")
+    coded = ordered_positions(pairs.where(F.col("value").isNotNull()).distinct(), ["value"], group=["column"], out="code")
+    return coded.select("column", "value", F.col("code").cast("int").alias("code"))
+
+
 def bin_table(df: DataFrame, features: Sequence[str], targets: Sequence[str], fold: str | None = None, pos: str | None = None,
-              max_bins: int = MAX_BINS, cuts: list[np.ndarray] | None = None, parts: int | None = None) -> BinnedTable:
-    """Code and store the rows; rows without any target value stay out of the models of that target."""
+              max_bins: int = MAX_BINS, cuts: list[np.ndarray] | None = None, parts: int | None = None, categories: Sequence[str] = (),
+              drop_first: bool = False) -> BinnedTable:
+    """Code and store the rows; rows without any target value stay out of the models of that target.
+    ``categories``: string columns; ``drop_first``: their first value has no column of its own."""
     spark = df.sparkSession
-    features, targets = list(features), list(targets)
+    features, targets, categories = list(features), list(targets), list(categories)
     cuts = find_cuts(df, features, max_bins) if cuts is None else cuts
-    nf, nt = len(features), len(targets)
-    rows = df.select(*[F.col(c).cast("double") for c in features], *[F.col(c).cast("double") for c in targets],
-                     (F.col(fold).cast("int") if fold else F.lit(-1)).alias("__fold"), (F.col(pos).cast("long") if pos else F.lit(-1).cast("long")).alias("__pos"))
+    nf, nt, nc = len(features), len(targets), len(categories)
+    vocabulary, values, coded = None, [], df
+    if categories:
+        path = shared_path(spark, "vocabulary")
+        vocabularies(df, categories).write.parquet(path)
+        vocabulary = spark.read.schema("column string, value string, code int").parquet(path)
+        sizes = {r["column"]: r["n"] for r in vocabulary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        values = [int(sizes.get(c, 0)) for c in categories]
+        for i, c in enumerate(categories):
+            own = vocabulary.where(F.col("column") == c).select(F.col("value").alias(f"__v{i}"), F.col("code").alias(f"__c{i}"))
+            coded = coded.join(own, F.col(c).cast("string") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
+    rows = coded.select(*[F.col(c).cast("double") for c in features], *[F.col(c).cast("double") for c in targets],
+                        *[F.coalesce(f"__c{i}", F.lit(-1)) for i in range(nc)],
+                        (F.col(fold).cast("int") if fold else F.lit(-1)).alias("__fold"), (F.col(pos).cast("long") if pos else F.lit(-1).cast("long")).alias("__pos"))
 
     def code(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            column = [batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(nf + nt)]
+            column = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(nf + nt + nc + 2)]
             x = np.zeros((nf, batch.num_rows), dtype=np.uint8)
             for f in range(nf):
-                known = ~np.isnan(column[f])
-                x[f, known] = 1 + np.searchsorted(cuts[f], column[f][known], side="left")
-            y = np.stack(column[nf:]) if nt else np.zeros((0, batch.num_rows))
-            place = batch.column(nf + nt + 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            which = batch.column(nf + nt).to_numpy(zero_copy_only=False).astype(np.int32)
+                v = column[f].astype(float)
+                known = ~np.isnan(v)
+                x[f, known] = 1 + np.searchsorted(cuts[f], v[known], side="left")
+            y = np.stack([v.astype(float) for v in column[nf:nf + nt]]) if nt else np.zeros((0, batch.num_rows))
+            codes = np.stack([v.astype(np.int32) for v in column[nf + nt:nf + nt + nc]]) if nc else np.zeros((0, batch.num_rows), dtype=np.int32)
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([batch.num_rows], pa.int32()),
-                                              *(pa.array([v.tobytes()], pa.binary()) for v in (x, y, which, place))], names=_NAMES)
+                                              *(pa.array([v.tobytes()], pa.binary()) for v in (x, codes, y, column[-2].astype(np.int32), column[-1].astype(np.int64)))], names=_NAMES)
             number += 1
 
     # every pass over the blocks is as parallel as they are many; small inputs would lie in one
@@ -180,17 +221,20 @@ def bin_table(df: DataFrame, features: Sequence[str], targets: Sequence[str], fo
                                                   pa.array([int((which == f).sum()) for f in names], pa.int64())], names=["f", "lo", "c"])
 
     found = blocks.select("fold", "pos").mapInArrow(bounds, "f int, lo long, c long").groupBy("f").agg(F.min("lo").alias("lo"), F.sum("c").alias("c")).collect()
-    return BinnedTable(blocks, features, cuts, targets, {r["f"]: (r["lo"], r["c"]) for r in found}, sum(r["c"] for r in found))
+    return BinnedTable(blocks, features, cuts, targets, {r["f"]: (r["lo"], r["c"]) for r in found}, sum(r["c"] for r in found),
+                       categories, values, vocabulary, int(drop_first))
 
 
 # ------------------------------------------------------------------ trees
 class Tree:
-    """Nodes as parallel lists; feature -1: leaf. ``bin``: largest bin that goes left."""
+    """Nodes as parallel lists; feature -1: leaf. ``bin``: largest bin that goes left, or for a value of a
+    category -1 less its code: that value goes right."""
 
     def __init__(self):
         self.feature, self.bin, self.left, self.right, self.missing_left, self.depth = [-1], [0], [0], [0], [False], [0]
         self.split: list[dict | None] = [None]  # best split found, {} when there is none, None before it is known
         self.sums: list[tuple[float, float]] = [(0.0, 0.0)]
+        self.rows: list[float] = [math.inf]  # at most so many drawn rows
 
     def grow(self, node: int) -> None:
         s = self.split[node]
@@ -201,6 +245,7 @@ class Tree:
                 getattr(self, column).append(value)
             g, h = s["gl"], s["hl"]
             self.sums.append((g, h) if side == "left" else (s["g"] - g, s["h"] - h))
+            self.rows.append(s["cl"] if side == "left" else s["c"] - s["cl"])
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         return (np.array(self.feature), np.array(self.bin), np.array(self.left), np.array(self.right), np.array(self.missing_left))
@@ -230,19 +275,35 @@ def route(x: np.ndarray, tree: tuple[np.ndarray, ...], depth: int) -> np.ndarray
         if not inner.any():
             break
         at, who = node[inner], rows[inner]
-        v = x[f[inner], who]
-        node[inner] = np.where(np.where(v == 0, missing_left[at], v <= bins[at]), left[at], right[at])
+        v, b = x[f[inner], who], bins[at]
+        goes_left = np.where(b < 0, v != -1 - b, np.where(v == 0, missing_left[at], v <= b))
+        node[inner] = np.where(goes_left, left[at], right[at])
     return node
 
 
 @dataclass
 class Booster:
-    """A fitted model: base margin and trees as (feature, threshold, left, right, missing_left, value, gain)."""
+    """A fitted model: base margin and trees as lists of nodes (``NODE``); the last features are ``categories``
+    columns of strings."""
     features: list[str]
     base: float
     objective: str
     trees: list[dict[str, list]]
     params: dict
+    categories: int = 0
+
+    def numeric(self) -> list[str]:
+        return self.features[:len(self.features) - self.categories]
+
+    def value_numbers(self) -> list[dict[str, int]]:
+        """Per category the values that trees name, numbered."""
+        names: list[dict[str, int]] = [{} for _ in range(self.categories)]
+        nf = len(self.features) - self.categories
+        for t in self.trees:
+            for f, v in zip(t["feature"], t["category"], strict=True):
+                if v is not None:
+                    names[f - nf].setdefault(v, len(names[f - nf]))
+        return names
 
     def importances(self) -> dict[str, float]:
         """Share of the total gain per feature; in a forest every tree counts alike."""
@@ -255,37 +316,45 @@ class Booster:
         total = sum(gain.values())
         return {f: g / total if total else 0.0 for f, g in gain.items()}
 
-    def margin(self, x: np.ndarray, stages: Sequence[int] | None = None) -> np.ndarray:
-        """Margins of rows given as columns of raw values, after all trees or after each stage."""
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        """Margins after all trees, of rows given as columns: raw values of the numeric features, then numbers
+        of the categories' values (-1: a value that no tree names)."""
         missing = np.isnan(x)
-        rows = np.arange(x.shape[1])
-        total, out = np.full(x.shape[1], self.base), []
-        wanted = set(stages or ())
-        for number, t in enumerate(self.trees, 1):
-            feature, threshold, left, right, missing_left, value = (np.array(t[k]) for k in ("feature", "threshold", "left", "right", "missing_left", "value"))
+        rows, names, nf = np.arange(x.shape[1]), self.value_numbers(), len(self.features) - self.categories
+        total = np.full(x.shape[1], self.base)
+        for t in self.trees:
+            feature, left, right, missing_left, value = (np.array(t[k]) for k in ("feature", "left", "right", "missing_left", "value"))
+            named = np.array([v is not None for v in t["category"]])
+            threshold = np.array([names[f - nf][v] if v is not None else b for f, v, b in zip(t["feature"], t["category"], t["threshold"], strict=True)], dtype=float)
             node = np.zeros(x.shape[1], dtype=np.int64)
             for _ in range(int(max(t["depth"]))):
                 f = feature[node]
                 inner = f >= 0
                 at, who = node[inner], rows[inner]
                 v, gone = x[f[inner], who], missing[f[inner], who]
-                node[inner] = np.where(np.where(gone, missing_left[at], v <= threshold[at]), left[at], right[at])
+                goes_left = np.where(named[at], v != threshold[at], np.where(gone, missing_left[at], v <= threshold[at]))
+                node[inner] = np.where(goes_left, left[at], right[at])
             total = total + value[node]
-            if number in wanted:
-                out.append(total)
-        return np.stack(out) if stages is not None else total
+        return total
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """All columns and the prediction (class probability for the binary objective)."""
-        names, objective = self.features, self.objective
+        names, objective, values, nf = self.features, self.objective, self.value_numbers(), len(self.features) - self.categories
         own = [f"__x{i}" for i in range(len(names))]
-        rows = df.select("*", *[F.col(c).cast("double").alias(o) for c, o in zip(names, own, strict=True)])
+        rows = df.select("*", *[F.col(c).cast("double" if i < nf else "string").alias(o) for i, (c, o) in enumerate(zip(names, own, strict=True))])
         schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
         width = len(df.columns)
 
         def score(batches) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = np.stack([batch.column(width + i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(names))]) if names else np.zeros((0, batch.num_rows))
+                x = np.zeros((len(names), batch.num_rows))
+                for i in range(len(names)):
+                    column = batch.column(width + i)
+                    if i < nf:
+                        x[i] = column.to_numpy(zero_copy_only=False).astype(float)
+                    else:
+                        number = values[i - nf]
+                        x[i] = [number.get(v, -1) for v in column.to_pylist()]
                 m = self.margin(x)
                 m = 1 / (1 + np.exp(-m)) if objective == "binary" else m
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(m, pa.float64())], names=schema.names)
@@ -294,15 +363,16 @@ class Booster:
 
     def nodes(self, spark: SparkSession) -> DataFrame:
         """The model as a table, one row per node; row (-1, -1) has the base margin."""
-        rows = [(-1, -1, -1, "", self.base, -1, -1, False, 0.0, 0.0)]
+        rows = [(-1, -1, -1, "", self.base, -1, None, -1, -1, False, 0.0, 0.0)]
         for number, t in enumerate(self.trees):
             for i, f in enumerate(t["feature"]):
-                rows.append((number, i, t["depth"][i], self.features[f] if f >= 0 else "", t["threshold"][i], t["left"][i], t["right"][i],
-                             bool(t["missing_left"][i]), t["value"][i], t["gain"][i]))
-        return spark.createDataFrame(rows, "tree int, node int, depth int, feature string, threshold double, left int, right int, missing_left boolean, value double, gain double")
+                rows.append((number, i, t["depth"][i], self.features[f] if f >= 0 else "", t["threshold"][i], t["code"][i], t["category"][i], t["left"][i],
+                             t["right"][i], bool(t["missing_left"][i]), t["value"][i], t["gain"][i]))
+        return spark.createDataFrame(rows, "tree int, node int, depth int, feature string, threshold double, code int, category string, left int, right int, "
+                                           "missing_left boolean, value double, gain double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        meta = json.dumps({"features": self.features, "objective": self.objective, "params": self.params})
+        meta = json.dumps({"features": self.features, "objective": self.objective, "params": self.params, "categories": self.categories})
         self.nodes(spark).withColumn("meta", F.when(F.col("tree") < 0, F.lit(meta))).coalesce(1).write.parquet(path)
 
     @classmethod
@@ -313,10 +383,10 @@ class Booster:
         trees: list[dict[str, list]] = []
         for r in rows[1:]:
             if r["node"] == 0:
-                trees.append({k: [] for k in ("feature", "threshold", "left", "right", "missing_left", "value", "gain", "depth")})
+                trees.append({k: [] for k in NODE})
             for k in trees[-1]:
                 trees[-1][k].append(at.get(r[k], -1) if k == "feature" else r[k])
-        return cls(meta["features"], rows[0]["threshold"], meta["objective"], trees, meta["params"])
+        return cls(meta["features"], rows[0]["threshold"], meta["objective"], trees, meta["params"], meta["categories"])
 
 
 # ------------------------------------------------------------------ fitting
@@ -345,7 +415,7 @@ def best_splits(g: np.ndarray, h: np.ndarray, c: np.ndarray, starts: np.ndarray,
     parent = _score(total_g, total_h, p)
     rows = np.arange(len(g))
     out = {"g": total_g[:, 0], "h": total_h[:, 0], "c": total_c[:, 0], "gain": np.zeros(len(g)), "slot": np.zeros(len(g), dtype=np.int64),
-           "bin": np.zeros(len(g), dtype=np.int64), "missing_left": np.zeros(len(g), dtype=bool), "gl": np.zeros(len(g)), "hl": np.zeros(len(g))}
+           "bin": np.zeros(len(g), dtype=np.int64), "missing_left": np.zeros(len(g), dtype=bool), "gl": np.zeros(len(g)), "hl": np.zeros(len(g)), "cl": np.zeros(len(g))}
     for missing_left in (False, True):
         if missing_left and not cm.any():
             break
@@ -358,12 +428,12 @@ def best_splits(g: np.ndarray, h: np.ndarray, c: np.ndarray, starts: np.ndarray,
         i = np.argmax(gain, axis=1)
         better = np.flatnonzero(gain[rows, i] > np.maximum(LEAST_GAIN, out["gain"]))
         i = i[better]
-        for k, v in (("gain", gain[better, i]), ("slot", own[i]), ("bin", i - first[i]), ("missing_left", missing_left), ("gl", a[better, i]), ("hl", b[better, i])):
+        for k, v in (("gain", gain[better, i]), ("slot", own[i]), ("bin", i - first[i]), ("missing_left", missing_left), ("gl", a[better, i]), ("hl", b[better, i]), ("cl", n[better, i])):
             out[k][better] = v
     return out
 
 
-FOUND = "model int, node int, gain double, feature int, bin int, missing_left boolean, gl double, hl double, g double, h double"
+FOUND = "model int, node int, gain double, feature int, bin int, missing_left boolean, gl double, hl double, cl double, g double, h double, c double"
 
 
 def found_table(model: int, nodes: np.ndarray, feature: np.ndarray, best: dict[str, np.ndarray]) -> pa.Table:
@@ -374,12 +444,18 @@ def found_table(model: int, nodes: np.ndarray, feature: np.ndarray, best: dict[s
 
 
 def take_splits(found: DataFrame, trees: dict[int, Tree]) -> None:
-    """Record the splits found in the growing trees."""
-    for r in found.toArrow().to_pylist():
+    """Record the best of the splits found per leaf."""
+    record_splits(found.toArrow().to_pylist(), trees)
+
+
+def record_splits(found: list[dict], trees: dict[int, Tree]) -> None:
+    """The largest gain per leaf counts; of equal ones the first feature, the first bin or value."""
+    for r in sorted(found, key=lambda r: (r["model"], r["node"], -r["gain"], r["feature"], -r["bin"] if r["bin"] < 0 else r["bin"])):
         tree, node = trees[r["model"]], r["node"]
-        tree.split[node] = r if r["gain"] > 0 else {}
-        if node == 0:
-            tree.sums[0] = (r["g"], r["h"])
+        if tree.split[node] is None:
+            tree.split[node] = r if r["gain"] > 0 else {}
+            if node == 0:
+                tree.sums[0] = (r["g"], r["h"])
 
 
 class _Model:
@@ -390,7 +466,7 @@ class _Model:
         if spec.target not in table.targets:
             raise BadParameters(f"no target {spec.target}")
         self.target = table.targets.index(spec.target)
-        self.base = 0.0
+        self.base, self.rows = 0.0, math.inf
         self.trees: list[tuple] = []  # (arrays, depth, values) of finished trees
         self.kept: list[dict] = []
         self.tree: Tree | None = None
@@ -402,10 +478,13 @@ class _Model:
 
 
 def _block(batch: pa.RecordBatch, row: int, nf: int, nt: int) -> tuple:
+    """block, n, x (bins of the features, then codes of the categories), y, fold, pos."""
     value = {k: batch.column(k)[row].as_py() for k in _NAMES}
     n = value["n"]
-    return (value["block"], n, np.frombuffer(value["x"], dtype=np.uint8).reshape(nf, n), np.frombuffer(value["y"], dtype=float).reshape(nt, n),
-            np.frombuffer(value["fold"], dtype=np.int32), np.frombuffer(value["pos"], dtype=np.int64))
+    x = np.frombuffer(value["x"], dtype=np.uint8).reshape(nf, n)
+    if value["codes"]:
+        x = np.concatenate([x.astype(np.int32), np.frombuffer(value["codes"], dtype=np.int32).reshape(-1, n)])
+    return (value["block"], n, x, np.frombuffer(value["y"], dtype=float).reshape(nt, n), np.frombuffer(value["fold"], dtype=np.int32), np.frombuffer(value["pos"], dtype=np.int64))
 
 
 def _learns(m: dict, y: np.ndarray, which: np.ndarray, place: np.ndarray, folds: dict) -> np.ndarray:
@@ -465,6 +544,7 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
             raise BadParameters("a model has no rows to learn from")
         mean = r["s"] / r["n"]
         m.base = mean if m.spec.objective == "regression" else float(np.log(max(mean, 1e-12) / max(1 - mean, 1e-12)))
+        m.rows = r["n"]
 
     bases = [m.base for m in models]
     frame, path, since = table.blocks, None, 0
@@ -480,13 +560,20 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
         for k in live:
             m = models[k]
             m.tree = Tree()
+            m.tree.rows[0] = m.rows
             draw = np.random.default_rng([m.spec.seed, turn])
             share = max(1, int(m.p["colsample_bytree"] * nf + 1e-9))
             m.columns = np.sort(draw.choice(nf, share, replace=False)) if nf else np.arange(0)
         open_ = {k: [0] for k in live}
-        while open_ and nf:
+        while open_ and (nf or table.values):
             growing = {k: (models[k].tree.arrays(), max(models[k].tree.depth), nodes, models[k].columns, models[k].trees[since:]) for k, nodes in open_.items()}
-            take_splits(_evaluate(frame, growing, static, sizes, folds, nf, nt, turn, path is not None, margins), {k: models[k].tree for k in growing})
+            few = {k: {n for n in nodes if models[k].tree.rows[n] <= LOCAL_ROWS} for k, nodes in open_.items()}
+            shape = (static, sizes, folds, nf, nt, turn, path is not None, margins, table.values, table.first_code)
+            large = {k: (a, d, [n for n in nodes if n not in few[k]], c, t) for k, (a, d, nodes, c, t) in growing.items()}
+            if large := {k: v for k, v in large.items() if v[2]}:
+                take_splits(_evaluate(frame, large, *shape), {k: models[k].tree for k in large})
+            if small := {k: (a, d, sorted(few[k]), c, t) for k, (a, d, _, c, t) in growing.items() if few[k]}:
+                take_subtrees(_subtrees(frame, small, *shape), {k: models[k].tree for k in small})
             following = {}
             for k in open_:
                 tree, p = models[k].tree, models[k].p
@@ -510,10 +597,13 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
                 remove_path(spark, old)
     if path:
         remove_path(spark, path)
-    return [Booster(table.features, m.base, m.spec.objective, m.kept, m.p) for m in models]
+    for m in models:
+        name_values(table, m.kept)
+    return [Booster([*table.features, *table.categories], m.base, m.spec.objective, m.kept, m.p, len(table.categories)) for m in models]
 
 
 NODES = 128  # open leaves whose sums travel together
+ROWS_HELD = 2_000_000  # rows whose values are summed up at once
 
 
 def histogram_rows(held: dict[int, tuple[np.ndarray, ...]], task: int) -> Iterator[pa.RecordBatch]:
@@ -521,12 +611,70 @@ def histogram_rows(held: dict[int, tuple[np.ndarray, ...]], task: int) -> Iterat
     for k, sums in held.items():
         for piece in range(0, len(sums[0]), NODES):
             part = [np.ascontiguousarray(v[piece:piece + NODES]).tobytes() for v in sums]
-            column = [k, piece, task, *part, *([None] * (3 - len(part)))]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([c], kind) for c, kind in zip(column, kinds, strict=True)], names=["model", "piece", "task", "g", "c", "h"])
+            yield histogram_row(k, piece, task, part)
+
+
+HISTOGRAM = "model int, piece int, task int, g binary, c binary, h binary, keys binary, totals binary"
+
+
+def histogram_row(model: int, piece: int, task: int, sums: Sequence[bytes], keys: bytes | None = None, totals: bytes | None = None) -> pa.RecordBatch:
+    column = [model, piece, task, *sums, *([None] * (3 - len(sums))), keys, totals]
+    names = [f.split()[0] for f in HISTOGRAM.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([c], pa.int32() if i < 3 else pa.binary()) for i, c in enumerate(column)], names=names)
+
+
+def value_rows(model: int, task: int, nodes: int, category: int, values: int, leaf: np.ndarray, codes: np.ndarray, weights: Sequence[np.ndarray | None],
+               wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sparse sums per (leaf, value) of one category, by range of codes (piece -1 less its number), with the
+    sums of whole leaves. ``weights``: g, None for counts, and h if it is not the count."""
+    totals = np.stack([np.bincount(leaf, w, nodes) for w in weights]).tobytes()
+    key, code = leaf[wanted] * np.int64(values) + codes[wanted], codes[wanted]
+    which = code // CODES
+    for part in range(-(-values // CODES)):
+        here = which == part if values > CODES else slice(None)
+        keys, at = np.unique(key[here], return_inverse=True)
+        sums = [np.bincount(at, None if w is None else w[wanted][here], len(keys)).astype(float).tobytes() for w in weights]
+        yield histogram_row(model, -1 - (part * MAX_CATEGORIES + category), task, sums, keys.tobytes(), totals)
 
 
-HISTOGRAM = "model int, piece int, task int, g binary, c binary, h binary"
+MAX_CATEGORIES = 4096  # categorical columns of one table
+
+
+def best_values(parts: pa.Table, values: Sequence[int], p: dict) -> tuple[int, int, np.ndarray, dict[str, np.ndarray]]:
+    """Model, category, leaves and the best value of the category's code range in each leaf."""
+    order = np.argsort(parts.column("task").to_numpy()).tolist()
+    category = (-1 - parts.column("piece")[0].as_py()) % MAX_CATEGORIES
+
+    def whole(name: str, kind) -> np.ndarray:
+        return np.concatenate([np.frombuffer(parts.column(name)[i].as_py(), dtype=kind) for i in order])
+
+    each = [n for n in ("g", "c", "h") if parts.column(n)[0].as_py() is not None]
+    totals = np.sum([np.frombuffer(parts.column("totals")[i].as_py(), dtype=float).reshape(len(each), -1) for i in order], axis=0)
+    totals = dict(zip(each, totals, strict=True))
+    keys, at = np.unique(whole("keys", np.int64), return_inverse=True)
+    sums = {n: np.bincount(at, whole(n, float), len(keys)) for n in each}
+    for d in (totals, sums):
+        d.setdefault("h", d["c"])
+    leaf, code = keys // values[category], keys % values[category]
+    left = {n: totals[n][leaf] - sums[n] for n in ("g", "c", "h")}
+    least = p["min_child_samples"]
+    fits = ((left["c"] > 0) & (sums["c"] > 0) & (left["c"] >= least) & (sums["c"] >= least) & (left["h"] >= p["min_child_weight"])
+            & (sums["h"] >= p["min_child_weight"]) & (totals["c"][leaf] >= p.get("min_samples_split", 0)))
+    gain = np.where(fits, _score(left["g"], left["h"], p) + _score(sums["g"], sums["h"], p) - _score(totals["g"], totals["h"], p)[leaf], 0.0)
+    order_ = np.lexsort((code, -gain, leaf))
+    leaves, first = np.unique(leaf[order_], return_index=True)
+    i = order_[first]
+    good = np.where(gain[i] > LEAST_GAIN, gain[i], 0.0)
+    return parts.column("model")[0].as_py(), category, leaves, {
+        "gain": good, "bin": -1 - code[i], "missing_left": np.ones(len(i), dtype=bool), "gl": left["g"][i], "hl": left["h"][i],
+        "cl": left["c"][i], "g": totals["g"][leaves], "h": totals["h"][leaves], "c": totals["c"][leaves]}
+
+
+def drawn_values(seed: int, turn: int, category: int, codes: np.ndarray, share: float) -> np.ndarray:
+    """Values that a tree may split on: a share of the codes, by hash."""
+    h = (codes.astype(np.uint64) + np.uint64((seed * 1_000_003 + turn) * 4099 + category + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h >> np.uint64(11)).astype(float) / (1 << 53) < share
 
 
 def merged(parts: pa.Table, width: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
@@ -543,41 +691,71 @@ def merged(parts: pa.Table, width: int) -> tuple[int, int, np.ndarray, np.ndarra
     return parts.column("model")[0].as_py(), parts.column("piece")[0].as_py(), sums["g"], sums.get("h", sums["c"]), sums["c"]
 
 
-def _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, stored, margins) -> DataFrame:
+def _open_rows(batch, row, growing, static, folds, nf, nt, turn, stored, margins) -> Iterator[tuple]:
+    """(block, model, leaf, x, g, h) of a block's drawn rows that lie in open leaves."""
+    block, n, x, y, which, place = _block(batch, row, nf, nt)
+    margin = margins(batch, row, n, stored)
+    for k, (arrays, depth, nodes, _, trees) in growing.items():
+        m = static[k]
+        target = y[m["target"]]
+        use = _learns(m, target, which, place, folds)
+        if m["p"]["subsample"] < 1 and m["p"]["subsample_freq"]:
+            use &= np.random.default_rng([m["seed"], turn, block]).random(n) < m["p"]["subsample"]
+        slot = np.full(len(arrays[0]), -1)
+        slot[nodes] = np.arange(len(nodes))
+        leaf = slot[route(x, arrays, depth)]
+        at = np.flatnonzero(use & (leaf >= 0))
+        yield block, k, leaf[at], x[:, at], *_gradient(m, target[at], _add_trees(margin[k][at], x[:, at], trees))
+
+
+def add_cells(leaf: np.ndarray, x: np.ndarray, columns: np.ndarray, offsets: np.ndarray, width: int, weights: Sequence, sums: Sequence[np.ndarray]) -> None:
+    """Add weights (None: counts) of rows to the sums [leaves x width] per leaf, feature and bin."""
+    for f, offset in zip(columns, offsets, strict=True):
+        key = leaf * width + offset + x[f]
+        for total, weight in zip(sums, weights, strict=False):
+            total.ravel()[:] += np.bincount(key, weight, total.size)
+
+
+def _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, stored, margins, values, first_code) -> DataFrame:
     """Best split of every open leaf of the growing trees."""
-    offsets = {k: np.concatenate(([0], np.cumsum(sizes[g[3]])[:-1])) for k, g in growing.items()}
+    offsets = {k: np.cumsum(sizes[g[3]]) - sizes[g[3]] for k, g in growing.items()}
     width = {k: int(sizes[g[3]].sum()) for k, g in growing.items()}
 
     def histograms(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        task = TaskContext.get().partitionId()
         held: dict[int, tuple[np.ndarray, ...]] = {}
+        rows: dict[int, list[tuple]] = {}  # model -> leaf, codes, gradients of its blocks
         for batch in batches:
             for row in range(batch.num_rows):
-                block, n, x, y, which, place = _block(batch, row, nf, nt)
-                margin = margins(batch, row, n, stored)
-                for k, (arrays, depth, nodes, columns, trees) in growing.items():
-                    m = static[k]
-                    target = y[m["target"]]
-                    use = _learns(m, target, which, place, folds)
-                    if m["p"]["subsample"] < 1 and m["p"]["subsample_freq"]:
-                        use &= np.random.default_rng([m["seed"], turn, block]).random(n) < m["p"]["subsample"]
-                    slot = np.full(len(arrays[0]), -1)
-                    slot[nodes] = np.arange(len(nodes))
-                    leaf = slot[route(x, arrays, depth)]
-                    at = np.flatnonzero(use & (leaf >= 0))
-                    g, h = _gradient(m, target[at], _add_trees(margin[k][at], x[:, at], trees))
+                for _, k, leaf, x, g, h in _open_rows(batch, row, growing, static, folds, nf, nt, turn, stored, margins):
                     if k not in held:
-                        held[k] = tuple(np.zeros((len(nodes), width[k])) for _ in range(3 if h is not None else 2))
-                    cell, size = leaf[at] * width[k], len(nodes) * width[k]
-                    for f, offset in zip(columns, offsets[k], strict=True):
-                        key = cell + offset + x[f, at]
-                        for total, weight in zip(held[k], (g, None, h), strict=False):
-                            total.ravel()[:] += np.bincount(key, weight, size)
-        yield from histogram_rows(held, TaskContext.get().partitionId())
+                        held[k] = tuple(np.zeros((len(growing[k][2]), width[k])) for _ in range(3 if h is not None else 2))
+                    add_cells(leaf, x, growing[k][3], offsets[k], width[k], (g, None, h), held[k])
+                    if values:
+                        rows.setdefault(k, []).append((leaf, x[nf:], g, h))
+                        if sum(len(r[0]) for r in rows[k]) > ROWS_HELD:
+                            yield from value_sums(k, rows.pop(k), task)
+        yield from histogram_rows(held, task) if nf else ()
+        for k in list(rows):
+            yield from value_sums(k, rows.pop(k), task)
+
+    def value_sums(k: int, parts: list[tuple], task: int) -> Iterator[pa.RecordBatch]:
+        leaf, codes, g = (np.concatenate([r[i] for r in parts], axis=-1) for i in range(3))
+        h = [np.concatenate([r[3] for r in parts])] if parts[0][3] is not None else []
+        m = static[k]
+        for j, n in enumerate(values):
+            wanted = codes[j] >= first_code
+            if m["p"]["colsample_bytree"] < 1:
+                wanted &= drawn_values(m["seed"], turn, j, codes[j], m["p"]["colsample_bytree"])
+            yield from value_rows(k, task, len(growing[k][2]), j, n, leaf, codes[j], [g, None, *h], np.flatnonzero(wanted))
 
     def search(parts: pa.Table) -> pa.Table:
         k = parts.column("model")[0].as_py()
+        if parts.column("piece")[0].as_py() < 0:
+            k, category, leaves, best = best_values(parts, values, static[k]["p"])
+            return found_table(k, np.array(growing[k][2])[leaves], np.full(len(leaves), nf + category), best)
         k, piece, g, h, c = merged(parts, width[k])
         best = best_splits(g, h, c, offsets[k], sizes[growing[k][3]], static[k]["p"])
         return found_table(k, np.array(growing[k][2][piece:piece + len(g)]), growing[k][3][best["slot"]], best)
@@ -585,11 +763,135 @@ def _evaluate(frame, growing, static, sizes, folds, nf, nt, turn, stored, margin
     return frame.mapInArrow(histograms, HISTOGRAM).groupBy("model", "piece").applyInArrow(search, FOUND)
 
 
+NODE = ("feature", "threshold", "code", "category", "left", "right", "missing_left", "value", "gain", "depth")
+
+
+def threshold_of(table: BinnedTable, feature: int, last_bin: int) -> float:
+    """Bin b of a feature ends at its bound b - 1."""
+    return float(table.cuts[feature][last_bin - 1]) if 0 <= feature < len(table.features) else 0.0
+
+
+def name_values(table: BinnedTable, trees: Sequence[dict[str, list]]) -> None:
+    """Fill in the values that the trees' categorical splits stand for (as many as there are splits)."""
+    nf = len(table.features)
+    used = sorted({(table.categories[f - nf], c) for t in trees for f, c in zip(t["feature"], t["code"], strict=True) if c >= 0})
+    if not used:
+        return
+    spark = table.blocks.sparkSession
+    wanted = spark.createDataFrame(used, "column string, code int")
+    value = {(r["column"], r["code"]): r["value"] for r in table.vocabulary.join(wanted, ["column", "code"], "left_semi").collect()}
+    for t in trees:
+        t["category"] = [value[table.categories[f - nf], c] if c >= 0 else None for f, c in zip(t["feature"], t["code"], strict=True)]
+
+
+SUBTREE = "model int, node int, turn int, at int, " + FOUND.split(", ", 2)[2]
+
+
+def _subtrees(frame, growing, static, sizes, folds, nf, nt, turn, stored, margins, values, first_code) -> DataFrame:
+    """All splits below the open leaves, each leaf's rows in one task: (turn, at) numbers the splits of a
+    leaf and the node of the subtree that is split; split t makes the nodes 2 t + 1 and 2 t + 2."""
+    depth_of = {k: {n: _depth(g[0], n) for n in g[2]} for k, g in growing.items()}
+
+    def send(batches) -> Iterator[pa.RecordBatch]:
+        names = ["model", "node", "block", "n", "x", "g", "h"]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                for block, k, leaf, x, g, h in _open_rows(batch, row, growing, static, folds, nf, nt, turn, stored, margins):
+                    for i in np.unique(leaf):
+                        at = leaf == i
+                        own = [k, growing[k][2][i], block, int(at.sum()), np.ascontiguousarray(x[:, at]).tobytes(), g[at].tobytes(), None if h is None else h[at].tobytes()]
+                        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                        yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(own, kinds, strict=True)], names=names)
+
+    def finish(parts: pa.Table) -> pa.Table:
+        k, node = parts.column("model")[0].as_py(), parts.column("node")[0].as_py()
+        m, columns = static[k], growing[k][3]
+        order = np.argsort(parts.column("block").to_numpy()).tolist()
+        kind = np.int32 if values else np.uint8
+        x = np.concatenate([np.frombuffer(parts.column("x")[i].as_py(), dtype=kind).reshape(nf + len(values), -1) for i in order], axis=1)
+        g = np.concatenate([np.frombuffer(parts.column("g")[i].as_py(), dtype=float) for i in order])
+        h = None if parts.column("h")[0].as_py() is None else np.concatenate([np.frombuffer(parts.column("h")[i].as_py(), dtype=float) for i in order])
+        found = finish_subtree(x, g, h, m, columns, sizes, nf, values, first_code, turn, m["p"]["max_depth"] - depth_of[k][node])
+        out = {"model": np.full(len(found), k), "node": np.full(len(found), node), "turn": np.arange(len(found))}
+        kinds = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+        fields = [f.split() for f in SUBTREE.split(", ")]
+        return pa.table([pa.array(out[n] if n in out else [f[n] for f in found]).cast(kinds[t]) for n, t in fields], names=[n for n, _ in fields])
+
+    return (frame.mapInArrow(send, "model int, node int, block long, n int, x binary, g binary, h binary")
+            .groupBy("model", "node").applyInArrow(finish, SUBTREE))
+
+
+def _depth(arrays: tuple[np.ndarray, ...], node: int) -> int:
+    depth = 0
+    while node:
+        node = int(np.flatnonzero(((arrays[2] == node) | (arrays[3] == node)) & (arrays[0] >= 0))[0])
+        depth += 1
+    return depth
+
+
+def finish_subtree(x, g, h, m, columns, sizes, nf, values, first_code, turn, deepest) -> list[dict]:
+    """Splits of a subtree in the order in which its nodes were made; the first row is its root even where
+    nothing is split (gain 0)."""
+    p, tree = m["p"], Tree()
+    width, offsets = int(sizes[columns].sum()), np.cumsum(sizes[columns]) - sizes[columns]
+    weights = (g, None, h) if h is not None else (g, None)
+    open_, made = [0], []
+    node_of = np.zeros(len(g), dtype=np.int64)
+    while open_:
+        slot = np.full(len(tree.feature), -1)
+        slot[open_] = np.arange(len(open_))
+        at = np.flatnonzero(slot[node_of] >= 0)
+        leaf, own = slot[node_of[at]], x[:, at]
+        tables = []
+        if nf and width:
+            sums = [np.zeros((len(open_), width)) for _ in weights]
+            add_cells(leaf, own, columns, offsets, width, [None if w is None else w[at] for w in weights], sums)
+            best = best_splits(sums[0], sums[-1] if h is not None else sums[1], sums[1], offsets, sizes[columns], p)
+            tables.append(found_table(0, np.array(open_), columns[best["slot"]], best))
+        for j, n in enumerate(values):
+            codes = own[nf + j]
+            wanted = codes >= first_code
+            if p["colsample_bytree"] < 1:
+                wanted &= drawn_values(m["seed"], turn, j, codes, p["colsample_bytree"])
+            rows = list(value_rows(0, 0, len(open_), j, n, leaf, codes, [None if w is None else w[at] for w in weights], np.flatnonzero(wanted)))
+            for part in rows:
+                _, _, leaves, best = best_values(pa.Table.from_batches([part]), values, p)
+                tables.append(found_table(0, np.array(open_)[leaves], np.full(len(leaves), nf + j), best))
+        record_splits(pa.concat_tables(tables).to_pylist() if tables else [], {0: tree})
+        for node in open_:
+            tree.split[node] = tree.split[node] or {}
+        wanted = [n for n in tree.choose(p["num_leaves"], deepest) if tree.feature[n] < 0]
+        for node in wanted:
+            made.append(node)
+            tree.grow(node)
+        node_of = route(x, tree.arrays(), max(tree.depth)) if wanted else node_of
+        open_ = [c for n in wanted for c in (tree.left[n], tree.right[n]) if tree.depth[c] < deepest]
+    out = [{**tree.split[n], "at": n} for n in made]
+    nothing = {"gain": 0.0, "feature": 0, "bin": 0, "missing_left": False, "gl": 0.0, "hl": 0.0, "cl": 0.0}
+    return out or [{**nothing, "at": 0, "g": float(g.sum()), "h": float(len(g) if h is None else h.sum()), "c": float(len(g))}]
+
+
+def take_subtrees(found: DataFrame, trees: dict[int, Tree]) -> None:
+    """Record and grow the splits of finished subtrees."""
+    place: dict[tuple[int, int], dict[int, int]] = {}
+    for r in sorted(found.toArrow().to_pylist(), key=lambda r: (r["model"], r["node"], r["turn"])):
+        tree, at = trees[r["model"]], place.setdefault((r["model"], r["node"]), {0: r["node"]})
+        node = at[r["at"]]
+        if node == 0:
+            tree.sums[0] = (r["g"], r["h"])
+        tree.split[node] = r if r["gain"] > 0 else {}
+        if r["gain"] > 0:
+            tree.grow(node)
+            for side, number in ((tree.left, 2 * r["turn"] + 1), (tree.right, 2 * r["turn"] + 2)):
+                at[number] = side[node]
+                tree.split[side[node]] = {}
+
+
 def _finish(m: _Model, table: BinnedTable) -> None:
     """Keep the chosen splits of the grown tree, with thresholds and leaf values."""
     tree, p = m.tree, m.p
     chosen = set(tree.choose(p["num_leaves"], p["max_depth"]))
-    out: dict[str, list] = {k: [] for k in ("feature", "threshold", "left", "right", "missing_left", "value", "gain", "depth")}
+    out: dict[str, list] = {k: [] for k in NODE}
     bins: list[int] = []
     todo = [(0, -1, "")]
     while todo:
@@ -602,8 +904,8 @@ def _finish(m: _Model, table: BinnedTable) -> None:
         value = 0.0 if split else float(-p["learning_rate"] * _soft(np.float64(g), p["reg_alpha"]) / max(h + p["reg_lambda"], 1e-16))
         f = tree.feature[node] if split else -1
         bins.append(tree.bin[node] if split else 0)
-        # bin b of a feature ends at its bound b - 1
-        for k, v in (("feature", f), ("threshold", float(table.cuts[f][tree.bin[node] - 1]) if split else 0.0), ("left", 0), ("right", 0),
+        for k, v in (("feature", f), ("threshold", threshold_of(table, f, tree.bin[node])), ("code", -1 - tree.bin[node] if f >= len(table.features) else -1),
+                     ("category", None), ("left", 0), ("right", 0),
                      ("missing_left", bool(tree.missing_left[node]) if split else False), ("value", value),
                      ("gain", tree.split[node]["gain"] if split else 0.0), ("depth", tree.depth[node])):
             out[k].append(v)
@@ -681,6 +983,7 @@ def _coded(model: Booster, table: BinnedTable) -> list[tuple]:
     """Trees on bin numbers of the table."""
     out = []
     for t in model.trees:
-        bins = np.array([1 + int(np.searchsorted(table.cuts[f], x)) if f >= 0 else 0 for f, x in zip(t["feature"], t["threshold"], strict=True)])
+        bins = np.array([-1 - c if c >= 0 else 1 + int(np.searchsorted(table.cuts[f], x)) if f >= 0 else 0
+                         for f, c, x in zip(t["feature"], t["code"], t["threshold"], strict=True)])
         out.append(((np.array(t["feature"]), bins, np.array(t["left"]), np.array(t["right"]), np.array(t["missing_left"])), max(t["depth"]), np.array(t["value"])))
     return out

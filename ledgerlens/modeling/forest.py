@@ -4,8 +4,9 @@ All trees grow level by level, those of several forests (folds, targets, trials)
 open leaves of as many trees as ``CELLS`` histogram cells allow, so a task's memory is bounded whatever
 the number of trees; sums travel as in boosting, the driver receives one row per open leaf. Rows are
 drawn with replacement by Poisson(1) weights from (seed, tree, block); every leaf draws its own
-``max_features`` features from (seed, tree, node). Histograms use at most ``COARSE`` bins a feature:
-those of the table, or equal runs of them.
+``max_features`` columns from (seed, tree, node), where every value of a category is a column; only the
+sums of drawn columns are made. Histograms use at most ``COARSE`` bins a feature: those of the table, or
+equal runs of them.
 
 A leaf's value is its mean (for a 0/1 target: the class probability; the gain is then half the Gini
 gain). Least rows of a leaf and of a split count drawn rows. The result is a ``Booster`` whose trees add
@@ -16,15 +17,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-from ledgerlens.modeling.boosting import (FOUND, HISTOGRAM, BadParameters, BinnedTable, Booster, Spec, Tree, _block, _learns, best_splits, found_table,
-                                          histogram_rows, merged, route, take_splits)
+from ledgerlens.modeling.boosting import (FOUND, HISTOGRAM, BadParameters, BinnedTable, Booster, Spec, Tree, _block, _learns, _score, best_splits,
+                                          found_table, histogram_row, merged, name_values, route, take_splits, threshold_of)
 
 COARSE = 64
-CELLS = 3_000_000
+CELLS = 3_000_000  # of one step
+TREE_CELLS = 1_000_000  # of one tree in it
 DEEPEST = 30
 
 # Default parameters of the forest.
@@ -64,7 +67,7 @@ def _coarse(table: BinnedTable) -> tuple[np.ndarray, list[np.ndarray]]:
         bins = np.arange(1, n + 1)
         group = bins if n < COARSE else 1 + (bins - 1) * (COARSE - 1) // n
         to[f, 1:n + 1] = group
-        last.append(np.concatenate(([0], np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1)))
+        last.append(np.concatenate(([0], np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1)))  # 0: missing
     return to, last
 
 
@@ -74,34 +77,35 @@ def fit_forests(table: BinnedTable, specs: Sequence[Spec]) -> list[Booster]:
     for s in specs:
         if s.target not in table.targets:
             raise BadParameters(f"no target {s.target}")
-    nf, nt, folds = len(table.features), len(table.targets), table.folds
+    nf, nt, folds, total = len(table.features), len(table.targets), table.folds, table.columns
     to, last = _coarse(table)
-    bins = np.array([len(v) for v in last])
-    width = int(bins.max()) if nf else 1
-    share = [share_of(p["max_features"], nf) if nf else 0 for p in params]
+    width = int(max(map(len, last), default=1))
+    share = [share_of(p["max_features"], total) if total else 0 for p in params]
     static = [{"target": table.targets.index(s.target), "fold": s.fold, "rows": s.rows, "seed": s.seed, "share": share[k],
                "p": {"reg_alpha": 0.0, "reg_lambda": 0.0, "min_child_weight": 0.0, "min_child_samples": p["min_samples_leaf"],
                      "min_samples_split": p["min_samples_split"]}} for k, (s, p) in enumerate(zip(specs, params, strict=True))]
+    per_leaf = [max(1, int(s * (1 + nf / total * width))) if total else 1 for s in share]
     # tree number (over all forests) -> forest, number within it
     names = [(k, t) for k, p in enumerate(params) for t in range(p["n_estimators"])]
     trees = {i: Tree() for i in range(len(names))}
     open_ = {i: [0] for i in trees}
-    while open_ and nf:
+    while open_ and total:
         todo, open_ = open_, {}
         while todo:
             batch: dict[int, list[int]] = {}
             cells = 0
             for i in list(todo):
-                most = max(1, (CELLS - cells) // (share[names[i][0]] * width))
-                if batch and cells + min(len(todo[i]), most) * share[names[i][0]] * width > CELLS:
+                leaf_cells = per_leaf[names[i][0]]
+                most = max(1, TREE_CELLS // leaf_cells)
+                if batch and cells + min(len(todo[i]), most) * leaf_cells > CELLS:
                     break
                 batch[i], rest = todo[i][:most], todo[i][most:]
-                cells += len(batch[i]) * share[names[i][0]] * width
+                cells += len(batch[i]) * leaf_cells
                 if rest:
                     todo[i] = rest
                     break
                 del todo[i]
-            _grow(table, batch, trees, names, static, to, width, nf, nt, folds)
+            _grow(table, batch, trees, names, static, to, last, width, nf, nt, folds)
             for i, nodes in batch.items():
                 tree, p = trees[i], params[names[i][0]]
                 for node in nodes:
@@ -113,28 +117,74 @@ def fit_forests(table: BinnedTable, specs: Sequence[Spec]) -> list[Booster]:
     out = []
     for k, (spec, p) in enumerate(zip(specs, params, strict=True)):
         kept = [_finished(trees[i], table, last, p["n_estimators"]) for i, (forest, _) in enumerate(names) if forest == k]
-        out.append(Booster(table.features, 0.0, "forest", kept, {**p, "family": "rf"}))
+        name_values(table, kept)
+        out.append(Booster([*table.features, *table.categories], 0.0, "forest", kept, {**p, "family": "rf"}, len(table.categories)))
     return out
 
 
-def _features(seed: int, number: int, nodes: Sequence[int], share: int, nf: int) -> np.ndarray:
-    """Features that each leaf draws, ascending: [leaves x share]."""
-    return np.stack([np.sort(np.random.default_rng([seed, 1, number, node]).choice(nf, share, replace=False)) for node in nodes])
+@dataclass
+class _Slots:
+    """Columns drawn by the open leaves of a tree. Numeric ones: leaf by leaf, ascending; values: per
+    category the sorted keys leaf x values + code."""
+    feature: np.ndarray  # of each numeric slot
+    leaf: np.ndarray
+    begin: np.ndarray  # first numeric slot of each leaf, and one more
+    keys: list[np.ndarray]
 
+    @property
+    def value_slots(self) -> int:
+        return sum(map(len, self.keys))
 
-def _grow(table, batch, trees, names, static, to, width, nf, nt, folds) -> None:
+
+def _draw(seed: int, number: int, nodes: Sequence[int], share: int, table: BinnedTable) -> _Slots:
+    nf, first, total = len(table.features), table.first_code, table.columns
+    begins = np.cumsum([nf, *[max(0, v - first) for v in table.values]])
+    drawn = [np.sort(np.random.default_rng([seed, 1, number, node]).choice(total, share, replace=False)) for node in nodes]
+    leaf = np.repeat(np.arange(len(nodes)), share)
+    column = np.concatenate(drawn)
+    numeric = column < nf
+    keys = []
+    for j, v in enumerate(table.values):
+        own = (column >= begins[j]) & (column < begins[j + 1])
+        keys.append(leaf[own].astype(np.int64) * v + column[own] - begins[j] + first)  # ascending, as leaves and columns are
+    return _Slots(column[numeric], leaf[numeric], np.searchsorted(leaf[numeric], np.arange(len(nodes) + 1)), keys)
+
+
+def _grow(table, batch, trees, names, static, to, last, width, nf, nt, folds) -> None:
     growing = {i: (trees[i].arrays(), max(trees[i].depth), nodes) for i, nodes in batch.items()}
-    # trees route on the table's own bins
-    drawn = {i: _features(static[names[i][0]]["seed"], names[i][1], nodes, static[names[i][0]]["share"], nf) for i, nodes in batch.items()}
+    slots = {i: _draw(static[names[i][0]]["seed"], names[i][1], nodes, static[names[i][0]]["share"], table) for i, nodes in batch.items()}
+    values = table.values
+
+    def sums(slot: _Slots, leaves: int, leaf: np.ndarray, x: np.ndarray, coarse: np.ndarray, weights: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Cells of the numeric slots, of the drawn values, and of whole leaves, one behind the other."""
+        cells, at = len(slot.feature) * width, []
+        count = np.diff(slot.begin)
+        for j in range(int(count.max(initial=0))):
+            some = np.flatnonzero(count[leaf] > j)
+            number = slot.begin[leaf[some]] + j
+            at.append((some, number * width + coarse[slot.feature[number], some]))
+        for j, keys in enumerate(slot.keys):
+            if len(keys):
+                key = leaf * np.int64(values[j]) + x[nf + j]
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                some = np.flatnonzero((keys[place] == key) & (x[nf + j] >= 0))
+                at.append((some, cells + place[some]))
+            cells += len(keys)
+        at.append((np.arange(len(leaf)), cells + leaf))
+        out = [np.zeros(cells + leaves) for _ in weights]
+        for some, key in at:
+            for total, w in zip(out, weights, strict=True):
+                total += np.bincount(key, w[some], len(total))
+        return out
 
     def histograms(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held: dict[int, tuple[np.ndarray, ...]] = {}
+        held: dict[int, list[np.ndarray]] = {}
         for rows in batches:
             for row in range(rows.num_rows):
                 block, n, x, y, which, place = _block(rows, row, nf, nt)
-                coarse = np.stack([to[f][x[f]] for f in range(nf)])
+                coarse = np.stack([to[f][x[f]] for f in range(nf)]) if nf else np.zeros((0, n), dtype=np.uint8)
                 learns: dict[int, np.ndarray] = {}
                 for i, (arrays, depth, nodes) in growing.items():
                     k, number = names[i]
@@ -148,37 +198,48 @@ def _grow(table, batch, trees, names, static, to, width, nf, nt, folds) -> None:
                     leaf = slot[route(x[:, at], arrays, depth)]
                     at, leaf = at[leaf >= 0], leaf[leaf >= 0]
                     w = weight[at].astype(float)
-                    g = -w * y[m["target"]][at]
-                    share = m["share"]
-                    if i not in held:
-                        held[i] = (np.zeros((len(nodes), share * width)), np.zeros((len(nodes), share * width)))
-                    size = held[i][0].size
-                    own = drawn[i][leaf]
-                    for j in range(share):
-                        key = leaf * (share * width) + j * width + coarse[own[:, j], at]
-                        held[i][0].ravel()[:] += np.bincount(key, g, size)
-                        held[i][1].ravel()[:] += np.bincount(key, w, size)
-        yield from histogram_rows(held, TaskContext.get().partitionId())
-
-    last = [np.flatnonzero(np.append(to[f][1:table.bins[f]][1:] != to[f][1:table.bins[f]][:-1], True)) + 1 for f in range(nf)]
+                    new = sums(slots[i], len(nodes), leaf, x[:, at], coarse[:, at], (-w * y[m["target"]][at], w))
+                    held[i] = new if i not in held else [a + b for a, b in zip(held[i], new, strict=True)]
+        for i, both in held.items():
+            yield histogram_row(i, 0, TaskContext.get().partitionId(), [v.tobytes() for v in both])
 
     def search(parts: pa.Table) -> pa.Table:
         i = parts.column("model")[0].as_py()
-        share = drawn[i].shape[1]
-        i, piece, g, h, c = merged(parts, share * width)
-        best = best_splits(g, h, c, np.arange(share) * width, np.full(share, width), static[names[i][0]]["p"])
-        own = drawn[i][piece:piece + len(g)]
-        feature = own[np.arange(len(own)), best["slot"]]
-        # a coarse bin ends at the last of its bins
-        best["bin"] = np.array([last[f][b - 1] if b else 0 for f, b in zip(feature, best["bin"], strict=True)], dtype=np.int64)
-        return found_table(i, np.array(growing[i][2][piece:piece + len(g)]), feature, best)
+        slot, nodes, p = slots[i], np.array(growing[i][2]), static[names[i][0]]["p"]
+        cells, drawn = len(slot.feature) * width, slot.value_slots
+        i, _, g, _, c = merged(parts, cells + drawn + len(nodes))
+        total_g, total_c = g[0, cells + drawn:], c[0, cells + drawn:]
+        found = []
+        if cells:
+            one, cnt = g[0, :cells].reshape(-1, width), c[0, :cells].reshape(-1, width)
+            best = best_splits(one, cnt, cnt, np.zeros(1, dtype=np.int64), np.array([width]), p)
+            # a coarse bin ends at the last of its bins
+            bins = np.array([last[f][b] if b else 0 for f, b in zip(slot.feature, best["bin"], strict=True)], dtype=np.int64)
+            found.append((slot.leaf, slot.feature, best["gain"], bins, best["missing_left"], best["gl"], best["hl"], best["cl"]))
+        at = cells
+        for j, keys in enumerate(slot.keys):
+            leaf, code = keys // max(1, values[j]), keys % max(1, values[j])
+            rg, rc = g[0, at:at + len(keys)], c[0, at:at + len(keys)]
+            lg, lc = total_g[leaf] - rg, total_c[leaf] - rc
+            fits = (np.minimum(lc, rc) >= max(1, p["min_child_samples"])) & (total_c[leaf] >= p["min_samples_split"])
+            gain = np.where(fits, _score(lg, lc, p) + _score(rg, rc, p) - _score(total_g, total_c, p)[leaf], 0.0)
+            gain = np.where(gain > 1e-9, gain, 0.0)
+            found.append((leaf, np.full(len(keys), nf + j), gain, -1 - code, np.ones(len(keys), dtype=bool), lg, lc, lc))
+            at += len(keys)
+        leaf, feature, gain, bins, missing_left, gl, hl, cl = (np.concatenate(v) for v in zip(*found, strict=True))
+        order = np.lexsort((np.abs(bins), feature, -gain, leaf))
+        leaves, first = np.unique(leaf[order], return_index=True)
+        at = order[first]
+        return found_table(i, nodes[leaves], feature[at], {"gain": gain[at], "bin": bins[at], "missing_left": missing_left[at], "gl": gl[at], "hl": hl[at], "cl": cl[at],
+                                                           "g": total_g[leaves], "h": total_c[leaves], "c": total_c[leaves]})
 
     take_splits(table.blocks.mapInArrow(histograms, HISTOGRAM).groupBy("model", "piece").applyInArrow(search, FOUND), {i: trees[i] for i in batch})
 
 
 def _finished(tree: Tree, table: BinnedTable, last: list[np.ndarray], number: int) -> dict[str, list]:
     inner = [f >= 0 for f in tree.feature]
-    return {"feature": list(tree.feature), "threshold": [float(table.cuts[f][b - 1]) if f >= 0 else 0.0 for f, b in zip(tree.feature, tree.bin, strict=True)],
+    return {"feature": list(tree.feature), "threshold": [threshold_of(table, f, b) for f, b in zip(tree.feature, tree.bin, strict=True)],
+            "code": [-1 - b if f >= len(table.features) else -1 for f, b in zip(tree.feature, tree.bin, strict=True)], "category": [None] * len(inner),
             "left": list(tree.left), "right": list(tree.right), "missing_left": [bool(v) for v in tree.missing_left],
             "value": [0.0 if split or not h else float(-g / h / number) for (g, h), split in zip(tree.sums, inner, strict=True)],
             "gain": [s["gain"] if split else 0.0 for s, split in zip(tree.split, inner, strict=True)], "depth": list(tree.depth)}

@@ -81,8 +81,10 @@ CASES = [("xgb", {"n_estimators": 4, "max_depth": 3, "reg_alpha": 2.0, "reg_lamb
          ("boosted", {"n_estimators": 2, "max_depth": 2})]
 
 
+@pytest.mark.parametrize("local", [0, 150, 1 << 16])
 @pytest.mark.parametrize(("family", "params"), CASES)
-def test_trees_match_one_split_at_a_time(spark, rows, family, params):
+def test_trees_match_one_split_at_a_time(spark, rows, family, params, local, monkeypatch):
+    monkeypatch.setattr(b, "LOCAL_ROWS", local)  # leaves that one task finishes
     params = params | {"subsample": 1.0, "colsample_bytree": 1.0}
     table = b.bin_table(frame(spark, rows), ["a", "b", "c"], ["y"], parts=3)
     model = b.fit_many(table, [b.Spec(family, params, "y")], refresh=2)[0]
@@ -153,3 +155,66 @@ def test_constant_and_empty_columns(spark):
     model = b.fit_many(table, [b.Spec("xgb", {"n_estimators": 2}, "y")])[0]
     assert [r.prediction for r in model.predict(df).collect()] == [5.0] * 3
     assert model.importances() == {"a": 0.0, "e": 0.0}
+
+
+# ------------------------------------------------------------------ categories
+@pytest.fixture(scope="module")
+def strings(rows):
+    rng = np.random.default_rng(2)
+    n = len(rows)
+    pdf = rows[["a", "pos", "fold"]].assign(shop=rng.choice(["north", "south", "east", "west", None], n), item=[f"i{v:02d}" for v in rng.integers(0, 30, n)])
+    effect = pdf.shop.map({"north": 5.0, "south": -2.0, "east": 1.0, "west": 0.0}).fillna(9.0) + pdf.item.str[1:].astype(int) % 4
+    return pdf.assign(y=np.round(pdf.a + effect + rng.normal(size=n) / 10, 3))
+
+
+def as_columns(pdf, drop_first):
+    """The categories as 0/1 columns, one per value."""
+    out, names = [pdf.a.to_numpy(float)], ["a"]
+    for c in ("shop", "item"):
+        for v in sorted(pdf[c].dropna().unique())[int(drop_first):]:
+            out.append((pdf[c] == v).to_numpy(float))
+            names.append(f"{c}={v}")
+    return np.stack(out), names
+
+
+@pytest.mark.parametrize(("drop_first", "local"), [(False, 0), (True, 0), (True, 90), (False, 1 << 16)])
+def test_categories_split_like_columns_of_their_values(spark, strings, drop_first, local, monkeypatch):
+    monkeypatch.setattr(b, "LOCAL_ROWS", local)
+    monkeypatch.setattr(b, "CODES", 8)  # several ranges of codes
+    df = spark.createDataFrame(strings)
+    table = b.bin_table(df, ["a"], ["y"], categories=["shop", "item"], drop_first=drop_first, parts=3)
+    params = {"n_estimators": 4, "max_depth": 3, "subsample": 1.0, "colsample_bytree": 1.0}
+    model = b.fit_many(table, [b.Spec("xgb", params, "y")], refresh=2)[0]
+    x, names = as_columns(strings, drop_first)
+    assert table.columns == len(names)
+    want, gains = boost_by_hand(x, strings.y.to_numpy(), b.resolve("xgb", params))
+    assert sorted(g for t in model.trees for g in t["gain"] if g) == pytest.approx(gains)
+    got = model.predict(df).orderBy("pos").toPandas()
+    assert got.prediction.to_numpy() == pytest.approx(want)
+    # values that no tree names, and missing ones, go the way of all others
+    odd = spark.createDataFrame([(1.0, "nowhere", "i99"), (1.0, None, None)], "a double, shop string, item string")
+    unseen = model.predict(odd).collect()
+    assert unseen[0].prediction == unseen[1].prediction
+
+
+def test_alphabetically_first_value_has_no_column(spark):
+    df = spark.createDataFrame([(v, float(y)) for v, y in (("A", 5), ("B", 1), ("C", 1)) for _ in range(5)], "v string, y double")
+    table = b.bin_table(df, [], ["y"], categories=["v"], drop_first=True, parts=1)
+    assert table.columns == 2
+    model = b.fit_many(table, [b.Spec("xgb", {"n_estimators": 1, "max_depth": 1, "subsample": 1.0, "colsample_bytree": 1.0}, "y")])[0]
+    assert [v for t in model.trees for v in t["category"] if v] in (["B"], ["C"])
+
+
+def test_saved_categories_and_staged_scores(spark, strings, tmp_path):
+    df = spark.createDataFrame(strings)
+    table = b.bin_table(df, ["a"], ["y"], "fold", categories=["shop", "item"], parts=2)
+    specs = [b.Spec("lgbm", {"n_estimators": 20, "min_child_samples": 2}, "y", 1), b.Spec("rf", {"n_estimators": 30, "max_features": 0.5}, "y", 1)]
+    models = b.fit_many(table, specs)
+    scores = {(r.model, r.part): r.r2 for r in b.staged_scores(table, specs, models).collect()}
+    for k, m in enumerate(models):
+        m.save(spark, str(tmp_path / f"m{k}"))
+        assert b.Booster.load(spark, str(tmp_path / f"m{k}")) == m
+        p = m.predict(df.where("fold = 1")).toPandas()
+        assert scores[k, "test"] == pytest.approx(1 - ((p.y - p.prediction) ** 2).sum() / ((p.y - p.y.mean()) ** 2).sum())
+        assert scores[k, "test"] > 0.7 and m.importances()["shop"] > 0.1
+    assert b.fit_many(table, specs[1:])[0].trees == models[1].trees
