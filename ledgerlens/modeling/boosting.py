@@ -971,12 +971,50 @@ def staged_scores(table: BinnedTable, specs: Sequence[Spec], models: Sequence[Bo
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2]),
                                               *(pa.array(c, pa.float64()) for c in columns[3:])], names=["model", "stage", "part", "n", "sse", "sae", "sd", "sdd"])
 
-    raw = (table.blocks.mapInArrow(sums, "model int, stage int, part string, n double, sse double, sae double, sd double, sdd double")
-           .groupBy("model", "stage", "part").agg(*[F.sum(c).alias(c) for c in ("n", "sse", "sae", "sd", "sdd")]))
+    raw = table.blocks.mapInArrow(sums, "model int, stage int, part string, n double, sse double, sae double, sd double, sdd double")
+    return _scored(raw, ["model", "stage", "part"])
+
+
+def combined_scores(table: BinnedTable, specs: Sequence[Spec], groups: Sequence[Sequence[Booster]], weights: Sequence[float]) -> DataFrame:
+    """model, part, n, r2, mae, rmse of the weighted mean of each group of models; ``specs`` say which rows a
+    group learned from. One pass over the blocks, sums leave the tasks."""
+    nf, nt, folds = len(table.features), len(table.targets), table.folds
+    static = [{"target": table.targets.index(s.target), "fold": s.fold, "rows": s.rows} for s in specs]
+    coded = [[(m.base, _coded(m, table)) for m in group] for group in groups]
+    share = [w / sum(weights) for w in weights]
+    means = [sum(w * (m.base if m.objective != "forest" else sum(t["value"][-1] for t in m.trees)) for w, m in zip(share, group, strict=True)) for group in groups]
+
+    def sums(batches) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, str], np.ndarray] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                _, n, x, y, which, place = _block(batch, row, nf, nt)
+                for k, m in enumerate(static):
+                    target = y[m["target"]]
+                    parts = {"train": np.flatnonzero(_learns(m, target, which, place, folds))}
+                    if m["fold"] is not None:
+                        parts["test"] = np.flatnonzero(~np.isnan(target) & (which == m["fold"]))
+                    at = np.concatenate(list(parts.values()))
+                    guess = sum(w * _add_trees(np.full(len(at), base), x[:, at], trees) for w, (base, trees) in zip(share, coded[k], strict=True))
+                    begin = 0
+                    for part, own in parts.items():
+                        e, d = target[own] - guess[begin:begin + len(own)], target[own] - means[k]
+                        begin += len(own)
+                        total[k, part] = total.get((k, part), 0) + np.array([len(own), (e * e).sum(), np.abs(e).sum(), d.sum(), (d * d).sum()])
+        if total:
+            columns = list(zip(*[(*key, *v.tolist()) for key, v in total.items()], strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1]), *(pa.array(c, pa.float64()) for c in columns[2:])],
+                                             names=["model", "part", "n", "sse", "sae", "sd", "sdd"])
+
+    raw = table.blocks.mapInArrow(sums, "model int, part string, n double, sse double, sae double, sd double, sdd double")
+    return _scored(raw, ["model", "part"])
+
+
+def _scored(raw: DataFrame, by: Sequence[str]) -> DataFrame:
+    raw = raw.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("n", "sse", "sae", "sd", "sdd")])
     spread = F.col("sdd") - F.col("sd") * F.col("sd") / F.col("n")
     r2 = F.when(spread > 0, 1 - F.col("sse") / spread).otherwise(F.when(F.col("sse") == 0, 1.0).otherwise(0.0))
-    return raw.where("n > 0").select("model", "stage", "part", F.col("n").cast("long").alias("n"), r2.alias("r2"), (F.col("sae") / F.col("n")).alias("mae"),
-                                     F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
+    return raw.where("n > 0").select(*by, F.col("n").cast("long").alias("n"), r2.alias("r2"), (F.col("sae") / F.col("n")).alias("mae"), F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
 
 
 def _coded(model: Booster, table: BinnedTable) -> list[tuple]:

@@ -1,8 +1,8 @@
 """Lag, rolling, trend and rank features (WIN1-WIN13, SRT1, MTH5-6, MTH11).
 
-All row-sequence features use a dense position in the fixed total order (``ORDER_COLS``).
-Per-key features number rows inside each key by that position, and every frame is evaluated
-block-wise with a halo, so a key holding a third of all rows is still split across tasks.
+All row-sequence features use the range partitions of the fixed total order (``ORDER_COLS``) and edge
+rows (``edges``), so a key holding a third of all rows is split across tasks and nothing is numbered
+or cut twice.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.mathx import ieee_divide
+from ledgerlens.operators.edges import edge_window, fill_forward, sequenced
 from ledgerlens.operators.quantile import column_quantiles
-from ledgerlens.operators.sequence import carry_forward, halo_window, ordered_positions, positions_within
+from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.sources.tables import ORDER_COLS
 
 TARGETS = ("quantity", "profit")
@@ -23,21 +24,13 @@ GIDX = "_gidx"
 
 
 def with_global_index(df: DataFrame, order: Sequence[str] = ORDER_COLS, out: str = GIDX) -> DataFrame:
-    """SRT1: dense 0-based row number in the total order, computed range-partition-wise."""
-    return ordered_positions(df, order, out=out)
+    """SRT1: a number that ascends in the total order; rows stay on the range partitions of the order."""
+    return sequenced(df, order, out)
 
 
-def with_key_index(df: DataFrame, key: str, pos: str = GIDX, out: str | None = None, block: int = 1_000_000) -> DataFrame:
-    """Position of each row inside its ``key`` (by the dense global position)."""
-    return positions_within(df, [key], pos, out or f"_kpos_{key}", block)
-
-
-def product_lags(df: DataFrame, key: str = "product_id", targets: Sequence[str] = TARGETS,
-                 pos: str = GIDX, block: int = 1_000_000) -> DataFrame:
+def product_lags(df: DataFrame, key: str = "product_id", targets: Sequence[str] = TARGETS, pos: str = GIDX) -> DataFrame:
     """WIN1-WIN3: lag 1/3/7, rolling mean and sample std over 3 and 7 rows, per key."""
     present = [t for t in targets if t in df.columns]
-    kpos = f"_kpos_{key}"
-    d = with_key_index(df.where(F.col(key).isNotNull()), key, pos, kpos, block)
 
     def cols(w):
         out = {}
@@ -51,61 +44,51 @@ def product_lags(df: DataFrame, key: str = "product_id", targets: Sequence[str]
             out[f"{t}_rolling_std_7"] = F.stddev_samp(t).over(w.rowsBetween(-6, 0))
         return out
 
-    res = halo_window(d, kpos, 7, cols, group=[key], block=block).drop(kpos)
-    nulls = df.where(F.col(key).isNull())
-    return res.unionByName(nulls, allowMissingColumns=True) if _maybe_null(df, key) else res
+    return _per_key(df, key, present, pos, 7, cols, df)
 
 
-def _maybe_null(df: DataFrame, key: str) -> bool:
-    return any(f.name == key and f.nullable for f in df.schema.fields)
+def _per_key(df: DataFrame, key: str, present: Sequence[str], pos: str, halo: int, cols, source: DataFrame) -> DataFrame:
+    """Rows without a key stay without the new columns."""
+    nullable = any(f.name == key and f.nullable for f in df.schema.fields)
+    known, read = (df.where(F.col(key).isNotNull()), source.where(F.col(key).isNotNull())) if nullable else (df, source)
+    res = edge_window(known, pos, halo, present, cols, key, read)
+    return res.unionByName(df.where(F.col(key).isNull()), allowMissingColumns=True) if nullable else res
 
 
 def rolling_by(df: DataFrame, key: str, targets: Sequence[str] = TARGETS, window: int = 7,
-               pos: str = GIDX, block: int = 1_000_000, name: str | None = None) -> DataFrame:
-    """WIN4/WIN5: rolling mean over ``window`` rows per ``key`` (e.g. category, region)."""
+               pos: str = GIDX, name: str | None = None, source: DataFrame | None = None) -> DataFrame:
+    """WIN4/WIN5: rolling mean over ``window`` rows per ``key`` (e.g. category, region). ``source``: the rows
+    before other steps widened them."""
     present = [t for t in targets if t in df.columns]
     label = name or key
-    kpos = f"_kpos_{key}"
-    d = with_key_index(df.where(F.col(key).isNotNull()), key, pos, kpos, block)
-    res = halo_window(d, kpos, window - 1,
-                      lambda w: {f"{t}_{label}_rolling_mean_{window}": F.avg(t).over(w.rowsBetween(-(window - 1), 0))
-                                 for t in present},
-                      group=[key], block=block).drop(kpos)
-    if _maybe_null(df, key):
-        res = res.unionByName(df.where(F.col(key).isNull()), allowMissingColumns=True)
-    return res
+    return _per_key(df, key, present, pos, window - 1,
+                    lambda w: {f"{t}_{label}_rolling_mean_{window}": F.avg(t).over(w.rowsBetween(-(window - 1), 0)) for t in present},
+                    df if source is None else source)
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint between chained window steps: each step reads its input twice
-    (counts and rows), so without a cut the upstream plan would be evaluated repeatedly."""
+    """Reliable checkpoint before a step that reads its input twice."""
     from ledgerlens.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def lag_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = GIDX, block: int = 1_000_000,
-                 fill: str = "ffill") -> DataFrame:
+def lag_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = GIDX, fill: str = "ffill") -> DataFrame:
     """PIP1 step 4: product lags/rolling, category and region rolling means, then the fill
     of WIN6: global forward fill in date order then 0 (``fill='zero'`` skips the carry)."""
-    d = _cut(product_lags(df, "product_id", targets, pos, block))
-    if "category" in df.columns:
-        d = _cut(rolling_by(d, "category", targets, 7, pos, block))
-    if "region" in df.columns:
-        d = _cut(rolling_by(d, "region", targets, 7, pos, block))
-    new = [c for c in d.columns if c not in df.columns and ("lag" in c or "rolling" in c)]
-    return _fill(d, new, pos, block, fill)
+    d = product_lags(df, "product_id", targets, pos)
+    for key in ("category", "region"):
+        if key in df.columns:
+            d = rolling_by(d, key, targets, 7, pos, source=df)
+    return _fill(d, [c for c in d.columns if c not in df.columns and ("lag" in c or "rolling" in c)], pos, fill)
 
 
-def _fill(d: DataFrame, cols: list[str], pos: str, block: int, fill: str) -> DataFrame:
-    if fill == "ffill":
-        return carry_forward(d, pos, cols, block=block, fill=0.0)
-    return d.fillna(0.0, subset=cols)
+def _fill(d: DataFrame, cols: list[str], pos: str, fill: str) -> DataFrame:
+    return fill_forward(_cut(d), pos, cols, fill=0.0) if fill == "ffill" else d.fillna(0.0, subset=cols)
 
 
-def trend_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = GIDX, block: int = 1_000_000,
-                   fill: str = "ffill") -> DataFrame:
+def trend_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = GIDX, fill: str = "ffill") -> DataFrame:
     """WIN7-WIN11: differences, ratios, momentum and volatility in the global order, then
     forward fill and 0."""
     present = [t for t in targets if t in df.columns]
@@ -125,11 +108,8 @@ def trend_features(df: DataFrame, targets: Sequence[str] = TARGETS, pos: str = G
                                                  F.avg(t).over(w.rowsBetween(-6, 0)) + EPS)
         return out
 
-    d = halo_window(df, pos, 30, cols, block=block)
-    new = [c for c in d.columns if c not in df.columns]
-    if fill == "ffill":
-        d = _cut(d)
-    return _fill(d, new, pos, block, fill)
+    d = edge_window(df, pos, 30, present, cols)
+    return _fill(d, [c for c in d.columns if c not in df.columns], pos, fill)
 
 
 def percentile_rank(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

@@ -1,19 +1,15 @@
-"""Global-order operators without a single-task window.
+"""Dense positions in a total order without a single-task window (row frames: ``edges``).
 
 ``ordered_positions`` numbers rows (or (value, count) rows) in a total order: the rows are
 range-partitioned on the order, a reliable checkpoint pins the partitioning, per-partition
 totals give offsets (a table with one row per partition and group), and a window partitioned
 by (partition, group) numbers rows inside each piece. A hot group is split across range
 partitions, so no task ever holds more than one range partition.
-
-``halo_window`` evaluates row-count frames (lag, rolling) over a dense position: rows are cut
-into blocks of ``block`` positions, the last ``halo`` rows of each block are copied into the
-next one, the window runs per block, and only home rows are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,57 +41,3 @@ def ordered_positions(df: DataFrame, order: Sequence[str | Column], group: Seque
     return (ranged.join(offsets, ["_rp", *group])
             .withColumn(out, F.col("_off") + inner)
             .drop("_rp", "_off"))
-
-
-def halo_window(df: DataFrame, pos: str, halo: int, columns: Callable[[Window], dict[str, Column]],
-                group: Sequence[str] = (), block: int = 1_000_000) -> DataFrame:
-    """Evaluate ``columns(w)`` where ``w`` orders rows by the dense position ``pos`` within
-    ``group``; every frame must look back at most ``halo`` rows."""
-    group = list(group)
-    block = max(int(block), halo + 1)
-    blk = F.floor(F.col(pos) / block).cast("long")
-    within = F.col(pos) - blk * block
-    homes = F.array(F.struct(blk.alias("b"), F.lit(False).alias("h")))
-    both = F.array(F.struct(blk.alias("b"), F.lit(False).alias("h")),
-                   F.struct((blk + 1).alias("b"), F.lit(True).alias("h")))
-    copies = F.when(within >= block - halo, both).otherwise(homes) if halo > 0 else homes
-    exploded = df.withColumn("_bh", F.explode(copies)).select("*", F.col("_bh.b").alias("_blk"), F.col("_bh.h").alias("_halo")).drop("_bh")
-    w = Window.partitionBy(*group, "_blk").orderBy(pos)
-    cols = columns(w)
-    return (exploded.select("*", *[c.alias(name) for name, c in cols.items()])
-            .where(~F.col("_halo")).drop("_blk", "_halo"))
-
-
-def carry_forward(df: DataFrame, pos: str, cols: Sequence[str], block: int = 1_000_000, fill=0.0) -> DataFrame:
-    """Global forward fill in ``pos`` order, then ``fill``: ``last(ignorenulls)`` inside each
-    block, plus the last non-NULL value of earlier blocks from a one-row-per-block table."""
-    if not cols:
-        return df
-    blk = F.floor(F.col(pos) / block).cast("long")
-    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    # NaN counts as missing, as NULL does (pandas ffill)
-    d = df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols if c in floating}).withColumn("_fblk", blk)
-    w_in = Window.partitionBy("_fblk").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    lasts = d.groupBy("_fblk").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"_l_{c}") for c in cols])
-    w_b = Window.orderBy("_fblk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.select("_fblk", *[F.last(f"_l_{c}", ignorenulls=True).over(w_b).alias(f"_c_{c}") for c in cols])
-    d = d.join(carry, "_fblk", "left")
-    filled = {c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(w_in), F.col(f"_c_{c}"), F.lit(fill)) for c in cols}
-    return d.withColumns(filled).drop("_fblk", *[f"_c_{c}" for c in cols])
-
-
-def positions_within(df: DataFrame, key: Sequence[str], pos: str, out: str, block: int = 1_000_000) -> DataFrame:
-    """Dense 0-based position of each row inside its ``key`` group, ordered by an existing dense
-    global position ``pos``. Rows are cut into global blocks of ``block`` positions; counts per
-    (block, key) accumulate into per-key offsets (one row per block and key), and a row number
-    inside each (block, key) piece completes the position. No window spans more than a block."""
-    key = list(key)
-    blk = F.floor(F.col(pos) / block).cast("long")
-    d = df.withColumn("_pblk", blk)
-    counts = d.groupBy("_pblk", *key).agg(F.count(F.lit(1)).alias("_c"))
-    wo = Window.partitionBy(*key).orderBy("_pblk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pblk", *key, F.coalesce(F.sum("_c").over(wo), F.lit(0)).cast("long").alias("_off"))
-    wi = Window.partitionBy("_pblk", *key).orderBy(pos)
-    return (d.join(offsets, ["_pblk", *key])
-            .withColumn(out, F.col("_off") + F.row_number().over(wi) - 1)
-            .drop("_pblk", "_off"))

@@ -65,20 +65,18 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def build_features(df: DataFrame, targets: Sequence[str] = TARGETS, order: Sequence[str] = ORDER_COLS,
-                   quantile_method: str = "exact", block: int = 1_000_000, fill: str = "ffill",
+                   quantile_method: str = "exact", fill: str = "ffill",
                    checkpoint: bool = True) -> DataFrame:
     """PIP1: temporal → aggregation → interaction → lag → statistical → trend → seasonal."""
     d = temporal_features(df)
     d = groupstats.add_group_stats(d, groupstats.DEFAULT_KEYS, targets, quantile_method)
     d = interaction_features(d)
-    if checkpoint:
-        d = _cut(d)
     d = lags.with_global_index(d, order)
-    d = lags.lag_features(d, targets, block=block, fill=fill)
+    d = lags.lag_features(d, targets, fill=fill)
     if checkpoint:
         d = _cut(d)
     d = lags.statistical_features(d, targets, quantile_method)
-    d = lags.trend_features(d, targets, block=block, fill=fill)
+    d = lags.trend_features(d, targets, fill=fill)
     d = groupstats.seasonal_features(d, targets)
     return d.drop(lags.GIDX)
 

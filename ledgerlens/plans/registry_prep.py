@@ -352,10 +352,10 @@ def q_fold_sizes(spark, sf_dir):
 def q_csv_roundtrip(spark, sf_dir):
     """SRC1/SRC2: the fact rows written as a latin-1 header CSV to the shared folder, read back
     with an explicit schema, and the date text parsed with NULL on failure."""
-    from ledgerlens.session import ensure_checkpoint_dir
+    from ledgerlens.modeling.boosting import shared_path
     from ledgerlens.sources.csv import read_sales_csv
 
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens-csv-{abs(hash(sf_dir))}"
+    path = shared_path(spark, "csv")
     src = _sf(spark, sf_dir).select(F.date_format("order_date", "yyyy-MM-dd").alias("Order Date"), "region", "product_id",
                                     "quantity", "profit", "l_orderkey", "l_linenumber")
     src.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)

@@ -1,10 +1,12 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.edges import edge_window, fill_forward, range_partition, sequenced
 from ledgerlens.operators.quantile import column_quantiles, group_quantiles
-from ledgerlens.operators.sequence import carry_forward, halo_window, ordered_positions
+from ledgerlens.operators.sequence import ordered_positions
 
 
 def test_group_quantiles_exact_with_refinement(spark):
@@ -33,40 +35,42 @@ def test_ordered_positions_dense(spark):
     assert (got.sort_values("k").p.values == np.arange(500)).all()
 
 
-def test_halo_equals_single_window(spark):
+@pytest.mark.parametrize("partitions", [1, 5, 60])
+def test_edge_rows_equal_single_windows(spark, partitions):
     rng = np.random.default_rng(0)
-    n = 400
-    pdf = pd.DataFrame({"pos": np.arange(n), "key": rng.choice(["x", "y"], n, p=[0.9, 0.1]), "v": rng.normal(size=n)})
+    n = 300
+    pdf = pd.DataFrame({"at": rng.permutation(n), "key": rng.choice(["x", "y", "z"], n, p=[0.6, 0.3, 0.1]), "many": rng.integers(0, 90, n), "v": rng.normal(size=n)})
+    pdf.loc[pdf["at"] < 30, "key"] = "x"  # partitions that hold one key alone
     df = spark.createDataFrame(pdf)
-    kp = ordered_positions(df, ["pos"], group=["key"], out="kp")
+    d = sequenced(df, ["at"], "pos", partitions)
+    assert d.select(range_partition("pos")).distinct().count() == min(partitions, d.rdd.getNumPartitions())
 
     def cols(w):
-        return {"lag3": F.lag("v", 3).over(w), "rm7": F.avg("v").over(w.rowsBetween(-6, 0)),
+        return {"lag1": F.lag("v", 1).over(w), "lag7": F.lag("v", 7).over(w), "rm7": F.avg("v").over(w.rowsBetween(-6, 0)),
                 "rs3": F.stddev_samp("v").over(w.rowsBetween(-2, 0))}
 
-    got = halo_window(kp, "kp", 7, cols, group=["key"], block=16).toPandas().sort_values("pos")
-    w = Window.partitionBy("key").orderBy("pos")
-    exp = df.select("pos", *[c.alias(k) for k, c in cols(w).items()]).toPandas().sort_values("pos")
-    for c in ("lag3", "rm7", "rs3"):
-        assert np.allclose(got[c].values, exp[c].values, equal_nan=True)
+    for key in ("key", "many", None):
+        got = edge_window(d, "pos", 7, ["v"], cols, key).toPandas().sort_values("at")
+        assert list(got.columns) == ["at", "key", "many", "v", "pos", "lag1", "lag7", "rm7", "rs3"] and len(got) == n
+        w = Window.partitionBy(*([key] if key else [F.lit(0)])).orderBy("at")
+        exp = df.select("at", *[c.alias(k) for k, c in cols(w).items()]).toPandas().sort_values("at")
+        for c in ("lag1", "lag7", "rm7", "rs3"):
+            assert np.allclose(got[c].values, exp[c].values, equal_nan=True)
 
 
-def test_carry_forward_matches_ffill(spark):
-    vals = [None, 1.0, None, None, 4.0, None, None, None, 2.0, None]
-    pdf = pd.DataFrame({"pos": range(len(vals)), "x": vals})
-    got = carry_forward(spark.createDataFrame(pdf), "pos", ["x"], block=3).toPandas().sort_values("pos")
-    exp = pdf.x.ffill().fillna(0)
-    assert list(got.x) == list(exp)
+@pytest.mark.parametrize("partitions", [1, 4, 10])
+def test_fill_forward_matches_ffill(spark, partitions):
+    vals = [None, 1.0, None, None, 4.0, None, None, None, float("nan"), 2.0, None]
+    pdf = pd.DataFrame({"at": range(len(vals)), "x": vals, "s": [None, "a", None, None, None, None, None, "b", None, None, None]})
+    d = sequenced(spark.createDataFrame(pdf.astype({"s": object}), "at long, x double, s string"), ["at"], "pos", partitions)
+    got = fill_forward(d, "pos", ["x"]).toPandas().sort_values("at")
+    assert list(got.x) == list(pdf.x.ffill().fillna(0)) and list(got["at"]) == list(range(len(vals)))
 
 
-def test_positions_within_matches_row_number(spark):
-    from ledgerlens.operators.sequence import positions_within
-
-    rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"pos": np.arange(300), "key": rng.choice(["a", "b", "c"], 300, p=[0.7, 0.2, 0.1])})
-    got = positions_within(spark.createDataFrame(pdf), ["key"], "pos", "kp", block=17).toPandas().sort_values("pos")
-    exp = pdf.groupby("key").cumcount()
-    assert (got.kp.values == exp.values).all()
+def test_windows_of_an_empty_table(spark):
+    d = sequenced(spark.createDataFrame([], "at long, key string, v double"), ["at"], "pos")
+    assert edge_window(d, "pos", 3, ["v"], lambda w: {"l": F.lag("v").over(w)}, "key").count() == 0
+    assert fill_forward(d, "pos", ["v"]).count() == 0
 
 
 def test_approx_quantiles_within_rank_error(spark):
