@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.quantile import group_quantiles
+from ledgerlens.session import ensure_checkpoint_dir
 
 DEFAULT_KEYS = ("region", "category", "sub_category", "product_id", "year", "month", "quarter", "day_of_week")
 TARGETS = ("quantity", "profit")
@@ -30,11 +31,19 @@ def attach(df: DataFrame, table: DataFrame, key: str, how: str = "left") -> Data
     return df.join(table, key, how)
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Checkpoint of what is read more than once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def group_stats(df: DataFrame, key: str, targets: Sequence[str] = TARGETS, quantile_method: str = "exact") -> DataFrame:
     """One row per key value with mean/std/median/min/max/q25/q75 per target and ``{key}_count``
     (non-NULL count of the last target)."""
     present = [t for t in targets if t in df.columns]
-    keyed = df.where(F.col(key).isNotNull())
+    keyed = df.where(F.col(key).isNotNull()).select(key, *present)
+    if present:
+        keyed = _cut(keyed)
     aggs = []
     for t in present:
         aggs += [F.avg(t).alias(f"{t}_{key}_mean"), F.stddev_samp(t).alias(f"{t}_{key}_std"),
@@ -49,7 +58,7 @@ def group_stats(df: DataFrame, key: str, targets: Sequence[str] = TARGETS, quant
                                                       for t in present])).alias("_s"))
     stacked = stacked.select(key, "_s._tname", "_s._tv")
     qs = group_quantiles(stacked, "_tv", [0.5, 0.25, 0.75], by=[key, "_tname"], names=["_med", "_q25", "_q75"],
-                         method=quantile_method)
+                         method=quantile_method, stored=True)
     qcols = []
     for t in present:
         for src, stat in (("_med", "median"), ("_q25", "q25"), ("_q75", "q75")):
@@ -65,7 +74,9 @@ def group_stats(df: DataFrame, key: str, targets: Sequence[str] = TARGETS, quant
 
 def add_group_stats(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, targets: Sequence[str] = TARGETS,
                     quantile_method: str = "exact") -> DataFrame:
-    """AGG9: statistics of every present key joined back to the rows (left joins)."""
+    """AGG9: statistics of every present key joined back to the rows (left joins); the rows are computed
+    once."""
+    df = _cut(df)
     out = df
     for key in keys:
         if key in df.columns:

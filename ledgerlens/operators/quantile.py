@@ -1,25 +1,23 @@
 """Exact grouped quantiles (linear interpolation, as pandas/numpy) without gathering a group.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one aggregation buffer,
-which breaks on a hot group holding a large share of all rows. Here the selection is done in
-bounded pieces:
-
-1. ``count`` per group gives the ranks needed (``floor`` and ``ceil`` of ``p·(n-1)``).
-2. While the largest candidate set exceeds ``rows_per_task``, a mergeable sketch
-   (``percentile_approx``) cuts each candidate set into ``fanout`` value buckets; exact bucket
-   counts locate the bucket holding each wanted rank, and only that bucket stays a candidate.
-   Equal values always fall in the same bucket, so ranks stay exact.
-3. The surviving candidates are pre-aggregated to (value, count) and a cumulative count over a
-   window partitioned by (group, target) picks the value at the wanted rank.
-
-Every window and aggregation buffer is bounded by ``rows_per_task`` rows (or the fanout), the
-sketch is a partial/final aggregate, and nothing is collected except one scalar per round.
+Spark's exact ``percentile`` keeps every distinct value of a group in one aggregation buffer. Groups of
+up to ``GROUP_ROWS`` rows use it, in one aggregation. Larger ones are selected in bounded pieces:
+
+1. A mergeable sketch encloses the wanted ranks (``floor`` and ``ceil`` of ``p (n - 1)``) per group and
+   probability by two values; one pass counts the rows below exactly and keeps the values between,
+   counted per distinct value.
+2. While the largest candidate set exceeds ``rows_per_task``, a sketch cuts it into ``fanout`` value
+   buckets; exact bucket counts locate the bucket holding each wanted rank, and only that bucket stays
+   a candidate. Equal values always fall in the same bucket, so ranks stay exact.
+3. A cumulative count over a window partitioned by (group, target) picks the value at the wanted rank.
+
+The rows (group, value) are read from the input once and checkpointed; distinct values of large groups are
+never materialised whole. Every window and buffer is bounded, and only single rows reach the driver.
 NULL and NaN values are skipped (pandas ``quantile``); rows with a NULL group key form no group.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -28,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgerlens.session import ensure_checkpoint_dir
 
 DEFAULT_ROWS_PER_TASK = 4_000_000
+GROUP_ROWS = 250_000
 
 
 def _prob_name(p: float) -> str:
@@ -37,11 +36,12 @@ def _prob_name(p: float) -> str:
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None, method: str = "exact",
                     rows_per_task: int = DEFAULT_ROWS_PER_TASK, fanout: int = 64,
-                    accuracy: int = 10000, with_count: bool = False) -> DataFrame:
+                    accuracy: int = 10000, with_count: bool = False, group_rows: int = GROUP_ROWS, stored: bool = False) -> DataFrame:
     """Quantiles of ``value`` per group ``by`` → one row per group, one column per prob.
 
     ``method='approx'`` uses ``percentile_approx`` only (one pass, bounded memory, rank error
-    ≤ n/accuracy); ``'exact'`` matches pandas ``quantile`` (linear interpolation).
+    ≤ n/accuracy); ``'exact'`` matches pandas ``quantile`` (linear interpolation). ``group_rows``: rows
+    up to which a group is one aggregation buffer. ``stored``: ``df`` can be read again cheaply.
     """
     by = list(by)
     probs = [float(p) for p in probs]
@@ -61,13 +61,62 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    # the only read of the input: (group, value, count); everything below works on distinct values,
-    # so a frequent value is one row and buckets always shrink
+    # the only read of the input; small groups need no more than one aggregation
     ensure_checkpoint_dir(df.sparkSession)
+    base = base if stored else base.checkpoint(eager=True)
+    sizes = base.groupBy(*by).agg(F.count("_v").alias("_n"))
+    n_max = sizes.agg(F.max("_n")).first()[0] or 0
+    if n_max <= min(group_rows, rows_per_task):
+        return _small_groups(base, by, probs, names, with_count)
+    if by:
+        large = sizes.where(F.col("_n") > group_rows).select(*by).checkpoint(eager=True)
+        if large.count() < sizes.count():
+            rest = _small_groups(base.join(large, by, "left_anti"), by, probs, names, with_count)
+            return rest.unionByName(group_quantiles(base.join(large, by, "left_semi"), "_v", probs, by, names, method, rows_per_task, fanout, accuracy,
+                                                    with_count, group_rows, stored=True))
+    return _large_groups(base, by, probs, names, rows_per_task, fanout, accuracy, with_count)
+
+
+def _small_groups(base: DataFrame, by: list[str], probs: list[float], names: list[str], with_count: bool) -> DataFrame:
+    """Spark's exact percentile: its buffer holds the distinct values of one group."""
+    agg = base.groupBy(*by).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs"), F.count("_v").alias("_n"))
+    cols = [F.get("_qs", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    return agg.select(*by, *cols, *([F.col("_n").alias("n")] if with_count else []))
+
+
+def _large_groups(base: DataFrame, by: list[str], probs: list[float], names: list[str], rows_per_task: int, fanout: int, accuracy: int,
+                  with_count: bool, sketched: bool = True) -> DataFrame:
+    """Ranks by exact counts between boundaries. A sketch gives, per group and probability, two values
+    that enclose the wanted ranks; one pass counts the rows below and keeps only the values between, and
+    the rounds below narrow those further. Where a sketch erred, all values of the groups are counted."""
+    stats = base.groupBy(*by).agg(F.count("_v").alias("_n")).checkpoint(eager=True)
+    if sketched:
+        margin = 4.0 / accuracy
+        around = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+        found = base.groupBy(*by).agg(F.percentile_approx("_v", around, accuracy).alias("_cuts"))
+        rows = _join_small(base, found, by)
+        low, high = [F.get("_cuts", F.lit(2 * i)) for i in range(len(probs))], [F.get("_cuts", F.lit(2 * i + 1)) for i in range(len(probs))]
+        inside = F.filter(F.array(*[F.when((F.col("_v") >= a) & (F.col("_v") <= b), F.lit(i)) for i, (a, b) in enumerate(zip(low, high))]), lambda x: x.isNotNull())
+        below = rows.groupBy(*by).agg(*[F.sum((F.col("_v") < a).cast("long")).alias(f"_b{i}") for i, a in enumerate(low)])
+        cand = rows.select(*by, "_v", F.explode(inside).alias("_p")).groupBy(*by, "_p", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        # both ranks of a probability lie in its interval
+        cand = cand.select(*by, F.explode(F.array(2 * F.col("_p"), 2 * F.col("_p") + 1)).alias("_t"), "_v", "_c").checkpoint(eager=True)
+        start = F.explode(F.array(*[F.struct(F.lit(t).alias("_t"), F.col(f"_b{t // 2}").alias("_below")) for t in range(2 * len(probs))]))
+        below = below.select(*by, start.alias("_s")).select(*by, "_s._t", "_s._below")
+        result = _pick(cand, stats, below, by, probs, names, rows_per_task, fanout, accuracy, with_count)
+        checked = result.checkpoint(eager=True)
+        if not checked.where(F.expr(" OR ".join(f"`{n}` IS NULL" for n in names))).limit(1).count():
+            return checked
     counted = base.groupBy(*by, "_v").agg(F.count("_v").alias("_c")).checkpoint(eager=True)
-    stats = counted.groupBy(*by).agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("_n"))
+    return _pick(counted, stats, None, by, probs, names, rows_per_task, fanout, accuracy, with_count)
+
+
+def _pick(counted: DataFrame, stats: DataFrame, below: DataFrame | None, by: list[str], probs: list[float], names: list[str], rows_per_task: int,
+          fanout: int, accuracy: int, with_count: bool) -> DataFrame:
+    """Values at the wanted ranks among candidates (by, [_t,] _v, _c), of which ``below`` rows are smaller."""
+    per_target = below is not None
     counted = counted.where(F.col("_v").isNotNull())
-    n_max = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+    n_max = counted.groupBy(*by, *(["_t"] if per_target else [])).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
 
     # wanted ranks: target 2i = floor(p(n-1)), 2i+1 = ceil(p(n-1))
     rank_structs = []
@@ -77,9 +126,10 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         rank_structs.append(F.struct(F.lit(2 * i + 1).alias("t"), F.ceil(pos).cast("long").alias("r")))
     targets = (stats.select(*by, F.explode(F.array(*rank_structs)).alias("_tr"))
                .select(*by, F.col("_tr.t").alias("_t"), F.col("_tr.r").alias("_r"), F.lit(0).cast("long").alias("_below")))
+    if per_target:
+        targets = targets.drop("_below").join(below, [*by, "_t"])
 
-    cand = counted       # (by, _v, _c) — not yet split per target
-    per_target = False
+    cand = counted       # (by, [_t,] _v, _c)
     size = n_max
     cut_fracs = [i / fanout for i in range(1, fanout)]
     while size > rows_per_task:
@@ -143,12 +193,6 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], method: str = "
     return [row[f"_p{i}"] for i in range(len(probs))]
 
 
-def rounds_needed(n: int, rows_per_task: int = DEFAULT_ROWS_PER_TASK, fanout: int = 64) -> int:
-    if n <= rows_per_task:
-        return 0
-    return int(math.ceil(math.log(n / rows_per_task) / math.log(fanout)))
-
-
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact", **kw) -> dict[str, list]:
     """Quantiles of many columns in one computation: the columns are stacked into
     (column, value) and the column name becomes the group key. Returns {column: [q...]}

@@ -17,11 +17,28 @@ def test_group_quantiles_exact_with_refinement(spark):
     df = spark.createDataFrame(pdf)
     probs = [0.25, 0.5, 0.75, 0.9]
     exp = pdf.groupby("g")["v"].quantile(probs).unstack().sort_index()
-    for rpt in (10**9, 200):    # 200 forces sketch-bucket refinement rounds
-        got = group_quantiles(df, "v", probs, ["g"], rows_per_task=rpt, fanout=8).toPandas().set_index("g").sort_index()
+    # group_rows 0: all groups by boundaries, 500: the larger ones; rows_per_task 20: refinement rounds
+    for rpt, rows in ((10**9, 10**9), (10**9, 0), (10**9, 500), (20, 0)):
+        got = group_quantiles(df, "v", probs, ["g"], rows_per_task=rpt, fanout=8, group_rows=rows).toPandas().set_index("g").sort_index()
         assert np.allclose(got.values, exp.values)
 
 
+def test_quantiles_where_the_sketch_errs(spark, monkeypatch):
+    """A sketch that misses the ranks makes all values count; many rows share few values, and one group is empty."""
+    from ledgerlens.operators import quantile
+
+    rng = np.random.default_rng(13)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 4000, p=[0.9, 0.1]), "v": np.round(rng.exponential(size=4000), 2)})
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([("c", None)], "g string, v double"))
+    exp = pdf.groupby("g")["v"].quantile([0.1, 0.5, 0.99]).unstack()
+    got = group_quantiles(df, "v", [0.1, 0.5, 0.99], ["g"], group_rows=0).toPandas().set_index("g")
+    assert np.allclose(got.loc[["a", "b"]].values, exp.values) and "c" not in got.index
+    real = F.percentile_approx
+    monkeypatch.setattr(quantile.F, "percentile_approx", lambda c, p, accuracy: F.transform(real(c, p, accuracy), lambda x: x * 0))
+    again = group_quantiles(df, "v", [0.1, 0.5, 0.99], ["g"], group_rows=0).toPandas().set_index("g")
+    assert np.allclose(again.loc[["a", "b"]].values, exp.values)
+
+
 def test_column_quantiles_and_global(spark):
     pdf = pd.DataFrame({"a": [1.0, 2.0, 2.0, 3.0, 10.0], "b": [5.0, None, 1.0, 1.0, 1.0]})
     q = column_quantiles(spark.createDataFrame(pdf), ["a", "b"], [0.25, 0.5, 0.75])
