@@ -632,6 +632,13 @@ def value_rows(model: int, task: int, nodes: int, category: int, values: int, le
     which = code // CODES
     for part in range(-(-values // CODES)):
         here = which == part if values > CODES else slice(None)
+        if nodes * values <= max(1 << 16, 4 * len(key)):  # no more cells than rows, about: count without sorting
+            size = nodes * values
+            counts = np.bincount(key[here], minlength=size)
+            keys = np.flatnonzero(counts)
+            each = [(counts if w is None else np.bincount(key[here], w[wanted][here], size))[keys].astype(float).tobytes() for w in weights]
+            yield histogram_row(model, -1 - (part * MAX_CATEGORIES + category), task, each, keys.astype(np.int64).tobytes(), totals)
+            continue
         keys, at = np.unique(key[here], return_inverse=True)
         sums = [np.bincount(at, None if w is None else w[wanted][here], len(keys)).astype(float).tobytes() for w in weights]
         yield histogram_row(model, -1 - (part * MAX_CATEGORIES + category), task, sums, keys.tobytes(), totals)

@@ -2,7 +2,8 @@
 
 All trees grow level by level, those of several forests (folds, targets, trials) together. A step takes
 open leaves of as many trees as ``CELLS`` histogram cells allow, so a task's memory is bounded whatever
-the number of trees; sums travel as in boosting, the driver receives one row per open leaf. Rows are
+the number of trees; sums travel as in boosting, the driver receives one row per open leaf. Forests that learn from at most ``LOCAL_ROWS`` rows are made in one
+pass: their rows go to a few tasks, each of which makes some of the trees. Rows are
 drawn with replacement by Poisson(1) weights from (seed, tree, block); every leaf draws its own
 ``max_features`` columns from (seed, tree, node), where every value of a category is a column; only the
 sums of drawn columns are made. Histograms use at most ``COARSE`` bins a feature: those of the table, or
@@ -15,6 +16,7 @@ up to the mean over trees, so scoring, staged scores, saving and importances are
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -22,12 +24,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from ledgerlens.modeling import boosting
 from ledgerlens.modeling.boosting import (FOUND, HISTOGRAM, BadParameters, BinnedTable, Booster, Spec, Tree, _block, _learns, _score, best_splits,
                                           found_table, histogram_row, merged, name_values, route, take_splits, threshold_of)
 
 COARSE = 64
 CELLS = 3_000_000  # of one step
 TREE_CELLS = 1_000_000  # of one tree in it
+GROUPS = 8  # tasks that share the trees of a forest on few rows
 DEEPEST = 30
 
 # Default parameters of the forest.
@@ -85,10 +89,15 @@ def fit_forests(table: BinnedTable, specs: Sequence[Spec]) -> list[Booster]:
                "p": {"reg_alpha": 0.0, "reg_lambda": 0.0, "min_child_weight": 0.0, "min_child_samples": p["min_samples_leaf"],
                      "min_samples_split": p["min_samples_split"]}} for k, (s, p) in enumerate(zip(specs, params, strict=True))]
     per_leaf = [max(1, int(s * (1 + nf / total * width))) if total else 1 for s in share]
+    shape = {"nf": nf, "width": width, "values": table.values, "first_code": table.first_code, "total": total, "to": to, "last": last}
     # tree number (over all forests) -> forest, number within it
     names = [(k, t) for k, p in enumerate(params) for t in range(p["n_estimators"])]
     trees = {i: Tree() for i in range(len(names))}
-    open_ = {i: [0] for i in trees}
+    # no fold, or no number of first rows, makes a forest learn from more than the table
+    few = {i: v for i, v in enumerate(names) if min(table.rows, specs[v[0]].rows or table.rows) <= boosting.LOCAL_ROWS}
+    if few:
+        trees |= _whole_trees(table, few, static, shape, nt, params)
+    open_ = {i: [0] for i in trees if i not in few}
     while open_ and total:
         todo, open_ = open_, {}
         while todo:
@@ -105,7 +114,7 @@ def fit_forests(table: BinnedTable, specs: Sequence[Spec]) -> list[Booster]:
                     todo[i] = rest
                     break
                 del todo[i]
-            _grow(table, batch, trees, names, static, to, last, width, nf, nt, folds)
+            _grow(table, batch, trees, names, static, shape, nt)
             for i, nodes in batch.items():
                 tree, p = trees[i], params[names[i][0]]
                 for node in nodes:
@@ -136,106 +145,234 @@ class _Slots:
         return sum(map(len, self.keys))
 
 
-def _draw(seed: int, number: int, nodes: Sequence[int], share: int, table: BinnedTable) -> _Slots:
-    nf, first, total = len(table.features), table.first_code, table.columns
-    begins = np.cumsum([nf, *[max(0, v - first) for v in table.values]])
-    drawn = [np.sort(np.random.default_rng([seed, 1, number, node]).choice(total, share, replace=False)) for node in nodes]
-    leaf = np.repeat(np.arange(len(nodes)), share)
-    column = np.concatenate(drawn)
+def _hashed(seed: int, number: int, nodes: Sequence[int], width: int) -> np.ndarray:
+    """[leaves x width] 64-bit numbers of (seed, tree, node, column)."""
+    at = (np.uint64((seed * 1_000_003 + number) & 0xFFFFFFFF) << np.uint64(32)) + np.array(nodes, dtype=np.uint64)
+    h = (at[:, None] * np.uint64(0x9E3779B97F4A7C15)) ^ (np.arange(width, dtype=np.uint64)[None, :] * np.uint64(0xD6E8FEB86659FD93))
+    for k in (30, 27, 31):
+        h = (h ^ (h >> np.uint64(k))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def _draw(shape: dict, seed: int, number: int, nodes: Sequence[int], share: int) -> _Slots:
+    """The columns of each leaf: the first ``share`` of a random order; of more than 512 columns, the first
+    ``share`` different ones of twice as many draws."""
+    nf, first, total = shape["nf"], shape["first_code"], shape["total"]
+    begins = np.cumsum([nf, *[max(0, v - first) for v in shape["values"]]])
+    if total <= 512:
+        columns = np.sort(np.argsort(_hashed(seed, number, nodes, total), axis=1)[:, :share], axis=1)
+        keep = np.ones(columns.shape, dtype=bool)
+    else:
+        drawn = (_hashed(seed, number, nodes, 2 * share) >> np.uint64(11)) % np.uint64(total)
+        order = np.argsort(drawn, axis=1, kind="stable")
+        ranked = np.take_along_axis(drawn, order, axis=1)
+        again = np.zeros(drawn.shape, dtype=bool)
+        np.put_along_axis(again, order[:, 1:], ranked[:, 1:] == ranked[:, :-1], axis=1)
+        take = ~again & (np.cumsum(~again, axis=1) <= share)
+        keep = np.take_along_axis(take, order, axis=1)
+        columns = ranked.astype(np.int64)
+    leaf = np.repeat(np.arange(len(nodes)), keep.sum(axis=1))
+    column = columns[keep]
     numeric = column < nf
     keys = []
-    for j, v in enumerate(table.values):
+    for j, v in enumerate(shape["values"]):
         own = (column >= begins[j]) & (column < begins[j + 1])
         keys.append(leaf[own].astype(np.int64) * v + column[own] - begins[j] + first)  # ascending, as leaves and columns are
     return _Slots(column[numeric], leaf[numeric], np.searchsorted(leaf[numeric], np.arange(len(nodes) + 1)), keys)
 
 
-def _grow(table, batch, trees, names, static, to, last, width, nf, nt, folds) -> None:
+def _sums(shape: dict, slot: _Slots, leaves: int, leaf: np.ndarray, x: np.ndarray, coarse: np.ndarray, weights: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """Cells of the numeric slots, of the drawn values, and of whole leaves, one behind the other."""
+    width, nf, values = shape["width"], shape["nf"], shape["values"]
+    cells, at = len(slot.feature) * width, []
+    count = np.diff(slot.begin)
+    for j in range(int(count.max(initial=0))):
+        some = np.flatnonzero(count[leaf] > j)
+        number = slot.begin[leaf[some]] + j
+        at.append((some, number * width + coarse[slot.feature[number], some]))
+    for j, keys in enumerate(slot.keys):
+        if len(keys):
+            key = leaf * np.int64(values[j]) + x[nf + j]
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            some = np.flatnonzero((keys[place] == key) & (x[nf + j] >= 0))
+            at.append((some, cells + place[some]))
+        cells += len(keys)
+    at.append((np.arange(len(leaf)), cells + leaf))
+    out = [np.zeros(cells + leaves) for _ in weights]
+    for some, key in at:
+        for total, w in zip(out, weights, strict=True):
+            total += np.bincount(key, w[some], len(total))
+    return out
+
+
+def _best(shape: dict, slot: _Slots, leaves: int, g: np.ndarray, c: np.ndarray, p: dict) -> dict[str, np.ndarray]:
+    """Best split per leaf (``leaf``) from the cells of ``_sums``."""
+    width, nf, values, last = shape["width"], shape["nf"], shape["values"], shape["last"]
+    cells, drawn = len(slot.feature) * width, slot.value_slots
+    total_g, total_c = g[cells + drawn:], c[cells + drawn:]
+    empty = np.zeros(0)
+    found = [(empty.astype(int), empty.astype(int), empty, empty.astype(int), empty.astype(bool), empty, empty, empty)]
+    if cells:
+        one, cnt = g[:cells].reshape(-1, width), c[:cells].reshape(-1, width)
+        best = best_splits(one, cnt, cnt, np.zeros(1, dtype=np.int64), np.array([width]), p)
+        # a coarse bin ends at the last of its bins
+        bins = np.array([last[f][b] if b else 0 for f, b in zip(slot.feature, best["bin"], strict=True)], dtype=np.int64)
+        found.append((slot.leaf, slot.feature, best["gain"], bins, best["missing_left"], best["gl"], best["hl"], best["cl"]))
+    at = cells
+    for j, keys in enumerate(slot.keys):
+        leaf, code = keys // max(1, values[j]), keys % max(1, values[j])
+        rg, rc = g[at:at + len(keys)], c[at:at + len(keys)]
+        lg, lc = total_g[leaf] - rg, total_c[leaf] - rc
+        fits = (np.minimum(lc, rc) >= max(1, p["min_child_samples"])) & (total_c[leaf] >= p["min_samples_split"])
+        gain = np.where(fits, _score(lg, lc, p) + _score(rg, rc, p) - _score(total_g, total_c, p)[leaf], 0.0)
+        gain = np.where(gain > 1e-9, gain, 0.0)
+        found.append((leaf, np.full(len(keys), nf + j), gain, -1 - code, np.ones(len(keys), dtype=bool), lg, lc, lc))
+        at += len(keys)
+    leaf, feature, gain, bins, missing_left, gl, hl, cl = (np.concatenate(v) for v in zip(*found, strict=True))
+    order = np.lexsort((np.abs(bins), feature, -gain, leaf))
+    leaves, first = np.unique(leaf[order], return_index=True)
+    at = order[first]
+    return {"leaf": leaves, "feature": feature[at], "gain": gain[at], "bin": bins[at], "missing_left": missing_left[at], "gl": gl[at], "hl": hl[at], "cl": cl[at],
+            "g": total_g[leaves], "h": total_c[leaves], "c": total_c[leaves]}
+
+
+def _tree_rows(m: dict, number: int, block: int, n: int, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that a tree draws, and how often."""
+    weight = np.random.default_rng([m["seed"], 2, number, block]).poisson(1.0, n)
+    at = np.flatnonzero(learns & (weight > 0))
+    return at, weight[at].astype(float)
+
+
+def _grow(table, batch, trees, names, static, shape, nt) -> None:
     growing = {i: (trees[i].arrays(), max(trees[i].depth), nodes) for i, nodes in batch.items()}
-    slots = {i: _draw(static[names[i][0]]["seed"], names[i][1], nodes, static[names[i][0]]["share"], table) for i, nodes in batch.items()}
-    values = table.values
-
-    def sums(slot: _Slots, leaves: int, leaf: np.ndarray, x: np.ndarray, coarse: np.ndarray, weights: Sequence[np.ndarray]) -> list[np.ndarray]:
-        """Cells of the numeric slots, of the drawn values, and of whole leaves, one behind the other."""
-        cells, at = len(slot.feature) * width, []
-        count = np.diff(slot.begin)
-        for j in range(int(count.max(initial=0))):
-            some = np.flatnonzero(count[leaf] > j)
-            number = slot.begin[leaf[some]] + j
-            at.append((some, number * width + coarse[slot.feature[number], some]))
-        for j, keys in enumerate(slot.keys):
-            if len(keys):
-                key = leaf * np.int64(values[j]) + x[nf + j]
-                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                some = np.flatnonzero((keys[place] == key) & (x[nf + j] >= 0))
-                at.append((some, cells + place[some]))
-            cells += len(keys)
-        at.append((np.arange(len(leaf)), cells + leaf))
-        out = [np.zeros(cells + leaves) for _ in weights]
-        for some, key in at:
-            for total, w in zip(out, weights, strict=True):
-                total += np.bincount(key, w[some], len(total))
-        return out
+    nf, folds, to = shape["nf"], table.folds, shape["to"]
+
+    def slots(i: int) -> _Slots:
+        m = static[names[i][0]]
+        return _draw(shape, m["seed"], names[i][1], growing[i][2], m["share"])
 
     def histograms(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         held: dict[int, list[np.ndarray]] = {}
+        drawn = {i: slots(i) for i in growing}
         for rows in batches:
             for row in range(rows.num_rows):
                 block, n, x, y, which, place = _block(rows, row, nf, nt)
-                coarse = np.stack([to[f][x[f]] for f in range(nf)]) if nf else np.zeros((0, n), dtype=np.uint8)
+                coarse = _coded_coarse(to, x, nf)
                 learns: dict[int, np.ndarray] = {}
                 for i, (arrays, depth, nodes) in growing.items():
                     k, number = names[i]
                     m = static[k]
                     if k not in learns:
                         learns[k] = _learns(m, y[m["target"]], which, place, folds)
-                    weight = np.random.default_rng([m["seed"], 2, number, block]).poisson(1.0, n)
+                    at, w = _tree_rows(m, number, block, n, learns[k])
                     slot = np.full(len(arrays[0]), -1)
                     slot[nodes] = np.arange(len(nodes))
-                    at = np.flatnonzero(learns[k] & (weight > 0))
                     leaf = slot[route(x[:, at], arrays, depth)]
-                    at, leaf = at[leaf >= 0], leaf[leaf >= 0]
-                    w = weight[at].astype(float)
-                    new = sums(slots[i], len(nodes), leaf, x[:, at], coarse[:, at], (-w * y[m["target"]][at], w))
+                    at, w, leaf = at[leaf >= 0], w[leaf >= 0], leaf[leaf >= 0]
+                    new = _sums(shape, drawn[i], len(nodes), leaf, x[:, at], coarse[:, at], (-w * y[m["target"]][at], w))
                     held[i] = new if i not in held else [a + b for a, b in zip(held[i], new, strict=True)]
         for i, both in held.items():
             yield histogram_row(i, 0, TaskContext.get().partitionId(), [v.tobytes() for v in both])
 
     def search(parts: pa.Table) -> pa.Table:
         i = parts.column("model")[0].as_py()
-        slot, nodes, p = slots[i], np.array(growing[i][2]), static[names[i][0]]["p"]
-        cells, drawn = len(slot.feature) * width, slot.value_slots
-        i, _, g, _, c = merged(parts, cells + drawn + len(nodes))
-        total_g, total_c = g[0, cells + drawn:], c[0, cells + drawn:]
-        found = []
-        if cells:
-            one, cnt = g[0, :cells].reshape(-1, width), c[0, :cells].reshape(-1, width)
-            best = best_splits(one, cnt, cnt, np.zeros(1, dtype=np.int64), np.array([width]), p)
-            # a coarse bin ends at the last of its bins
-            bins = np.array([last[f][b] if b else 0 for f, b in zip(slot.feature, best["bin"], strict=True)], dtype=np.int64)
-            found.append((slot.leaf, slot.feature, best["gain"], bins, best["missing_left"], best["gl"], best["hl"], best["cl"]))
-        at = cells
-        for j, keys in enumerate(slot.keys):
-            leaf, code = keys // max(1, values[j]), keys % max(1, values[j])
-            rg, rc = g[0, at:at + len(keys)], c[0, at:at + len(keys)]
-            lg, lc = total_g[leaf] - rg, total_c[leaf] - rc
-            fits = (np.minimum(lc, rc) >= max(1, p["min_child_samples"])) & (total_c[leaf] >= p["min_samples_split"])
-            gain = np.where(fits, _score(lg, lc, p) + _score(rg, rc, p) - _score(total_g, total_c, p)[leaf], 0.0)
-            gain = np.where(gain > 1e-9, gain, 0.0)
-            found.append((leaf, np.full(len(keys), nf + j), gain, -1 - code, np.ones(len(keys), dtype=bool), lg, lc, lc))
-            at += len(keys)
-        leaf, feature, gain, bins, missing_left, gl, hl, cl = (np.concatenate(v) for v in zip(*found, strict=True))
-        order = np.lexsort((np.abs(bins), feature, -gain, leaf))
-        leaves, first = np.unique(leaf[order], return_index=True)
-        at = order[first]
-        return found_table(i, nodes[leaves], feature[at], {"gain": gain[at], "bin": bins[at], "missing_left": missing_left[at], "gl": gl[at], "hl": hl[at], "cl": cl[at],
-                                                           "g": total_g[leaves], "h": total_c[leaves], "c": total_c[leaves]})
+        slot, nodes = slots(i), np.array(growing[i][2])
+        i, _, g, _, c = merged(parts, len(slot.feature) * shape["width"] + slot.value_slots + len(nodes))
+        best = _best(shape, slot, len(nodes), g[0], c[0], static[names[i][0]]["p"])
+        return found_table(i, nodes[best.pop("leaf")], best.pop("feature"), best)
 
     take_splits(table.blocks.mapInArrow(histograms, HISTOGRAM).groupBy("model", "piece").applyInArrow(search, FOUND), {i: trees[i] for i in batch})
 
 
+def _coded_coarse(to: np.ndarray, x: np.ndarray, nf: int) -> np.ndarray:
+    return np.stack([to[f][x[f]] for f in range(nf)]) if nf else np.zeros((0, x.shape[1]), dtype=np.uint8)
+
+
+def _whole_trees(table, names, static, shape, nt, params) -> dict[int, Tree]:
+    """Trees of forests that learn from few rows: the rows go once to each of ``GROUPS`` tasks a forest, and a
+    task makes its share of the trees, level by level by the same rules."""
+    nf, folds, to, wide = shape["nf"], table.folds, shape["to"], len(shape["values"]) > 0
+    forests = sorted({k for k, _ in names.values()})
+
+    def send(batches) -> Iterator[pa.RecordBatch]:
+        columns = ["forest", "part", "block", "n", "rows", "x", "y"]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, n, x, y, which, place = _block(batch, row, nf, nt)
+                for k in forests:
+                    m = static[k]
+                    at = np.flatnonzero(_learns(m, y[m["target"]], which, place, folds))
+                    own = [at.astype(np.int32).tobytes(), np.ascontiguousarray(x[:, at]).tobytes(), y[m["target"]][at].tobytes()]
+                    for part in range(min(GROUPS, params[k]["n_estimators"])):
+                        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([k, part, block, n, *own], kinds, strict=True)], names=columns)
+
+    def make(parts: pa.Table) -> pa.Table:
+        k, part = parts.column("forest")[0].as_py(), parts.column("part")[0].as_py()
+        m, p = static[k], params[k]
+        order = np.argsort(parts.column("block").to_numpy()).tolist()
+        kind = np.int32 if wide else np.uint8
+        rows = [np.frombuffer(parts.column("rows")[i].as_py(), dtype=np.int32) for i in order]
+        x = np.concatenate([np.frombuffer(parts.column("x")[i].as_py(), dtype=kind).reshape(nf + len(shape["values"]), -1) for i in order], axis=1)
+        y = np.concatenate([np.frombuffer(parts.column("y")[i].as_py(), dtype=float) for i in order])
+        begins = np.cumsum([0, *map(len, rows)])
+        blocks = [(parts.column("block")[i].as_py(), parts.column("n")[i].as_py()) for i in order]
+        coarse = _coded_coarse(to, x, nf)
+        numbers, made = [], []
+        for i, (forest, number) in names.items():
+            if forest != k or number % min(GROUPS, p["n_estimators"]) != part:
+                continue
+            at, w = [], []
+            for (block, n), own, begin in zip(blocks, rows, begins, strict=False):
+                weight = np.random.default_rng([m["seed"], 2, number, block]).poisson(1.0, n)[own]
+                at.append(begin + np.flatnonzero(weight > 0))
+                w.append(weight[weight > 0].astype(float))
+            at, w = np.concatenate(at), np.concatenate(w)
+            numbers.append(i)
+            made.append(json.dumps(_one_tree(shape, m, p, number, x[:, at], coarse[:, at], y[at], w)))
+        return pa.table({"tree": pa.array(numbers, pa.int32()), "made": pa.array(made, pa.string())})
+
+    found = (table.blocks.mapInArrow(send, "forest int, part int, block long, n int, rows binary, x binary, y binary")
+             .groupBy("forest", "part").applyInArrow(make, "tree int, made string").collect())
+    out = {i: Tree() for i in names}
+    for r in found:
+        for key, value in json.loads(r["made"]).items():
+            setattr(out[r["tree"]], key, value)
+    return out
+
+
+def _one_tree(shape: dict, m: dict, p: dict, number: int, x: np.ndarray, coarse: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, list]:
+    tree, open_ = Tree(), [0]
+    node_of = np.zeros(len(w), dtype=np.int64)
+    g = -w * y
+    tree.sums[0] = (float(g.sum()), float(w.sum()))
+    while open_ and shape["total"]:
+        slot = np.full(len(tree.feature), -1)
+        slot[open_] = np.arange(len(open_))
+        leaf = slot[node_of]
+        at = np.flatnonzero(leaf >= 0)
+        drawn = _draw(shape, m["seed"], number, open_, m["share"])
+        sums = _sums(shape, drawn, len(open_), leaf[at], x[:, at], coarse[:, at], (g[at], w[at]))
+        best = _best(shape, drawn, len(open_), sums[0], sums[1], m["p"])
+        nodes, open_ = open_, []
+        for k in np.flatnonzero(best["gain"] > 0).tolist():
+            node = nodes[best["leaf"][k]]
+            tree.split[node] = {n: best[n][k].item() for n in ("gain", "feature", "bin", "missing_left", "gl", "hl", "cl", "g", "h", "c")}
+            tree.grow(node)
+            if tree.depth[node] + 1 < p["max_depth"]:
+                open_ += [tree.left[node], tree.right[node]]
+        # rows move on from the nodes just split
+        feature, bins, left, right, missing_left = tree.arrays()
+        moved = np.flatnonzero(feature[node_of] >= 0)
+        here = node_of[moved]
+        v, b = x[feature[here], moved], bins[here]
+        node_of[moved] = np.where(np.where(b < 0, v != -1 - b, np.where(v == 0, missing_left[here], v <= b)), left[here], right[here])
+    tree.split = [s or {} for s in tree.split]
+    return {k: getattr(tree, k) for k in ("feature", "bin", "left", "right", "missing_left", "depth", "split", "sums", "rows")}
+
+
 def _finished(tree: Tree, table: BinnedTable, last: list[np.ndarray], number: int) -> dict[str, list]:
     inner = [f >= 0 for f in tree.feature]
     return {"feature": list(tree.feature), "threshold": [threshold_of(table, f, b) for f, b in zip(tree.feature, tree.bin, strict=True)],

@@ -74,6 +74,23 @@ def test_learning_curve_takes_first_rows(spark, rows, table):
     assert got[30].final_gap == pytest.approx(gap) and got[30].is_overfitting == (gap > 0.1)
 
 
+@pytest.mark.parametrize("params", [{"n_estimators": 6, "max_depth": 5}, {"n_estimators": 3, "max_features": 0.5, "min_samples_leaf": 4}])
+def test_forests_made_in_one_task_or_in_many_agree(spark, rows, params, monkeypatch):
+    df = spark.createDataFrame(rows.assign(v=[f"v{i % 7}" for i in rows.pos]))
+    for categories in ([], ["v"]):
+        own = b.bin_table(df, ["x", "z"], ["y"], "fold", "pos", parts=3, categories=categories)
+        spec = b.Spec("rf", params, "y", 1)
+        monkeypatch.setattr(b, "LOCAL_ROWS", 1 << 16)
+        whole = b.fit_many(own, [spec])[0]
+        monkeypatch.setattr(b, "LOCAL_ROWS", 0)
+        steps = b.fit_many(own, [spec])[0]
+        for one, other in zip(whole.trees, steps.trees, strict=True):
+            # nodes are made in the same order, level by level
+            for k in ("feature", "threshold", "category", "depth", "left", "right"):
+                assert one[k] == other[k]
+            assert one["value"] == pytest.approx(other["value"]) and one["gain"] == pytest.approx(other["gain"])
+
+
 def test_forest_separates_what_features_separate(spark, rows, table):
     model = b.fit_many(table, [b.Spec("rf", {"n_estimators": 25, "max_depth": 6, "max_features": None}, "y")])[0]
     p = model.predict(spark.createDataFrame(rows)).toPandas()
