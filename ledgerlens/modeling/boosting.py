@@ -572,7 +572,10 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
             large = {k: (a, d, [n for n in nodes if n not in few[k]], c, t) for k, (a, d, nodes, c, t) in growing.items()}
             if large := {k: v for k, v in large.items() if v[2]}:
                 take_splits(_evaluate(frame, large, *shape), {k: models[k].tree for k in large})
-            if small := {k: (a, d, sorted(few[k]), c, t) for k, (a, d, _, c, t) in growing.items() if few[k]}:
+            # whole trees of several models share the rows of a task
+            if whole := {k: g for k, g in growing.items() if 0 in few[k]}:
+                take_subtrees(_whole_trees(frame, whole, *shape), {k: models[k].tree for k in whole})
+            if small := {k: (a, d, sorted(few[k]), c, t) for k, (a, d, _, c, t) in growing.items() if few[k] and k not in whole}:
                 take_subtrees(_subtrees(frame, small, *shape), {k: models[k].tree for k in small})
             following = {}
             for k in open_:
@@ -698,16 +701,82 @@ def merged(parts: pa.Table, width: int) -> tuple[int, int, np.ndarray, np.ndarra
     return parts.column("model")[0].as_py(), parts.column("piece")[0].as_py(), sums["g"], sums.get("h", sums["c"]), sums["c"]
 
 
+GROUPS = 8  # tasks that share the models whose trees are made whole
+
+
+def _whole_trees(frame, growing, static, sizes, folds, nf, nt, turn, stored, margins, values, first_code) -> DataFrame:
+    """``_subtrees`` for models that grow from the root: the coded rows go once to each group of models, with
+    the gradients of each (NaN: the row is not drawn)."""
+    groups = [sorted(growing)[i::min(GROUPS, len(growing))] for i in range(min(GROUPS, len(growing)))]
+    logistic = any(static[k]["objective"] == "binary" for k in growing)
+    names = ["part", "block", "n", "x", "g", "h"]
+
+    def send(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, n, x, y, which, place = _block(batch, row, nf, nt)
+                margin = margins(batch, row, n, stored)
+                for part, own in enumerate(groups):
+                    g, h = np.full((len(own), n), np.nan), np.full((len(own), n), np.nan) if logistic else None
+                    for i, k in enumerate(own):
+                        at = np.flatnonzero(_drawn(static[k], y, which, place, folds, block, turn))
+                        target = y[static[k]["target"]][at]
+                        g[i, at], second = _gradient(static[k], target, _add_trees(margin[k][at], x[:, at], growing[k][4]))
+                        if second is not None:
+                            h[i, at] = second
+                    packed = x[:nf].astype(np.uint8).tobytes() + x[nf:].astype(np.int32).tobytes()
+                    column = [part, block, n, packed, g.tobytes(), None if h is None else h.tobytes()]
+                    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(column, kinds, strict=True)], names=names)
+
+    def finish(parts: pa.Table) -> pa.Table:
+        own = groups[parts.column("part")[0].as_py()]
+        order = np.argsort(parts.column("block").to_numpy()).tolist()
+        size = [parts.column("n")[i].as_py() for i in order]
+        raw = [parts.column("x")[i].as_py() for i in order]
+        x = np.concatenate([np.frombuffer(r, dtype=np.uint8, count=nf * n).reshape(nf, n) for r, n in zip(raw, size, strict=True)], axis=1)
+        if values:
+            codes = [np.frombuffer(r, dtype=np.int32, offset=nf * n).reshape(-1, n) for r, n in zip(raw, size, strict=True)]
+            x = np.concatenate([x.astype(np.int32), np.concatenate(codes, axis=1)])
+
+        def whole(name: str) -> np.ndarray:
+            return np.concatenate([np.frombuffer(parts.column(name)[i].as_py(), dtype=float).reshape(len(own), n) for i, n in zip(order, size, strict=True)], axis=1)
+
+        g, h = whole("g"), whole("h") if logistic else None
+        rows = []
+        for i, k in enumerate(own):
+            at = np.flatnonzero(~np.isnan(g[i]))
+            if len(at):
+                second = h[i, at] if static[k]["objective"] == "binary" else None
+                found = finish_subtree(x[:, at], g[i, at], second, static[k], growing[k][3], sizes, nf, values, first_code, turn, static[k]["p"]["max_depth"])
+                rows += [{**f, "model": k, "node": 0, "turn": t} for t, f in enumerate(found)]
+        return subtree_table(rows)
+
+    return (frame.mapInArrow(send, "part int, block long, n int, x binary, g binary, h binary")
+            .groupBy("part").applyInArrow(finish, SUBTREE))
+
+
+def subtree_table(rows: list[dict]) -> pa.Table:
+    kinds = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [f.split() for f in SUBTREE.split(", ")]
+    return pa.table([pa.array([r[n] for r in rows], kinds[t]) for n, t in fields], names=[n for n, _ in fields])
+
+
+def _drawn(m: dict, y: np.ndarray, which: np.ndarray, place: np.ndarray, folds: dict, block: int, turn: int) -> np.ndarray:
+    """Rows that a round of a model learns from."""
+    use = _learns(m, y[m["target"]], which, place, folds)
+    if m["p"]["subsample"] < 1 and m["p"]["subsample_freq"]:
+        use &= np.random.default_rng([m["seed"], turn, block]).random(len(use)) < m["p"]["subsample"]
+    return use
+
+
 def _open_rows(batch, row, growing, static, folds, nf, nt, turn, stored, margins) -> Iterator[tuple]:
     """(block, model, leaf, x, g, h) of a block's drawn rows that lie in open leaves."""
     block, n, x, y, which, place = _block(batch, row, nf, nt)
     margin = margins(batch, row, n, stored)
     for k, (arrays, depth, nodes, _, trees) in growing.items():
         m = static[k]
-        target = y[m["target"]]
-        use = _learns(m, target, which, place, folds)
-        if m["p"]["subsample"] < 1 and m["p"]["subsample_freq"]:
-            use &= np.random.default_rng([m["seed"], turn, block]).random(n) < m["p"]["subsample"]
+        target, use = y[m["target"]], _drawn(m, y, which, place, folds, block, turn)
         slot = np.full(len(arrays[0]), -1)
         slot[nodes] = np.arange(len(nodes))
         leaf = slot[route(x, arrays, depth)]
@@ -819,10 +888,7 @@ def _subtrees(frame, growing, static, sizes, folds, nf, nt, turn, stored, margin
         g = np.concatenate([np.frombuffer(parts.column("g")[i].as_py(), dtype=float) for i in order])
         h = None if parts.column("h")[0].as_py() is None else np.concatenate([np.frombuffer(parts.column("h")[i].as_py(), dtype=float) for i in order])
         found = finish_subtree(x, g, h, m, columns, sizes, nf, values, first_code, turn, m["p"]["max_depth"] - depth_of[k][node])
-        out = {"model": np.full(len(found), k), "node": np.full(len(found), node), "turn": np.arange(len(found))}
-        kinds = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
-        fields = [f.split() for f in SUBTREE.split(", ")]
-        return pa.table([pa.array(out[n] if n in out else [f[n] for f in found]).cast(kinds[t]) for n, t in fields], names=[n for n, _ in fields])
+        return subtree_table([{**f, "model": k, "node": node, "turn": t} for t, f in enumerate(found)])
 
     return (frame.mapInArrow(send, "model int, node int, block long, n int, x binary, g binary, h binary")
             .groupBy("model", "node").applyInArrow(finish, SUBTREE))
