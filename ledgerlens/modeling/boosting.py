@@ -49,7 +49,7 @@ from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.session import ensure_checkpoint_dir
 
 MAX_BINS = 255
-REFRESH = 10
+REFRESH = 4
 SEED = 42
 LEAST_GAIN = 1e-9
 DEEPEST = 64
@@ -281,6 +281,17 @@ def route(x: np.ndarray, tree: tuple[np.ndarray, ...], depth: int) -> np.ndarray
     return node
 
 
+def step_down(x: np.ndarray, tree: tuple[np.ndarray, ...], node: np.ndarray) -> np.ndarray:
+    """Move rows from nodes that are split to their children; all other rows stay."""
+    feature, bins, left, right, missing_left = tree
+    moved = np.flatnonzero(feature[node] >= 0)
+    here = node[moved]
+    v, b = x[feature[here], moved], bins[here]
+    node = node.copy()
+    node[moved] = np.where(np.where(b < 0, v != -1 - b, np.where(v == 0, missing_left[here], v <= b)), left[here], right[here])
+    return node
+
+
 @dataclass
 class Booster:
     """A fitted model: base margin and trees as lists of nodes (``NODE``); the last features are ``categories``
@@ -786,8 +797,9 @@ def _open_rows(batch, row, growing, static, folds, nf, nt, turn, stored, margins
 
 def add_cells(leaf: np.ndarray, x: np.ndarray, columns: np.ndarray, offsets: np.ndarray, width: int, weights: Sequence, sums: Sequence[np.ndarray]) -> None:
     """Add weights (None: counts) of rows to the sums [leaves x width] per leaf, feature and bin."""
+    begin = leaf * width
     for f, offset in zip(columns, offsets, strict=True):
-        key = leaf * width + offset + x[f]
+        key = x[f] + (begin + offset)
         for total, weight in zip(sums, weights, strict=False):
             total.ravel()[:] += np.bincount(key, weight, total.size)
 
@@ -937,7 +949,7 @@ def finish_subtree(x, g, h, m, columns, sizes, nf, values, first_code, turn, dee
         for node in wanted:
             made.append(node)
             tree.grow(node)
-        node_of = route(x, tree.arrays(), max(tree.depth)) if wanted else node_of
+        node_of = step_down(x, tree.arrays(), node_of) if wanted else node_of
         open_ = [c for n in wanted for c in (tree.left[n], tree.right[n]) if tree.depth[c] < deepest]
     out = [{**tree.split[n], "at": n} for n in made]
     nothing = {"gain": 0.0, "feature": 0, "bin": 0, "missing_left": False, "gl": 0.0, "hl": 0.0, "cl": 0.0}

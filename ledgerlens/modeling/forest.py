@@ -26,7 +26,7 @@ import pyarrow as pa
 
 from ledgerlens.modeling import boosting
 from ledgerlens.modeling.boosting import (FOUND, HISTOGRAM, BadParameters, BinnedTable, Booster, Spec, Tree, _block, _learns, _score, best_splits,
-                                          found_table, histogram_row, merged, name_values, route, take_splits, threshold_of)
+                                          found_table, histogram_row, merged, name_values, route, step_down, take_splits, threshold_of)
 
 COARSE = 64
 CELLS = 3_000_000  # of one step
@@ -363,12 +363,7 @@ def _one_tree(shape: dict, m: dict, p: dict, number: int, x: np.ndarray, coarse:
             tree.grow(node)
             if tree.depth[node] + 1 < p["max_depth"]:
                 open_ += [tree.left[node], tree.right[node]]
-        # rows move on from the nodes just split
-        feature, bins, left, right, missing_left = tree.arrays()
-        moved = np.flatnonzero(feature[node_of] >= 0)
-        here = node_of[moved]
-        v, b = x[feature[here], moved], bins[here]
-        node_of[moved] = np.where(np.where(b < 0, v != -1 - b, np.where(v == 0, missing_left[here], v <= b)), left[here], right[here])
+        node_of = step_down(x, tree.arrays(), node_of)
     tree.split = [s or {} for s in tree.split]
     return {k: getattr(tree, k) for k in ("feature", "bin", "left", "right", "missing_left", "depth", "split", "sums", "rows")}
 
