@@ -27,6 +27,9 @@ Leaves of at most ``LOCAL_ROWS`` rows need no more passes: their rows (bins, gra
 each, which finishes the subtree by the same rules. Small tables thus take one job a tree, large ones
 one per level until leaves are small; what is sent is bounded by the number of leaves.
 
+Models that learn from at most ``LOCAL_ROWS`` rows grow all their trees so, in one job: each of a few
+tasks gets the coded rows and some of the models.
+
 Running margins are stored with the blocks every ``REFRESH`` rounds; the table of the rounds before is
 then removed.
 """
@@ -38,6 +41,8 @@ import math
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +59,7 @@ SEED = 42
 LEAST_GAIN = 1e-9
 DEEPEST = 64
 LOCAL_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 17  # rows of a table that go whole to the tasks which make models of few of them
 
 # Default parameters of the two booster configurations and of the stand-alone booster.
 FAMILY_DEFAULTS = {
@@ -557,6 +563,10 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
         m.base = mean if m.spec.objective == "regression" else float(np.log(max(mean, 1e-12) / max(1 - mean, 1e-12)))
         m.rows = r["n"]
 
+    whole = {k: m for k, m in enumerate(models) if min(table.rows, m.spec.rows or table.rows) <= LOCAL_ROWS and table.rows <= BLOCK_ROWS}
+    if whole:
+        for k, kept in _whole_models(table, whole, static).items():
+            models[k].kept = kept
     bases = [m.base for m in models]
     frame, path, since = table.blocks, None, 0
     rounds = max(m.p["n_estimators"] for m in models)
@@ -567,14 +577,14 @@ def fit_many(table: BinnedTable, specs: Sequence[Spec], refresh: int = REFRESH)
         return np.repeat(np.array(bases)[:, None], n, axis=1)
 
     for turn in range(rounds):
-        live = [k for k, m in enumerate(models) if turn < m.p["n_estimators"]]
+        live = [k for k, m in enumerate(models) if turn < m.p["n_estimators"] and k not in whole]
+        if not live:
+            break
         for k in live:
             m = models[k]
             m.tree = Tree()
             m.tree.rows[0] = m.rows
-            draw = np.random.default_rng([m.spec.seed, turn])
-            share = max(1, int(m.p["colsample_bytree"] * nf + 1e-9))
-            m.columns = np.sort(draw.choice(nf, share, replace=False)) if nf else np.arange(0)
+            m.columns = _columns(static[k], turn, nf)
         open_ = {k: [0] for k in live}
         while open_ and (nf or table.values):
             growing = {k: (models[k].tree.arrays(), max(models[k].tree.depth), nodes, models[k].columns, models[k].trees[since:]) for k, nodes in open_.items()}
@@ -958,20 +968,74 @@ def finish_subtree(x, g, h, m, columns, sizes, nf, values, first_code, turn, dee
 
 def take_subtrees(found: DataFrame, trees: dict[int, Tree]) -> None:
     """Record and grow the splits of finished subtrees."""
-    place: dict[tuple[int, int], dict[int, int]] = {}
-    for r in sorted(found.toArrow().to_pylist(), key=lambda r: (r["model"], r["node"], r["turn"])):
-        tree, at = trees[r["model"]], place.setdefault((r["model"], r["node"]), {0: r["node"]})
+    for (k, node), rows in groupby(sorted(found.toArrow().to_pylist(), key=lambda r: (r["model"], r["node"], r["turn"])), key=lambda r: (r["model"], r["node"])):
+        grow_found(list(rows), trees[k], node)
+
+
+def grow_found(rows: list[dict], tree: Tree, root: int) -> None:
+    """Add the splits of a finished subtree, in the order in which they were made."""
+    at = {0: root}
+    for turn, r in enumerate(rows):
         node = at[r["at"]]
         if node == 0:
             tree.sums[0] = (r["g"], r["h"])
         tree.split[node] = r if r["gain"] > 0 else {}
         if r["gain"] > 0:
             tree.grow(node)
-            for side, number in ((tree.left, 2 * r["turn"] + 1), (tree.right, 2 * r["turn"] + 2)):
+            for side, number in ((tree.left, 2 * turn + 1), (tree.right, 2 * turn + 2)):
                 at[number] = side[node]
                 tree.split[side[node]] = {}
 
 
+def _whole_models(table: BinnedTable, models: dict[int, _Model], static: list[dict]) -> dict[int, list[dict[str, list]]]:
+    """All trees of models that learn from few rows: the coded rows go once to each group of models."""
+    groups = [sorted(models)[i::min(GROUPS, len(models))] for i in range(min(GROUPS, len(models)))]
+    nf, nt, folds, sizes, values, first_code = len(table.features), len(table.targets), table.folds, table.bins, table.values, table.first_code
+    shape = SimpleNamespace(cuts=table.cuts, features=table.features)
+    bases = {k: m.base for k, m in models.items()}
+
+    def send(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in range(len(groups)):
+                yield pa.RecordBatch.from_arrays([pa.array([part] * batch.num_rows, pa.int32()), *(batch.column(c) for c in _NAMES)], names=["part", *_NAMES])
+
+    def finish(parts: pa.Table) -> pa.Table:
+        own = groups[parts.column("part")[0].as_py()]
+        batches = parts.combine_chunks().to_batches()
+        blocks = sorted((_block(b, i, nf, nt) for b in batches for i in range(b.num_rows)), key=lambda b: b[0])
+        x, y = (np.concatenate([b[i] for b in blocks], axis=1) for i in (2, 3))
+        which, place = (np.concatenate([b[i] for b in blocks]) for i in (4, 5))
+        out = []
+        for k in own:
+            m = static[k]
+            p, target, learns = m["p"], y[m["target"]], _learns(m, y[m["target"]], which, place, folds)
+            model = SimpleNamespace(p=p, tree=None, kept=[], trees=[])
+            margin = np.full(x.shape[1], bases[k])
+            for turn in range(p["n_estimators"]):
+                use = learns
+                if p["subsample"] < 1 and p["subsample_freq"]:
+                    use = learns & (np.concatenate([np.random.default_rng([m["seed"], turn, b[0]]).random(b[1]) for b in blocks]) < p["subsample"])
+                at = np.flatnonzero(use)
+                model.tree = Tree()
+                if len(at):
+                    g, h = _gradient(m, target[at], margin[at])
+                    grow_found(finish_subtree(x[:, at], g, h, m, _columns(m, turn, nf), sizes, nf, values, first_code, turn, p["max_depth"]), model.tree, 0)
+                model.tree.split[0] = model.tree.split[0] or {}
+                _finish(model, shape)
+                margin = _add_trees(margin, x, model.trees[-1:])
+            out.append((k, json.dumps(model.kept)))
+        return pa.table({"model": pa.array([k for k, _ in out], pa.int32()), "trees": pa.array([t for _, t in out], pa.string())})
+
+    rows = (table.blocks.mapInArrow(send, "part int, " + _BLOCK).groupBy("part").applyInArrow(finish, "model int, trees string").collect())
+    return {r["model"]: json.loads(r["trees"]) for r in rows}
+
+
+def _columns(m: dict, turn: int, nf: int) -> np.ndarray:
+    """Numeric features that a round draws."""
+    share = max(1, int(m["p"]["colsample_bytree"] * nf + 1e-9))
+    return np.sort(np.random.default_rng([m["seed"], turn]).choice(nf, share, replace=False)) if nf else np.arange(0)
+
+
 def _finish(m: _Model, table: BinnedTable) -> None:
     """Keep the chosen splits of the grown tree, with thresholds and leaf values."""
     tree, p = m.tree, m.p
