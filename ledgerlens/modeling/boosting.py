@@ -339,12 +339,15 @@ class Booster:
         missing = np.isnan(x)
         rows, names, nf = np.arange(x.shape[1]), self.value_numbers(), len(self.features) - self.categories
         total = np.full(x.shape[1], self.base)
-        for t in self.trees:
-            feature, left, right, missing_left, value = (np.array(t[k]) for k in ("feature", "left", "right", "missing_left", "value"))
-            named = np.array([v is not None for v in t["category"]])
-            threshold = np.array([names[f - nf][v] if v is not None else b for f, v, b in zip(t["feature"], t["category"], t["threshold"], strict=True)], dtype=float)
+        if "_arrays" not in self.__dict__:  # made once per process, for scoring many times
+            self._arrays = []
+            for t in self.trees:
+                threshold = [names[f - nf][v] if v is not None else b for f, v, b in zip(t["feature"], t["category"], t["threshold"], strict=True)]
+                self._arrays.append((*(np.array(t[k]) for k in ("feature", "left", "right", "missing_left", "value")),
+                                     np.array([v is not None for v in t["category"]]), np.array(threshold, dtype=float), int(max(t["depth"]))))
+        for feature, left, right, missing_left, value, named, threshold, depth in self._arrays:
             node = np.zeros(x.shape[1], dtype=np.int64)
-            for _ in range(int(max(t["depth"]))):
+            for _ in range(depth):
                 f = feature[node]
                 inner = f >= 0
                 at, who = node[inner], rows[inner]
