@@ -4,14 +4,12 @@ Quantiles of |residual| use the exact distributed quantile; moments are partial
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerlens.functions.normal import chi2_1_sf, log_normal_tails
 from ledgerlens.operators.quantile import _join_small, group_quantiles
 from ledgerlens.operators.sequence import ordered_positions
 
@@ -88,41 +86,30 @@ def residual_stats(df: DataFrame, y: str = "y", pred: str = "pred", group_cols:
                     (F.exp(-jb / 2.0) > 0.05).cast("int").alias("jb_is_normal"), lm.alias("breusch_pagan_lm"))
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_1_sf(x: pd.Series) -> pd.Series:
-    """Upper tail of χ² with one degree of freedom: erfc(√(x/2))."""
-    return x.map(lambda v: math.erfc(math.sqrt(v / 2.0)) if v is not None and v == v and v >= 0 else float("nan"))
-
-
-@F.pandas_udf(T.DoubleType())
-def _ad_term(z: pd.Series, i: pd.Series, n: pd.Series) -> pd.Series:
-    def one(zz, ii, nn):
-        lp = math.log(0.5 * math.erfc(-zz / math.sqrt(2.0)))
-        lq = math.log(0.5 * math.erfc(zz / math.sqrt(2.0)))
-        return (2 * ii - 1) * lp + (2 * (nn - ii) + 1) * lq
-    return pd.Series([one(a, b, c) for a, b, c in zip(z, i, n)], dtype="float64")
-
-
 def breusch_pagan(df: DataFrame, y: str = "y", pred: str = "pred", group_cols: Sequence[str] = ()) -> DataFrame:
-    """MET18 with p-value; the χ² tail runs in an Arrow-batched pandas UDF on one row per group."""
+    """MET18 with p-value: the upper tail of χ² with one degree of freedom."""
     rs = residual_stats(df, y, pred, group_cols)
     return rs.select(*group_cols, F.col("breusch_pagan_lm").alias("statistic"),
-                     chi2_1_sf("breusch_pagan_lm").alias("p_value")).withColumn(
+                     chi2_1_sf(F.col("breusch_pagan_lm")).alias("p_value")).withColumn(
         "is_homoscedastic", (F.col("p_value") > 0.05).cast("int"))
 
 
 def anderson_darling(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
     """MET17: A² of the standardised residuals (sample std) against the normal, with the
-    corrected critical values. Ranks come from a range-partitioned order; Φ is evaluated by
-    a vectorised pandas UDF (Spark has no erf)."""
-    e = df.select(_res(y, pred).alias("_e")).where(F.col("_e").isNotNull())
+    corrected critical values. Ranks come from a range-partitioned order; the logarithms of both
+    tails are column expressions, finite however far a residual lies. NULL and NaN residuals are
+    left out; without spread (or with fewer than two rows) the statistic is NULL."""
+    e = df.select(F.nanvl(_res(y, pred), F.lit(None).cast("double")).alias("_e")).where(F.col("_e").isNotNull())
     st = e.agg(F.count("_e").alias("n"), F.avg("_e").alias("m"), F.stddev_samp("_e").alias("s")).first()
     n, mu, sd = st["n"], st["m"], st["s"]
     ranked = ordered_positions(e, ["_e"], out="_i")
-    z = F.try_divide(F.col("_e") - F.lit(mu), F.lit(sd))
-    terms = ranked.select(_ad_term(z, (F.col("_i") + 1).cast("double"), F.lit(float(n))).alias("_t"))
-    a2 = terms.agg((F.lit(-float(n)) - F.sum("_t") / F.lit(float(n))).alias("statistic"))
-    corr = 1.0 + 4.0 / n - 25.0 / (n * n)
+    z = F.when(F.lit(bool(sd)), (F.col("_e") - F.lit(mu or 0.0)) * F.lit(1.0 / sd if sd else 0.0))
+    low, high = log_normal_tails(F.col("_z"))
+    i = F.col("_i").cast("double")
+    terms = ranked.select("_i", z.alias("_z")).select(
+        ((2 * i + 1) * low + (2 * (F.lit(float(n)) - i) - 1) * high).alias("_t"))
+    a2 = terms.agg((F.lit(-float(n)) - F.sum("_t") / F.lit(float(max(n, 1)))).alias("statistic"))
+    corr = 1.0 + 4.0 / n - 25.0 / (n * n) if n else 1.0
     crit = [round(c / corr, 3) for c in AD_CRITICAL]
     return a2.select("statistic", *[F.lit(c).alias(f"critical_{str(s).replace('.', '_')}") for c, s in zip(crit, AD_SIGNIFICANCE)])
 

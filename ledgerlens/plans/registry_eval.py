@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.normal import log_far_tail_sql
 from ledgerlens.modeling import ensemble, metrics
 from ledgerlens.plans import registry
 from ledgerlens.plans.checks import wrap_sql
@@ -183,12 +184,46 @@ def q_diagnosis(spark, sf_dir):
     return j.select("train_r2", "test_r2", "cv_r2_mean", "cv_r2_std", *[c.alias(k) for k, c in cols.items()])
 
 
+_CRIT_SQL = ", ".join(f"round({c} / (1 + 4.0 / n - 25.0 / (n * n)), 3) AS critical_{str(s).replace('.', '_')}"
+                      for c, s in zip(metrics.AD_CRITICAL, metrics.AD_SIGNIFICANCE, strict=True))
+
+
 @reg("anderson", [("statistic", "d4"), ("critical_15_0", "d3"), ("critical_10_0", "d3"), ("critical_5_0", "d3"),
-                  ("critical_2_5", "d3"), ("critical_1_0", "d3")], None)
+                  ("critical_2_5", "d3"), ("critical_1_0", "d3")],
+     f"SELECT statistic, {_CRIT_SQL} FROM (SELECT n, -n - sum((2 * i - 1) * CASE WHEN z >= 0 THEN ln(1 - exp(far)) ELSE far END + "
+     f"(2 * (n - i) + 1) * CASE WHEN z >= 0 THEN far ELSE ln(1 - exp(far)) END) / n AS statistic FROM "
+     f"(SELECT *, {log_far_tail_sql('z')} AS far FROM (SELECT (e - avg(e) OVER ()) / stddev_samp(e) OVER () AS z, count(*) OVER () AS n, "
+     f"row_number() OVER (ORDER BY e) AS i FROM (SELECT y - pred AS e FROM preds WHERE model = 'line'))) GROUP BY n)")
 def q_anderson(spark, sf_dir):
     return metrics.anderson_darling(_preds(spark, sf_dir).where(F.col("model") == "line"))
 
 
-@reg("breusch_pagan", [("model", "s"), ("statistic", "d4"), ("p_value", "d6"), ("is_homoscedastic", "i")], None)
+@reg("breusch_pagan", [("model", "s"), ("statistic", "d4"), ("p_value", "d6"), ("is_homoscedastic", "i")],
+     f"SELECT model, lm AS statistic, 2 * exp(far) AS p_value, CASE WHEN 2 * exp(far) > 0.05 THEN 1 ELSE 0 END AS is_homoscedastic FROM "
+     f"(SELECT *, {log_far_tail_sql('z')} AS far FROM (SELECT *, sqrt(lm) AS z FROM "
+     f"(SELECT model, count(*) * power(corr((y - pred) * (y - pred), pred), 2) AS lm FROM preds GROUP BY model)))")
 def q_bp(spark, sf_dir):
     return metrics.breusch_pagan(_preds(spark, sf_dir), group_cols=["model"])
+
+
+@reg("residual_outlier_summary", [("count", "i"), ("percentage", "d6")],
+     f"SELECT count(*) FILTER (f) AS count, 100.0 * count(*) FILTER (f) / count(*) AS percentage FROM (SELECT z < b.q1 - 1.5 * (b.q3 - b.q1) OR "
+     f"z > b.q3 + 1.5 * (b.q3 - b.q1) AS f FROM (SELECT (e - avg(e) OVER ()) / stddev_pop(e) OVER () AS z FROM (SELECT y - pred AS e FROM "
+     f"({OUT_PREDS_SQL}))), (SELECT quantile_cont(z, 0.25) AS q1, quantile_cont(z, 0.75) AS q3 FROM (SELECT (e - avg(e) OVER ()) / "
+     f"stddev_pop(e) OVER () AS z FROM (SELECT y - pred AS e FROM ({OUT_PREDS_SQL})))) b)")
+def q_residual_outlier_summary(spark, sf_dir):
+    """MET19's count and percentage."""
+    d = _sf(spark, sf_dir).withColumn("y", F.exp(F.col("quantity") / 10.0))
+    d = d.join(d.groupBy("category").agg(F.avg("y").alias("pred")), "category")
+    return metrics.residual_outliers(d, row_key=RID)[0]
+
+
+@reg("accuracy_by_region", [("region", "s"), ("accuracy", "d6")],
+     "SELECT region, avg(CASE WHEN (quantity > cm) = (sales > sm) THEN 1.0 ELSE 0.0 END) AS accuracy FROM (SELECT *, avg(quantity) OVER "
+     "(PARTITION BY category) AS cm, avg(sales) OVER (PARTITION BY category) AS sm FROM sf) GROUP BY region")
+def q_accuracy(spark, sf_dir):
+    """MET21: sales above the category's mean as a predictor of quantities above it, per region."""
+    d = _sf(spark, sf_dir)
+    d = d.join(d.groupBy("category").agg(F.avg("quantity").alias("_cm"), F.avg("sales").alias("_sm")), "category")
+    d = d.select("region", (F.col("quantity") > F.col("_cm")).alias("y"), (F.col("sales") > F.col("_sm")).alias("pred"))
+    return metrics.accuracy(d, group_cols=["region"])

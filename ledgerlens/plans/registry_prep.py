@@ -251,7 +251,7 @@ VAR_COLS = ["quantity", "profit", "sales", "l_linenumber", "q_const", "q_tiny"]
 def q_low_variance(spark, sf_dir):
     d = _sf(spark, sf_dir).withColumns({"q_const": F.col("quantity") * 0, "q_tiny": F.col("quantity") / 1000.0})
     fr = profile.variance_frame(d, VAR_COLS)
-    return fr.withColumn("dropped", F.coalesce((F.col("variance") < 0.01).cast("int"), F.lit(0)))
+    return fr.withColumn("dropped", F.col("column").isin(select.low_variance(d, VAR_COLS)).cast("int"))
 
 
 CORR_COLS = ["quantity", "sales", "profit", "l_extendedprice", "l_linenumber", "q_lin"]
@@ -264,10 +264,34 @@ CORR_PAIRS = [(CORR_COLS[i], CORR_COLS[j]) for j in range(len(CORR_COLS)) for i
                         f"(SELECT *, quantity * 2 + 1 AS q_lin FROM sf)" for a, b in CORR_PAIRS) + ")")
 def q_high_corr(spark, sf_dir):
     d = _sf(spark, sf_dir).withColumn("q_lin", F.col("quantity") * 2 + 1)
-    row = d.agg(*[F.abs(F.corr(a, b)).alias(f"c{k}") for k, (a, b) in enumerate(CORR_PAIRS)])
-    st = row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                                 F.col(f"c{k}").alias("abs_corr")) for k, (a, b) in enumerate(CORR_PAIRS)])).alias("s"))
-    return st.select("s.*").withColumn("above", (F.col("abs_corr") > 0.95).cast("int"))
+    r = F.abs("corr")
+    return select.correlation_frame(d, CORR_COLS).select("column_a", "column_b", r.alias("abs_corr"), (r > 0.95).cast("int").alias("above"))
+
+
+GAP_COLS = ["quantity", "q_missing", "q_missing_hi", "sparse60", "p_missing", "sales_zero", "skewed", "q_outlier", "q_const"]
+GAP_PAIRS = [(GAP_COLS[i], GAP_COLS[j]) for j in range(len(GAP_COLS)) for i in range(j)]
+GAP_SQL = " UNION ALL ".join(
+    f"SELECT {GAP_COLS.index(a)} AS place_a, '{a}' AS column_a, '{b}' AS column_b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, "
+    + ("NULL" if "q_const" in (a, b) else f"corr({a}, {b})") + " AS corr FROM (SELECT *, 3.7 AS q_const FROM d)" for a, b in GAP_PAIRS)
+
+
+def _gappy(spark, sf_dir):
+    return _dirty(spark, sf_dir).withColumn("q_const", F.lit(3.7))
+
+
+@reg("corr_gaps", [("column_a", "s"), ("column_b", "s"), ("n", "i"), ("corr", "d6")], f"SELECT column_a, column_b, n, corr FROM ({GAP_SQL})")
+def q_corr_gaps(spark, sf_dir):
+    """AGG19 over columns with gaps; q_missing_hi and sparse60 are never both present."""
+    return select.correlation_frame(_gappy(spark, sf_dir), GAP_COLS)
+
+
+@reg("drop_correlated", [("column", "s"), ("dropped", "i")],
+     "SELECT c.col AS \"column\", CAST(EXISTS (SELECT 1 FROM (" + GAP_SQL + ") p WHERE p.column_b = c.col AND abs(p.corr) > 0.95) AS INT) AS dropped "
+     "FROM (VALUES " + ", ".join(f"('{c}')" for c in GAP_COLS) + ") c(col)")
+def q_drop_correlated(spark, sf_dir):
+    """SEL2: the later column of every pair above 0.95 goes."""
+    dropped = set(select.high_correlation(_gappy(spark, sf_dir), GAP_COLS, 0.95))
+    return spark.createDataFrame([(c, int(c in dropped)) for c in GAP_COLS], "column string, dropped int")
 
 
 F_COLS = ["quantity", "sales", "l_extendedprice", "l_linenumber", "day_of_week", "month"]
@@ -280,16 +304,10 @@ F_COLS = ["quantity", "sales", "l_extendedprice", "l_linenumber", "day_of_week",
          f"(1 - corr(coalesce({c}, 0), profit) * corr(coalesce({c}, 0), profit)) * (count(profit) - 2) AS f_score FROM sf"
          for c in F_COLS) + "))")
 def q_f_score(spark, sf_dir):
-    d = _sf(spark, sf_dir)
-    y = F.col("profit")
-    row = d.agg(F.count(y).alias("n"), *[F.corr(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), y).alias(f"r{k}")
-                                         for k, c in enumerate(F_COLS)])
-    st = row.select("n", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{k}").alias("r"))
-                                             for k, c in enumerate(F_COLS)])).alias("s")).select("n", "s.*")
-    st = st.withColumn("f_score", F.col("r") * F.col("r") / (1 - F.col("r") * F.col("r")) * (F.col("n") - 2))
-    from pyspark.sql import Window
-    st = st.withColumn("score_rank", F.row_number().over(Window.orderBy(F.desc("f_score"))))
-    return st.select("feature", "f_score", "score_rank", (F.col("score_rank") <= 3).cast("int").alias("selected"))
+    scores = select.f_regression_scores(_sf(spark, sf_dir), F_COLS, "profit")
+    ranked, best = select.select_k_best(scores, len(F_COLS)), select.select_k_best(scores, 3)
+    return spark.createDataFrame([(c, scores[c], i + 1, int(c in best)) for i, c in enumerate(ranked)],
+                                 "feature string, f_score double, score_rank int, selected int")
 
 
 # ------------------------------------------------------------------ split + scaling

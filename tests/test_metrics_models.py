@@ -1,9 +1,11 @@
 import math
 
+import duckdb
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.normal import chi2_1_sf, log_far_tail_sql, log_normal_tails
 from ledgerlens.modeling import ensemble, metrics, models
 
 
@@ -43,6 +45,38 @@ def test_anderson_darling_statistic(spark):
     assert math.isclose(got["statistic"], a2, rel_tol=1e-9)
 
 
+def test_normal_tails_against_erfc(spark):
+    z = [0.0, 1e-9, 0.3, 1.0, 2.0, 2.82, 2.83, 3.5, 5.0, 9.0, 30.0]
+    z = z + [-v for v in z[1:]]
+    low, high = log_normal_tails(F.col("z"))
+    d = spark.createDataFrame([(v,) for v in [*z, 1e5, None, float("nan")]], "z double")
+    got = {r["z"]: r for r in d.select("z", low.alias("low"), high.alias("high"), chi2_1_sf(F.col("z") * F.col("z")).alias("p")).collect()}
+
+    def log_upper(v):
+        far = 0.5 * math.erfc(abs(v) / math.sqrt(2))
+        return math.log(far) if v >= 0 else math.log1p(-far)
+
+    for v in z:
+        assert math.isclose(got[v]["high"], log_upper(v), rel_tol=1e-11, abs_tol=1e-300)
+        assert math.isclose(got[v]["low"], log_upper(-v), rel_tol=1e-11, abs_tol=1e-300)
+        assert math.isclose(got[v]["p"], math.erfc(abs(v) / math.sqrt(2)), rel_tol=1e-11)
+    assert got[None]["low"] is None and got[None]["high"] is None
+    assert math.isclose(got[1e5]["high"], -0.5e10, rel_tol=1e-6) and got[1e5]["low"] == 0.0
+    con = duckdb.connect()
+    for v in (0.0, 1.0, 2.82, 2.83, 30.0):
+        far = con.execute(f"SELECT {log_far_tail_sql('z')} FROM (SELECT CAST({v} AS DOUBLE) AS z)").fetchall()[0][0]
+        assert math.isclose(far, math.log(0.5 * math.erfc(v / math.sqrt(2))), rel_tol=1e-11)
+
+
+def test_anderson_darling_far_residual_and_degenerate_tables(spark):
+    rng = np.random.default_rng(3)
+    e = [*rng.normal(size=5000).tolist(), 1e9]
+    got = metrics.anderson_darling(spark.createDataFrame([(v, 0.0) for v in e], "y double, pred double")).first()["statistic"]
+    assert math.isfinite(got) and got > 1000
+    for rows in ([], [(1.0, 0.0)], [(1.0, 0.0)] * 4, [(None, 0.0), (float("nan"), 1.0)]):
+        assert metrics.anderson_darling(spark.createDataFrame(rows, "y double, pred double")).first()["statistic"] is None
+
+
 def test_weights_and_combiners(spark):
     w = ensemble.diversity_weights(["random_forest", "xgboost", "lightgbm"])
     assert round(w["random_forest"], 4) == 0.2903 and round(w["xgboost"], 4) == 0.3548
