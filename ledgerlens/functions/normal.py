@@ -25,14 +25,15 @@ def _log_far_tail(z: Column) -> Column:
     by_series = F.log(0.5 - near * series * F.exp(-near * near) / math.sqrt(math.pi))
     fraction = F.aggregate(F.array(*[F.lit(k / 2.0) for k in range(FRACTION_TERMS, 0, -1)]), far, lambda f, c: far + c / f)
     by_fraction = -far * far - math.log(2.0 * math.sqrt(math.pi)) - F.log(fraction)
-    return F.when(a < TURN, by_series).otherwise(by_fraction)
+    return F.when(z.isNull(), None).when(a < TURN, by_series).otherwise(by_fraction)
 
 
 def log_normal_tails(z: Column) -> tuple[Column, Column]:
     """(log P(Z < z), log P(Z > z)) of the standard normal; NULL for NULL, NaN for NaN."""
     far = _log_far_tail(z)
     rest = F.log1p(-F.exp(far))
-    return F.when(z >= 0, rest).otherwise(far), F.when(z >= 0, far).otherwise(rest)
+    up = z >= 0
+    return F.when(up, rest).when(~up, far), F.when(up, far).when(~up, rest)
 
 
 def chi2_1_sf(x: Column) -> Column:
