@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.modeling import curves, ensemble, importance, models, tuning, validation
 from ledgerlens.modeling.boosting import Spec, bin_table, fit_many, shared_path, staged_scores
+from ledgerlens.modeling.mutual_information import mutual_information
 from ledgerlens.operators import onehot, profile, split
 from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.plans import features as feat
@@ -15,6 +16,7 @@ from ledgerlens.plans.registry import ROW_ID, _sales, _sf, register
 from ledgerlens.plans.registry_prep import _split
 from ledgerlens.sources.tables import ORDER_COLS
 
+RID = [c for c, _ in ROW_ID]
 MODEL_FEATURES = ["month", "day_of_week", "quarter", "year", "sales", "l_extendedprice", "l_linenumber"]
 TABLE_SPEC = [("model", "s"), ("mse", "d6"), ("rmse", "d6"), ("r2", "d6")]
 
@@ -135,12 +137,12 @@ def q_tune_compare(spark, sf_dir):
 
 @register("importance_report", [("feature", "s"), ("rf_importance", "d6"), ("mi_importance", "d6"), ("combined_score", "d6")], None)
 def q_importance(spark, sf_dir):
-    """IMPT3-IMPT5: forest importance and binned mutual information of all numeric columns, joined on the feature."""
+    """IMPT3-IMPT5: forest importance and nearest-neighbour mutual information of all numeric columns, joined on the feature."""
     d, names = _rows(spark, sf_dir)
-    d = d.select(*names, "quantity").checkpoint(eager=True)
+    d = d.select(*dict.fromkeys([*names, "quantity", *RID])).checkpoint(eager=True)
     model = fit_many(bin_table(d, names, ["quantity"]), [Spec("rf", {}, "quantity")])[0]
     rf = spark.createDataFrame(list(model.importances().items()), "feature string, rf_importance double")
-    mi = validation.binned_mutual_information(d, names, "quantity")
+    mi = mutual_information(d, names, "quantity", key=RID)
     rep = rf.join(mi, "feature")
     return rep.withColumn("combined_score", (F.col("rf_importance") + F.col("mi_importance")) / 2).orderBy(F.desc("combined_score"))
 
@@ -165,6 +167,13 @@ def q_mi(spark, sf_dir):
     return validation.binned_mutual_information(_sf(spark, sf_dir), MODEL_FEATURES, "quantity")
 
 
+@register("mi_neighbours", [("feature", "s"), ("mi_importance", "d6")], None)
+def q_mi_neighbours(spark, sf_dir):
+    """IMPT4 (nearest neighbours), all numeric columns; no SQL, as it would compare all pairs of rows."""
+    d, names = _rows(spark, sf_dir)
+    return mutual_information(d, names, "quantity", key=RID)
+
+
 @register("perm_importance", [("feature", "s"), ("importance_mean", "d6"), ("importance_std", "d6")], None)
 def q_perm(spark, sf_dir):
     """IMPT2: ten permutations of every numeric feature of a forest."""
