@@ -64,11 +64,12 @@ NOTICE_LINE = r"(?md)^[ \t\x0B\f\r#*/;\-]*(?:copyright[ \t]*(?:\(c\)|[0-9]|by\b)
 #: the first words of a licence, which end a statement of copyright on the same line
 OPENING = (r"(?:permission is hereby granted|permission to use|redistribution and use|licensed under|released under|this software is "
            r"provided|the software is provided|this program is free|this library is free|this work is licensed|this is free and|everyone is permitted)")
-#: a copyright of marker, years and holder, at the start of a line or behind a title; on a long line without
-#: such an end only marker and years; and reserved rights
+#: a copyright of marker, years and holders, at the start of a line or behind a title, up to reserved rights or a
+#: licence's first words, however many holders there are; without those, the rest of a line of usual length (a
+#: longer one is prose: only marker and years go); and reserved rights
 STATEMENT = (r"(?md)(?:^[ \t\x0B\f\r#*/;\-]*|(?<=\blicense\)?[ \t]{1,4}))(?:"
              r"(?:copyright[ \t]*(?:\(c\)|[0-9]|by\b)|\(c\)[ \t]*(?:copyright|[0-9]))"
-             rf"(?:[^\n]{{0,200}}?(?=$|\ball rights reserved\b|\b{OPENING})|[0-9 \t,\-]*)(?:all rights reserved\b\.?)?"
+             rf"(?:[^\n]*?(?=\ball rights reserved\b|\b{OPENING})|[^\n]{{0,200}}$|[0-9 \t,\-]*)(?:all rights reserved\b\.?)?"
              r"|all rights reserved\b\.?)")
 #: a line that states a copyright by the holder's name alone: capital words (and small ones that names hold)
 HOLDER_LINE = (r"(?md)^[ \t\x0B\f\r#*/;\-]*(?:Copyright|COPYRIGHT)(?![ \t]+(?i:holders?|owners?|notices?|laws?|licen[sc]es?)\b)"

@@ -27,6 +27,8 @@ def found(spark):
         ("MIT", "Copyright The Foo Authors\n\n" + MIT),
         ("MIT", "Copyright (c) 2020 A " + flat(MIT)),
         ("MIT", "MIT License Copyright (c) 2020 Foo Bar " + flat(MIT)),
+        ("MIT", "Copyright (c) 2020 " + ", ".join(f"Holder Number {i}" for i in range(300)) + " " + flat(MIT)),
+        ("BSD-3-Clause", "Copyright (c) 2020 " + "Foo and Bar, " * 90 + "Baz. All rights reserved. " + flat(bsd)),
         ("MIT", MIT.replace("AUTHORS OR\nCOPYRIGHT HOLDERS", "AUTHORS OR COPYRIGHT HOLDERS").replace("WHETHER IN AN", "WHETHER\nIN AN")),
         ("ISC", "ISC License\n\nCopyright 2019 Foo\n\n" + ISC),
         ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Foo\nAll rights reserved.\n\n" + bsd),
