@@ -10,6 +10,7 @@ from ledgerlens.operators import clean, encode, impute, outliers, profile, scale
 from ledgerlens.operators.knn import impute_knn
 from ledgerlens.operators.sequence import ordered_positions
 from ledgerlens.plans.registry import ORDER_SQL, ROW_ID, _sf, register
+from ledgerlens.sources.csv import rename_standard
 from ledgerlens.sources.tables import ORDER_COLS
 
 RID = [c for c, _ in ROW_ID]
@@ -401,7 +402,12 @@ def q_margin_guarded(spark, sf_dir):
     return d.select(*RID, mathx.inf_to(mathx.profit_margin("profit", "sales_zero"), 0.0).alias("profit_margin"))
 
 
-@reg("validate_features", None, None)
+MARGIN_SQL = "CASE WHEN sales_zero = 0 THEN 0.0 ELSE profit / sales_zero * 100 END"
+
+
+@reg("validate_features", ROW_ID + [("q_missing", "d6"), ("p_missing", "d6"), ("cat_missing", "s"), ("margin_zero", "d6")],
+     f"SELECT * EXCLUDE (q_missing, p_missing, cat_missing), coalesce(q_missing, 0) AS q_missing, coalesce(p_missing, 0) AS p_missing, "
+     f"coalesce(cat_missing, 'Unknown') AS cat_missing, {MARGIN_SQL} AS margin_zero FROM d")
 def q_validate_features(spark, sf_dir):
     """SEL5 on the dirty frame: columns over 50 % missing dropped, numeric gaps → 0, text gaps →
     'Unknown', zero-variance columns dropped, ±Infinity → 0 (margin over the zero-sales variant)."""
@@ -412,3 +418,32 @@ def q_validate_features(spark, sf_dir):
                                      (F.col("quantity") * 0).alias("q_const"))
     out, _ = select.clean_and_validate(d)
     return out
+
+
+@reg("final_features", ROW_ID + [("q_missing", "d6"), ("cat_missing", "s"), ("margin_zero", "d6")],
+     f"SELECT * EXCLUDE (q_missing), coalesce(q_missing, 0) AS q_missing, {MARGIN_SQL} AS margin_zero FROM d")
+def q_final_features(spark, sf_dir):
+    """SEL6 with SEL4 and FIL7: infinite and missing numbers → 0, then the text column without any value and
+    the columns of one value go."""
+    from ledgerlens.functions import mathx
+
+    d = _dirty(spark, sf_dir).select(*RID, "q_missing", "cat_missing", mathx.profit_margin("profit", "sales_zero").alias("margin_zero"),
+                                     (F.col("quantity") * 0).alias("q_const"), F.lit(None).cast("double").alias("no_number"),
+                                     F.lit(None).cast("string").alias("no_text"))
+    return select.final_validation(d)[0]
+
+
+@reg("drop_empty_rows", [("q_missing", "d6"), ("p_missing", "d6"), ("cat_missing", "s")],
+     "SELECT * FROM d WHERE q_missing IS NOT NULL OR p_missing IS NOT NULL OR cat_missing IS NOT NULL")
+def q_drop_empty_rows(spark, sf_dir):
+    """FIL2: rows with a value in no column go."""
+    return clean.drop_empty_rows(_dirty(spark, sf_dir).select("q_missing", "p_missing", "cat_missing"))
+
+
+@reg("renamed", ROW_ID + [("region", "s"), ("product", "s"), ("quantity", "d6"), ("profit", "d6")],
+     "SELECT * EXCLUDE (product), product_name AS product FROM (SELECT *, '' AS product FROM sf)")
+def q_renamed(spark, sf_dir):
+    """PRJ4: the published headers become the standard names; other columns stay."""
+    d = _sf(spark, sf_dir).select(*RID, F.col("region").alias("Region"), F.col("product_name").alias("Product Name"),
+                                  F.col("quantity").alias("Quantity"), F.col("profit").alias("Profit"))
+    return rename_standard(d)
