@@ -119,3 +119,26 @@ def test_rounding_leaves_large_values(spark):
 
     got = finalize(spark.createDataFrame([(1e12,), (2.5e10,), (1.23456789,)], "x double"), [("x", "d6")]).collect()
     assert [r["x"] for r in got] == [1e12, 2.5e10, 1.234568]
+
+
+def _reads(df, column):
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    return sum("LogicalRDD [" in x and f"{column}#" in x for x in plan)
+
+
+def test_keyed_windows_read_nullable_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators.lags import lag_features
+
+    rows = [(i, None if i % 5 == 0 else i % 3, "a" if i % 4 else None, "r", float(i), float(-i)) for i in range(60)]
+    d = sequenced(spark.createDataFrame(rows, "at long, product_id long, category string, region string, quantity double, profit double"), ["at"], "_gidx", 4)
+    out = lag_features(d, fill="zero")
+    # the rows are read once, and once per key for its edges: not once more for the rows without a key
+    assert 0 < _reads(out, "_gidx") <= 1 + 3
+    got = {r["at"]: r for r in out.collect()}
+    assert len(got) == 60
+    assert all(got[i]["quantity_lag1"] == 0 and got[i]["quantity_rolling_mean_3"] == 0 for i in range(0, 60, 5))
+    assert all(got[i]["quantity_category_rolling_mean_7"] == 0 for i in range(0, 60, 4))
+    assert got[6]["quantity_lag1"] == 3.0 and got[18]["quantity_lag3"] == 6.0
+    assert out.where(F.col("quantity_region_rolling_mean_7") > 0).count() == 59
