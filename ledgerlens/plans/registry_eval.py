@@ -9,7 +9,7 @@ from ledgerlens.functions.normal import log_far_tail_sql
 from ledgerlens.modeling import ensemble, metrics
 from ledgerlens.plans import registry
 from ledgerlens.plans.checks import wrap_sql
-from ledgerlens.plans.registry import ROW_ID, _sf, register
+from ledgerlens.plans.registry import ROW_ID, _sf, _sf_stored, register
 from ledgerlens.plans.registry_prep import SPLIT_SQL_EXPR, _split
 
 RID = [c for c, _ in ROW_ID]
@@ -37,7 +37,7 @@ def line_fit(d, y="sales", x="quantity"):
 
 
 def _preds(spark, sf_dir):
-    d = _sf(spark, sf_dir)
+    d = _sf_stored(spark, sf_dir, *RID, "category", "quantity", "sales")
     cat = d.groupBy("category").agg(F.avg("quantity").alias("_cm"))
     a, b = line_fit(d)
     gm = d.join(cat, "category").select(*RID, F.lit("group_mean").alias("model"), F.col("quantity").alias("y"), F.col("_cm").alias("pred"))
@@ -46,7 +46,7 @@ def _preds(spark, sf_dir):
 
 
 def _members(spark, sf_dir):
-    d = _sf(spark, sf_dir)
+    d = _sf_stored(spark, sf_dir, *RID, "category", "sub_category", "region", "quantity")
     for key, m in (("category", "random_forest"), ("sub_category", "xgboost"), ("region", "lightgbm")):
         d = d.join(d.groupBy(key).agg(F.avg("quantity").alias(f"p_{m}")), key)
     return d.select(*RID, F.col("quantity").alias("y"), "p_random_forest", "p_xgboost", "p_lightgbm")
@@ -111,7 +111,7 @@ OUT_PREDS_SQL = (f"SELECT {RID_SQL}, exp(quantity / 10.0) AS y, avg(exp(quantity
      f"FROM (SELECT (e - avg(e) OVER ()) / stddev_pop(e) OVER () AS z FROM (SELECT y - pred AS e FROM ({OUT_PREDS_SQL})))) b "
      f"WHERE z < b.q1 - 1.5 * (b.q3 - b.q1) OR z > b.q3 + 1.5 * (b.q3 - b.q1)")
 def q_residual_outliers(spark, sf_dir):
-    d = _sf(spark, sf_dir).withColumn("y", F.exp(F.col("quantity") / 10.0))   # a right-skewed target
+    d = _sf_stored(spark, sf_dir, *RID, "category", "quantity").withColumn("y", F.exp(F.col("quantity") / 10.0))   # a right-skewed target
     p = d.join(d.groupBy("category").agg(F.avg("y").alias("pred")), "category").select(*RID, "y", "pred")
     _, rows = metrics.residual_outliers(p, row_key=RID)
     return rows
@@ -213,7 +213,7 @@ def q_bp(spark, sf_dir):
      f"stddev_pop(e) OVER () AS z FROM (SELECT y - pred AS e FROM ({OUT_PREDS_SQL})))) b)")
 def q_residual_outlier_summary(spark, sf_dir):
     """MET19's count and percentage."""
-    d = _sf(spark, sf_dir).withColumn("y", F.exp(F.col("quantity") / 10.0))
+    d = _sf_stored(spark, sf_dir, *RID, "category", "quantity").withColumn("y", F.exp(F.col("quantity") / 10.0))
     d = d.join(d.groupBy("category").agg(F.avg("y").alias("pred")), "category")
     return metrics.residual_outliers(d, row_key=RID)[0]
 
