@@ -11,6 +11,7 @@ from ledgerlens.plans import registry
 from ledgerlens.plans.checks import wrap_sql
 from ledgerlens.plans.registry import ROW_ID, _sf, _sf_stored, register
 from ledgerlens.plans.registry_prep import SPLIT_SQL_EXPR, _split
+from ledgerlens.session import stored
 
 RID = [c for c, _ in ROW_ID]
 RID_SQL = ", ".join(RID)
@@ -38,7 +39,7 @@ def line_fit(d, y="sales", x="quantity"):
 
 def _preds(spark, sf_dir):
     d = _sf_stored(spark, sf_dir, *RID, "category", "quantity", "sales")
-    cat = d.groupBy("category").agg(F.avg("quantity").alias("_cm"))
+    cat = stored(d.groupBy("category").agg(F.avg("quantity").alias("_cm")))
     a, b = line_fit(d)
     gm = d.join(cat, "category").select(*RID, F.lit("group_mean").alias("model"), F.col("quantity").alias("y"), F.col("_cm").alias("pred"))
     ln = d.select(*RID, F.lit("line").alias("model"), F.col("sales").alias("y"), (F.lit(a) + F.lit(b) * F.col("quantity")).alias("pred"))
@@ -47,8 +48,11 @@ def _preds(spark, sf_dir):
 
 def _members(spark, sf_dir):
     d = _sf_stored(spark, sf_dir, *RID, "category", "sub_category", "region", "quantity")
+    means = {}
     for key, m in (("category", "random_forest"), ("sub_category", "xgboost"), ("region", "lightgbm")):
-        d = d.join(d.groupBy(key).agg(F.avg("quantity").alias(f"p_{m}")), key)
+        means[key] = stored(d.groupBy(key).agg(F.avg("quantity").alias(f"p_{m}")))
+    for key, table in means.items():
+        d = d.join(table, key)
     return d.select(*RID, F.col("quantity").alias("y"), "p_random_forest", "p_xgboost", "p_lightgbm")
 
 
@@ -112,7 +116,7 @@ OUT_PREDS_SQL = (f"SELECT {RID_SQL}, exp(quantity / 10.0) AS y, avg(exp(quantity
      f"WHERE z < b.q1 - 1.5 * (b.q3 - b.q1) OR z > b.q3 + 1.5 * (b.q3 - b.q1)")
 def q_residual_outliers(spark, sf_dir):
     d = _sf_stored(spark, sf_dir, *RID, "category", "quantity").withColumn("y", F.exp(F.col("quantity") / 10.0))   # a right-skewed target
-    p = d.join(d.groupBy("category").agg(F.avg("y").alias("pred")), "category").select(*RID, "y", "pred")
+    p = d.join(stored(d.groupBy("category").agg(F.avg("y").alias("pred"))), "category").select(*RID, "y", "pred")
     _, rows = metrics.residual_outliers(p, row_key=RID)
     return rows
 
@@ -214,7 +218,7 @@ def q_bp(spark, sf_dir):
 def q_residual_outlier_summary(spark, sf_dir):
     """MET19's count and percentage."""
     d = _sf_stored(spark, sf_dir, *RID, "category", "quantity").withColumn("y", F.exp(F.col("quantity") / 10.0))
-    d = d.join(d.groupBy("category").agg(F.avg("y").alias("pred")), "category")
+    d = d.join(stored(d.groupBy("category").agg(F.avg("y").alias("pred"))), "category")
     return metrics.residual_outliers(d, row_key=RID)[0]
 
 

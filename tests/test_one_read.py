@@ -77,3 +77,8 @@ def test_rank_of_widened_rows_counts_the_source(spark):
     d = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (None,)], "v double")
     out = lags.percentile_rank(d.withColumn("w", d.v * 2), "v", "r", source=d).collect()
     assert sorted((r["v"], round(r["r"], 6)) for r in out if r["v"]) == [(1.0, round(1 / 3, 6)), (2.0, round(2.5 / 3, 6)), (2.0, round(2.5 / 3, 6))]
+
+
+def test_few_ranks_are_broadcast(spark):
+    d = spark.createDataFrame([(float(i % 3),) for i in range(30)], "v double")
+    assert "BroadcastHashJoin" in lags.percentile_rank(d.repartition(3), "v")._jdf.queryExecution().sparkPlan().toString()
