@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.session import stored
+
 MAX_N = 5000
 
 # Polynomial coefficients of the AS R94 approximation.
@@ -122,7 +124,8 @@ def shapiro_by_group(df: DataFrame, y: str, pred: str, group_cols: Sequence[str]
     g = list(group_cols) or ["_all"]
     src = df if group_cols else df.withColumn("_all", F.lit(0))
     d = src.select(*g, (F.col(y).cast("double") - F.col(pred).cast("double")).alias("_e")).where(F.col("_e").isNotNull())
-    sizes = d.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
+    # stored, so the planner knows its size: rows of large groups are dropped where they are read, not after an exchange
+    sizes = stored(d.groupBy(*g).agg(F.count(F.lit(1)).alias("n")))
     small = d.join(sizes.where(F.col("n") < MAX_N).select(*g), g)
     types = dict(src.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in g] + ["statistic double", "p_value double"])
