@@ -37,13 +37,17 @@ def line_fit(d, y="sales", x="quantity"):
     return row["a"], row["b"]
 
 
+def _line(d, keep=()):
+    a, b = line_fit(d)
+    return d.select(*keep, F.lit("line").alias("model"), F.col("sales").alias("y"), (F.lit(a) + F.lit(b) * F.col("quantity")).alias("pred"))
+
+
 def _preds(spark, sf_dir):
-    d = _sf_stored(spark, sf_dir, *RID, "category", "quantity", "sales")
+    """Both predictors, without the rows' ids: the metrics of a model read none."""
+    d = _sf_stored(spark, sf_dir, "category", "quantity", "sales")
     cat = stored(d.groupBy("category").agg(F.avg("quantity").alias("_cm")))
-    a, b = line_fit(d)
-    gm = d.join(cat, "category").select(*RID, F.lit("group_mean").alias("model"), F.col("quantity").alias("y"), F.col("_cm").alias("pred"))
-    ln = d.select(*RID, F.lit("line").alias("model"), F.col("sales").alias("y"), (F.lit(a) + F.lit(b) * F.col("quantity")).alias("pred"))
-    return gm.unionByName(ln)
+    gm = d.join(cat, "category").select(F.lit("group_mean").alias("model"), F.col("quantity").alias("y"), F.col("_cm").alias("pred"))
+    return gm.unionByName(_line(d))
 
 
 def _members(spark, sf_dir):
@@ -176,7 +180,7 @@ DIAG_SQL = (f"WITH p AS (SELECT *, {SPLIT_SQL_EXPR} AS is_test, {FOLD_SQL} AS fo
 
 @reg("diagnosis", DIAG_SPEC, DIAG_SQL)
 def q_diagnosis(spark, sf_dir):
-    p = _split(_preds(spark, sf_dir).where(F.col("model") == "line"))
+    p = _split(_line(_sf_stored(spark, sf_dir, *RID, "quantity", "sales"), RID))
     p = p.withColumn("fold", F.pmod(F.col("l_orderkey") * 13 + F.col("l_linenumber"), F.lit(5)))
     split_r2 = metrics.basic_metrics(p, group_cols=["is_test"]).select("is_test", "r2")
     fold_r2 = metrics.basic_metrics(p.where(F.col("is_test") == 0), group_cols=["fold"]).agg(
@@ -199,7 +203,7 @@ _CRIT_SQL = ", ".join(f"round({c} / (1 + 4.0 / n - 25.0 / (n * n)), 3) AS critic
      f"(SELECT *, {log_far_tail_sql('z')} AS far FROM (SELECT (e - avg(e) OVER ()) / stddev_samp(e) OVER () AS z, count(*) OVER () AS n, "
      f"row_number() OVER (ORDER BY e) AS i FROM (SELECT y - pred AS e FROM preds WHERE model = 'line'))) GROUP BY n)")
 def q_anderson(spark, sf_dir):
-    return metrics.anderson_darling(_preds(spark, sf_dir).where(F.col("model") == "line"))
+    return metrics.anderson_darling(_line(_sf_stored(spark, sf_dir, "quantity", "sales")))
 
 
 @reg("breusch_pagan", [("model", "s"), ("statistic", "d4"), ("p_value", "d6"), ("is_homoscedastic", "i")],
@@ -217,9 +221,9 @@ def q_bp(spark, sf_dir):
      f"stddev_pop(e) OVER () AS z FROM (SELECT y - pred AS e FROM ({OUT_PREDS_SQL})))) b)")
 def q_residual_outlier_summary(spark, sf_dir):
     """MET19's count and percentage."""
-    d = _sf_stored(spark, sf_dir, *RID, "category", "quantity").withColumn("y", F.exp(F.col("quantity") / 10.0))
+    d = _sf_stored(spark, sf_dir, "category", "quantity").withColumn("y", F.exp(F.col("quantity") / 10.0))
     d = d.join(stored(d.groupBy("category").agg(F.avg("y").alias("pred"))), "category")
-    return metrics.residual_outliers(d, row_key=RID)[0]
+    return metrics.residual_outliers(d)[0]
 
 
 @reg("accuracy_by_region", [("region", "s"), ("accuracy", "d6")],

@@ -1,14 +1,41 @@
 """Steps that shuffle, store or compute their rows once."""
 
+import math
 
+import numpy as np
+import pytest
 
-from ledgerlens.modeling import normality
+from ledgerlens.modeling import metrics, normality
+from ledgerlens.plans import registry_eval
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("values", [[0.5, -1.0, 2.0, 2.0, 2.0, -3.5, 0.1, 7.25] * 40, list(np.random.default_rng(3).normal(size=500))])
+def test_anderson_by_range_partitions(spark, values):
+    out = metrics.anderson_darling(spark.createDataFrame([(float(v), 0.0) for v in values] + [(None, 0.0), (float("nan"), 0.0)], "y double, pred double"))
+    x = np.sort(values)
+    z, n = (x - x.mean()) / x.std(ddof=1), len(x)
+    low = [math.log(0.5 * math.erfc(-v / math.sqrt(2))) for v in z]
+    high = [math.log(0.5 * math.erfc(v / math.sqrt(2))) for v in z]
+    wanted = -n - sum((2 * i + 1) * low[i] + (2 * (n - i) - 1) * high[i] for i in range(n)) / n
+    assert out.first()["statistic"] == pytest.approx(wanted, rel=1e-9)
+
+
+def test_anderson_exchanges_the_residuals_once(spark):
+    d = spark.range(100).selectExpr("cast(id as double) as y", "0.0D as pred")
+    plan = _plan(metrics.anderson_darling(d))
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("values", [[], [1.0], [2.0, 2.0]])
+def test_anderson_without_spread(spark, values):
+    d = spark.createDataFrame([(v, 0.0) for v in values], "y double, pred double")
+    assert metrics.anderson_darling(d).first()["statistic"] is None
+
+
 def test_shapiro_reads_sizes_that_the_planner_knows(spark):
     rows = [("a", float(i % 97), 0.0) for i in range(normality.MAX_N)] + [("b", float(i * i), 0.0) for i in range(30)] + [(None, 1.0, 0.0)]
     was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -21,3 +48,13 @@ def test_shapiro_reads_sizes_that_the_planner_knows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert found["a"]["statistic"] is None and found["b"]["statistic"] is not None and found[None]["statistic"] is None
     assert {k: r["n"] for k, r in found.items()} == {"a": normality.MAX_N, "b": 30, None: 1}
+
+
+def test_metrics_store_no_row_ids(spark, monkeypatch):
+    read = []
+    rows = spark.createDataFrame([("x", 1.0, 2.0), ("x", 2.0, 3.5), ("y", 3.0, 5.0)], "category string, quantity double, sales double")
+    monkeypatch.setattr(registry_eval, "_sf_stored", lambda spark, sf_dir, *columns: read.append(columns) or rows.select(*columns))
+    registry_eval._preds(spark, "none")
+    registry_eval.q_anderson(spark, "none")
+    registry_eval.q_residual_outlier_summary(spark, "none")
+    assert read == [("category", "quantity", "sales"), ("quantity", "sales"), ("category", "quantity")]
