@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from ledgerlens.modeling import metrics, normality
+from ledgerlens.operators import quantile
 from ledgerlens.plans import registry_eval
 
 
@@ -50,6 +51,18 @@ def test_shapiro_reads_sizes_that_the_planner_knows(spark):
     assert {k: r["n"] for k, r in found.items()} == {"a": normality.MAX_N, "b": 30, None: 1}
 
 
+def test_quantile_sketch_is_made_once(spark, monkeypatch):
+    seen = []
+    real = quantile._join_small
+    monkeypatch.setattr(quantile, "_join_small", lambda big, small, on, how="inner": seen.append(small) or real(big, small, on, how))
+    d = spark.range(4000).selectExpr("id % 2 as g", "cast(id % 37 as double) as v")
+    out = {r["g"]: (r["a"], r["b"]) for r in quantile.group_quantiles(d, "v", [0.25, 0.9], ["g"], names=["a", "b"], group_rows=10).collect()}
+    rows = d.toPandas().groupby("g").v.quantile([0.25, 0.9]).unstack()
+    assert out == {g: (rows.loc[g, 0.25], rows.loc[g, 0.9]) for g in (0, 1)}
+    # the first small table joined holds the sketch's cuts: read from the checkpoint, not computed again
+    assert "percentile_approx" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_metrics_store_no_row_ids(spark, monkeypatch):
     read = []
     rows = spark.createDataFrame([("x", 1.0, 2.0), ("x", 2.0, 3.5), ("y", 3.0, 5.0)], "category string, quantity double, sales double")
