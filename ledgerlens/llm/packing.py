@@ -22,6 +22,7 @@ from __future__ import annotations
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,52 +48,50 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first: dict[str, bytes | None] = {}
-        self.rest: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes] = {}
+        self.rest: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def learn(self, first: set[str], rest: set[str]) -> None:
         """Remember new words: ``first`` as they stand, ``rest`` with the blank before them. Words
         made of lines, or of letters and marks after them, are put together from their parts, which
-        the tokenizer never joins."""
+        the tokenizer never joins. Words with white space at an end are not remembered."""
         if len(self.first) + len(self.rest) > REMEMBERED:
             self.first.clear()
             self.rest.clear()
-        whole: tuple[set[str], set[str]] = (set(), set())
+        after = set(filter(str.isalpha, rest))
+        start, odd = set(first), rest.difference(after)
         made: list[tuple[str, list[str]]] = []  # word of rest, its parts: the first after a blank
-        for word in rest:
-            if word.isalpha():
-                whole[1].add(word)
-            elif len(parts := _parts_of(word)) > 1:
+        for word in odd:
+            parts = _parts_of(word)
+            if len(parts) > 1:
                 made.append((word, parts))
-                whole[1].add(parts[0])
-                whole[0].update(parts[1:])
+                after.add(parts[0])
+                start.update(parts[1:])
             else:
-                whole[1].add(word)
-        whole[0].update(first)
-        for memory, words, lead in ((self.first, whole[0], ""), (self.rest, whole[1], " ")):
-            words = words.difference(memory)
-            known = [w for w in words if w == "\n" or not _loose(w)]
+                after.add(word)
+        for memory, words, lead in ((self.first, start, ""), (self.rest, after, " ")):
+            known = [w for w in words.difference(memory) if w.isalpha() or w.strip() == w != "" or w == "\n"]
             memory.update(zip(known, self.ids([lead + w for w in known]), strict=True))
-            memory.update((w, None) for w in words if w != "\n" and _loose(w))
         for word, parts in made:
-            self.rest[word] = b"".join([self.rest[parts[0]], *(self.first[p] for p in parts[1:])])
+            self.rest[word] = b"".join([self.rest[parts[0]], *map(self.first.__getitem__, parts[1:])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
-        self.learn({x[0] for x in split}.difference(self.first), set().union(*(set(x[1:]).difference(self.rest) for x in split)))
+        found = [[self.first.get(x[0]), *map(self.rest.get, x[1:])] for x in split]
+        gaps = [[i for i, ids in enumerate(x) if ids is None] if None in x else [] for x in found]
+        self.learn({x[0] for x, at in zip(split, gaps, strict=True) if at and not at[0]},
+                   {x[i] for x, at in zip(split, gaps, strict=True) for i in at if i})
         out = []
-        for text, words in zip(texts, split, strict=True):
-            if any(a in text for a in self.added):
-                out.extend(self.ids([text]))
-                continue
-            try:
-                out.append(b"".join([self.first[words[0]], *map(self.rest.__getitem__, words[1:])]))
-            except (TypeError, KeyError):  # a blank next to other white space, or a memory that just began anew
-                out.extend(self.ids([text]))
+        for text, words, ids, at in zip(texts, split, found, gaps, strict=True):
+            for i in at:
+                ids[i] = (self.rest if i else self.first).get(words[i])
+            # a blank next to other white space is no cut; an added token may reach over blanks
+            cut = not (at and None in ids) and not any(a in text for a in self.added)
+            out.append(b"".join(ids) if cut else self.ids([text])[0])
         return out
 
 
@@ -106,16 +105,16 @@ MARKS = ".,;:!?#*$%&|<>()-"
 
 def _parts_of(word: str) -> list[str]:
     """Lines with the breaks between them, letters and the marks after them; one part if unsure."""
-    if "\n" in word:
-        lines = word.split("\n")
-        if any(map(_loose, lines)):
-            return [word]
-        out = _parts_of(lines[0])
-        for line in lines[1:]:
-            out += ["\n", *_parts_of(line)]
-        return out
-    stem = word.rstrip(MARKS)
-    return [stem, word[len(stem):]] if len(stem) < len(word) and stem.isalpha() else [word]
+    if "\n" not in word:
+        stem = word.rstrip(MARKS)
+        return [stem, word[len(stem):]] if len(stem) < len(word) and stem.isalpha() else [word]
+    lines = word.split("\n")
+    if any(map(_loose, lines)):
+        return [word]
+    out = _parts_of(lines[0])
+    for line in lines[1:]:
+        out += ["\n", line] if line.isalpha() else ["\n", *_parts_of(line)]
+    return out
 
 
 def encoder(path: str) -> WordEncoder:

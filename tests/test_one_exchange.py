@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from ledgerlens.llm import packing
 from ledgerlens.modeling import metrics, normality
 from ledgerlens.operators import quantile
 from ledgerlens.plans import registry_eval
@@ -71,3 +72,17 @@ def test_metrics_store_no_row_ids(spark, monkeypatch):
     registry_eval.q_anderson(spark, "none")
     registry_eval.q_residual_outlier_summary(spark, "none")
     assert read == [("category", "quantity", "sales"), ("quantity", "sales"), ("category", "quantity")]
+
+
+def test_encoder_looks_words_up_and_learns_the_missing(monkeypatch):
+    from ledgerlens.llm.queries import tokenizer_path
+
+    coder = packing.WordEncoder(tokenizer_path())
+    asked = []
+    real = coder.ids
+    monkeypatch.setattr(coder, "ids", lambda texts: asked.extend(texts) or real(texts))
+    texts = ["one two, two,\nthree", "one two, two,\nthree", "", " one", "\n two", "a \n b", "one <|endoftext|> two", "x́y two"]
+    plain = [x.ids for x in coder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [list(np.frombuffer(b, dtype="<u4")) for b in coder.encode(texts)] == plain
+    assert asked.count(" two") == 1 and coder.rest.get("") is None
