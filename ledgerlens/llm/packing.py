@@ -1,7 +1,7 @@
 """Best-two-fit packing of token sequences.
 
 Tokens: texts are cut at single blanks between words, where the byte-level tokenizer always starts
-a new piece, so each distinct word is encoded once per worker and looked up afterwards; texts with
+a new piece, so each distinct word is encoded once per worker and looked up once per run of texts; texts with
 other white space around a blank, or with an added token of the tokenizer in them, are encoded whole. Documents longer than a sequence are cut into
 full pieces, the first of which may be shorter.
 
@@ -24,9 +24,12 @@ import types
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +39,10 @@ CAPACITY = 1024
 END_ID = 2
 #: words that a Python worker remembers; beyond, it starts anew
 REMEMBERED = 1_500_000
-DOCS_AT_ONCE = 400
+#: of texts that are cut at once
+BYTES_AT_ONCE = 1 << 22
+#: words encoded as one text
+JOINED = 200
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 
 
@@ -48,12 +54,30 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that begin with a blank
+        self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        """Letters after a blank are encoded many at once: the tokenizer starts anew at each blank, and tokens
+        that begin with one show where."""
+        letters = [i for i, t in enumerate(texts) if t[:1] == " " and t[1:].isalpha()]
+        out: list[bytes | None] = [None] * len(texts)
+        runs = [letters[lo:lo + JOINED] for lo in range(0, len(letters), JOINED)]
+        joined = ["".join(map(texts.__getitem__, run)) for run in runs]
+        for run, text, x in zip(runs, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            found = np.array(x.ids, dtype=np.uint32)
+            at = (4 * np.flatnonzero(self.blank[found])).tolist()
+            if len(at) == len(run) and not any(a in text for a in self.added):
+                body = found.tobytes()
+                for i, lo, hi in zip(run, at, [*at[1:], len(body)], strict=True):
+                    out[i] = body[lo:hi]
+        alone = [i for i, ids in enumerate(out) if ids is None]
+        for i, x in zip(alone, self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = array("I", x.ids).tobytes()
+        return out
 
     def learn(self, first: set[str], rest: set[str]) -> None:
         """Remember new words: ``first`` as they stand, ``rest`` with the blank before them. Words
@@ -64,34 +88,63 @@ class WordEncoder:
             self.rest.clear()
         after = set(filter(str.isalpha, rest))
         start, odd = set(first), rest.difference(after)
-        made: list[tuple[str, list[str]]] = []  # word of rest, its parts: the first after a blank
+        marked: tuple[list[str], ...] = ([], [], [])  # word of rest, its letters, the marks after them
+        made: tuple[list, ...] = ([], [], [])  # word of rest, number of its parts, all parts: the first after a blank
         for word in odd:
+            stem = word.rstrip(MARKS)
+            if stem.isalpha():
+                marked[0].append(word)
+                marked[1].append(stem)
+                marked[2].append(word[len(stem):])
+                continue
             parts = _parts_of(word)
             if len(parts) > 1:
-                made.append((word, parts))
+                made[0].append(word)
+                made[1].append(len(parts))
+                made[2].extend(parts)
                 after.add(parts[0])
                 start.update(parts[1:])
             else:
                 after.add(word)
+        after.update(marked[1])
+        start.update(marked[2])
         for memory, words, lead in ((self.first, start, ""), (self.rest, after, " ")):
             known = [w for w in words.difference(memory) if w.isalpha() or w.strip() == w != "" or w == "\n"]
             memory.update(zip(known, self.ids([lead + w for w in known]), strict=True))
-        for word, parts in made:
-            self.rest[word] = b"".join([self.rest[parts[0]], *map(self.first.__getitem__, parts[1:])])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        found = [[self.first.get(x[0]), *map(self.rest.get, x[1:])] for x in split]
-        gaps = [[i for i, ids in enumerate(x) if ids is None] if None in x else [] for x in found]
-        self.learn({x[0] for x, at in zip(split, gaps, strict=True) if at and not at[0]},
-                   {x[i] for x, at in zip(split, gaps, strict=True) for i in at if i})
-        out = []
-        for text, words, ids, at in zip(texts, split, found, gaps, strict=True):
-            for i in at:
-                ids[i] = (self.rest if i else self.first).get(words[i])
-            # a blank next to other white space is no cut; an added token may reach over blanks
-            cut = not (at and None in ids) and not any(a in text for a in self.added)
-            out.append(b"".join(ids) if cut else self.ids([text])[0])
+        letters, marks = map(self.rest.__getitem__, marked[1]), map(self.first.__getitem__, marked[2])
+        self.rest.update(zip(marked[0], map(add, letters, marks), strict=True))
+        parts = iter(made[2])
+        for word, n in zip(*made[:2], strict=True):
+            self.rest[word] = b"".join([self.rest[next(parts)], *map(self.first.__getitem__, islice(parts, n - 1))])
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Each distinct word of the texts is looked up once."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        split = pc.split_pattern(column, " ")
+        coded = split.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())  # every text has a word, if an empty one
+        begins = ends - np.diff(ends, prepend=0)
+        firsts = [words[i] for i in at[begins].tolist()]
+        inside = np.ones(len(at), dtype=bool)
+        inside[begins] = False
+        used = np.bincount(at[inside], minlength=len(words)) > 0
+        first, rest = list(map(self.first.get, firsts)), list(map(self.rest.get, words))
+        new = [i for i in np.flatnonzero(used).tolist() if rest[i] is None]
+        self.learn({w for w, ids in zip(firsts, first, strict=True) if ids is None}, {words[i] for i in new})
+        for i in new:
+            rest[i] = self.rest.get(words[i])
+        first = [self.first.get(w) if ids is None else ids for w, ids in zip(firsts, first, strict=True)]
+        # a blank next to other white space is no cut; an added token may reach over blanks
+        loose = np.array([ids is None or w == "\n" for w, ids in zip(words, rest, strict=True)], dtype=bool)[at]
+        loose[begins] = [ids is None or w == "\n" for w, ids in zip(firsts, first, strict=True)]
+        whole = np.logical_or.reduceat(loose, begins) if len(begins) else loose
+        for added in self.added:
+            whole |= pc.match_substring(column, added).to_numpy(zero_copy_only=False)
+        out = [b"" if w else b"".join([ids, *map(rest.__getitem__, at[lo + 1:hi].tolist())])
+               for w, ids, lo, hi in zip(whole.tolist(), first, begins.tolist(), ends.tolist(), strict=True)]
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = self.ids([column[i].as_py()])[0]
         return out
 
 
@@ -125,6 +178,16 @@ def encoder(path: str) -> WordEncoder:
     return kept.__dict__[path]
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows with at most ``BYTES_AT_ONCE`` of text, or a single one."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BYTES_AT_ONCE, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, doc_id: str = "doc_id",
            text: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece; ``nth`` numbers the pieces of one length in one task. With ``keep_ids``
@@ -141,10 +204,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", "ids"][:8 if keep_ids else 7]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            for lo in range(0, batch.num_rows, DOCS_AT_ONCE):
-                part = batch.slice(lo, DOCS_AT_ONCE)
+            for part in _runs(batch):
                 rows: list[tuple] = []
-                for ident, body in zip(part.column(0).to_pylist(), coder.encode(part.column(1).to_pylist()), strict=True):
+                for ident, body in zip(part.column(0).to_pylist(), coder.encode(part.column(1)), strict=True):
                     body += end
                     total, start = len(body) // 4, 0
                     stop = total % capacity or capacity
