@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ EVIDENCE = 200.0
 HOST_WEIGHT, CELL_WEIGHT = 10.0, 2.0
 UNKNOWN_PRIOR = 0.01
 ACCEPT = 0.5
-PART_BYTES = 1 << 22
+#: of the texts counted at once (a byte takes about 60 while it is), and rows decoded at once
+PART_BYTES = 1 << 18
+ROWS_AT_ONCE = 256
 
 _HIDDEN = re.compile(r"(?is)<(script|style|nav|footer|template)\b.*?</\1\s*>|<!--.*?-->")
 _TAG = re.compile(r"(?s)<[^>]*>")
@@ -47,16 +50,24 @@ def visible_text(markup: str) -> str:
     return html_lib.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", markup)))
 
 
-def _parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _decoded(column: pa.Array) -> Iterator[str | None]:
+    """The values, a few rows at a time: a whole batch of texts is never held twice."""
+    for lo in range(0, len(column), ROWS_AT_ONCE):
+        yield from column.slice(lo, ROWS_AT_ONCE).to_pylist()
+
+
+def _parts(texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bytes, end of each text in them) for runs of whole texts."""
     held: list[bytes] = []
     size = 0
-    for k, t in enumerate(texts):
+    for t in texts:
         held.append(b" " + t.lower().encode() + b" ")
         size += len(held[-1])
-        if size >= PART_BYTES or k == len(texts) - 1:
+        if size >= PART_BYTES:
             yield np.frombuffer(b"".join(held), dtype=np.uint8), np.cumsum([len(x) for x in held])
             held, size = [], 0
+    if held:
+        yield np.frombuffer(b"".join(held), dtype=np.uint8), np.cumsum([len(x) for x in held])
 
 
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -87,10 +98,9 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", languages: S
     def count(batches) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(names), 1 << BUCKET_BITS), dtype=np.int64)
         for batch in batches:
-            kinds = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
+            kinds = batch.column(0)
             for k, name in enumerate(names):
-                for data, ends in _parts([t for t, x in zip(texts, kinds, strict=True) if x == name]):
+                for data, ends in _parts(_decoded(batch.column(1).filter(pc.equal(kinds, name)))):
                     total[k] += np.bincount(trigram_codes(data, ends)[0], minlength=1 << BUCKET_BITS)
         k, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[k, bucket])],
@@ -112,9 +122,7 @@ def score(rows: DataFrame, text: str, model: np.ndarray, markup: bool = False) -
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            if markup:
-                texts = [visible_text(t) for t in texts]
+            texts = (visible_text(t or "") if markup else t or "" for t in _decoded(batch.column(text)))
             sums, n = [], []
             for data, ends in _parts(texts):
                 codes, own = trigram_codes(data, ends)
