@@ -29,10 +29,11 @@ table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,8 @@ from ledgerlens.llm.common import BLANKS, pinned, row_key, shuffle_partitions
 WIDTH = 5
 NUM, DEN = 75, 100  # similarity of two linked sets: shared * DEN >= union * NUM
 LONGEST = 32  # largest l that the cost estimate considers
-PART_BYTES = 1 << 21
+PART_BYTES = 1 << 19  # of texts that are cut into words at once: a byte takes about 60 while they are
+ROWS_AT_ONCE = 256  # decoded at once
 FLUSH_TOKENS = 1 << 20
 BUCKET_BYTES = 12 << 20  # text bytes that one bucket of tokens stands for
 HUB_ROUNDS = 4
@@ -71,16 +73,23 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def shingle_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None], width: int = WIDTH) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text, in order."""
     held: list[bytes] = []
     size = 0
-    for k, t in enumerate(texts):
+    for t in texts:
         held.append((t or "").encode() + b"\n")
         size += len(held[-1])
-        if size >= PART_BYTES or k == len(texts) - 1:
+        if size >= PART_BYTES:
             yield from _sets_of(held, width)
             held, size = [], 0
+    if held:
+        yield from _sets_of(held, width)
+
+
+def _decoded(column: pa.Array) -> Iterator[str | None]:
+    for lo in range(0, len(column), ROWS_AT_ONCE):
+        yield from column.slice(lo, ROWS_AT_ONCE).to_pylist()
 
 
 def _sets_of(held: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -161,14 +170,14 @@ def _token_blobs(docs: DataFrame, buckets: int, width: int) -> DataFrame:
         sets: list[np.ndarray] = []
         held = 0
         for batch in batches:
-            ident += batch.column(0).to_pylist()
-            keys += batch.column(1).to_pylist()
-            for s in shingle_sets(batch.column(2).to_pylist(), width):
+            for own, key, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(_decoded(batch.column(2)), width), strict=True):
+                ident.append(own)
+                keys.append(key)
                 sets.append(s)
                 held += len(s)
-            if held >= FLUSH_TOKENS or len(sets) > 50_000:
-                yield from flush(ident, keys, sets, turn)
-                ident, keys, sets, held, turn = [], [], [], 0, turn + 1
+                if held >= FLUSH_TOKENS or len(sets) > 50_000:
+                    yield from flush(ident, keys, sets, turn)
+                    ident, keys, sets, held, turn = [], [], [], 0, turn + 1
         if sets:
             yield from flush(ident, keys, sets, turn)
 
@@ -188,22 +197,25 @@ def _bucket_postings(buckets: int):
         """One bucket: tokens that two classes or more share, with their document frequency, packed
         by the home of their class (home >= 0); and the info rows that came along (home -1)."""
         prefix = int(blobs.column("bucket")[0].as_py()) & 0x7FFF
-        parts: list[tuple[np.ndarray, ...]] = []
         info: list[tuple[np.ndarray, ...]] = []
-        for row in range(blobs.num_rows):
+        ends = np.cumsum(pc.binary_length(blobs.column("tokens")).to_numpy().astype(np.int64) // TOKEN_BYTES)
+        token, owner, length = (np.zeros(ends[-1], dtype=kind) for kind in (np.int64, np.int64, np.uint32))
+        wide = token.view(np.uint8).reshape(-1, 8)
+        for row, end in enumerate(ends.tolist()):
             counts = _raw(blobs.column("counts"), row, "u4")
             packed = _raw(blobs.column("tokens"), row, "u1").reshape(-1, TOKEN_BYTES)
-            wide = np.zeros((len(packed), 8), dtype=np.uint8)
-            wide[:, :TOKEN_BYTES] = packed
-            parts.append((wide.view(np.int64).ravel(), np.repeat(_raw(blobs.column("classes"), row, "i8"), counts),
-                          np.repeat(_raw(blobs.column("lengths"), row, "u4"), counts)))
+            here = slice(end - len(packed), end)
+            wide[here, :TOKEN_BYTES] = packed
+            owner[here] = np.repeat(_raw(blobs.column("classes"), row, "i8"), counts)
+            length[here] = np.repeat(_raw(blobs.column("lengths"), row, "u4"), counts)
             if blobs.column("sizes")[row].as_py():
                 info.append((_raw(blobs.column("ids"), row, "i8"), _raw(blobs.column("no_id"), row, "u1"), _raw(blobs.column("keys"), row, "i8"),
                              _raw(blobs.column("sizes"), row, "i8"), _raw(blobs.column("own"), row, "i8")))
-        token, owner, length = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts
         order = np.lexsort((owner, token))
-        token, owner, length = token[order], owner[order], length[order]
+        token = token[order]  # one after the other, so that two copies of one column are held at most
+        owner = owner[order]
+        length = length[order]
+        del order, wide
         first = np.ones(len(token), dtype=bool)
         first[1:] = token[1:] != token[:-1]
         fresh = first.copy()  # a class from several batches counts once

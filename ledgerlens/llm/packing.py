@@ -37,8 +37,8 @@ from ledgerlens.llm.common import pinned
 
 CAPACITY = 1024
 END_ID = 2
-#: words that a Python worker remembers; beyond, it starts anew
-REMEMBERED = 1_500_000
+#: words after which a Python worker starts anew; those found till then are kept until it does so again
+REMEMBERED = 300_000
 #: of texts that are cut at once
 BYTES_AT_ONCE = 1 << 22
 #: words encoded as one text
@@ -59,6 +59,7 @@ class WordEncoder:
         self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
+        self.before: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # what first and rest held before they started anew
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Letters after a blank are encoded many at once: the tokenizer starts anew at each blank, and tokens
@@ -84,8 +85,10 @@ class WordEncoder:
         made of lines, or of letters and marks after them, are put together from their parts, which
         the tokenizer never joins. Words with white space at an end are not remembered."""
         if len(self.first) + len(self.rest) > REMEMBERED:
-            self.first.clear()
-            self.rest.clear()
+            self.before, self.first, self.rest = (self.first, self.rest), {}, {}
+        for memory, old, wanted in ((self.first, self.before[0], first), (self.rest, self.before[1], rest)):
+            memory.update((w, old[w]) for w in wanted if w in old)
+        first, rest = first.difference(self.first), rest.difference(self.rest)
         after = set(filter(str.isalpha, rest))
         start, odd = set(first), rest.difference(after)
         marked: tuple[list[str], ...] = ([], [], [])  # word of rest, its letters, the marks after them
